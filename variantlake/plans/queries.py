@@ -397,3 +397,203 @@ def q_dup_behavior(spark, sf):
 )
 def q_orphans(spark, sf):
     return comparable(gold.orphan_behavior(silver_b(spark, sf), silver_e(spark, sf)))
+
+
+# --- step 6: ingest, batch form ------------------------------------------------------
+
+from variantlake.functions.expressions import funnel_order as _funnel_order  # noqa: E402
+from variantlake.functions.domains import PARTITION_COLUMNS, VALID_BEHAVIOR_EVENTS  # noqa: E402
+from variantlake.sources import kafka as K  # noqa: E402
+from variantlake.sources.lake import read_table, scratch_dir, write_table  # noqa: E402
+from variantlake.sources.schemas import (  # noqa: E402
+    BEHAVIOR_JSON_SCHEMA,
+    BRONZE_BEHAVIOR_SCHEMA,
+    BRONZE_EXPOSURES_SCHEMA,
+    ENVELOPE_SCHEMA,
+    EXPOSURE_JSON_SCHEMA,
+)
+from variantlake.streaming.bronze import behavior_stream, exposures_stream  # noqa: E402
+
+_ENVELOPE_COLS = 'kafka_key, kafka_value, kafka_ingestion_timestamp, topic, "partition", "offset"'
+_NO_TIME = ', {ts} AS event_timestamp, year, month, day'.format(ts=O.ts("event_timestamp"))
+
+
+@register(
+    "bronze_envelope_decode",
+    O.with_base(
+        f"SELECT {_ENVELOPE_COLS} FROM bronze_exposures UNION ALL SELECT {_ENVELOPE_COLS} FROM bronze_behavior"
+    ),
+)
+def q_envelope_decode(spark, sf):
+    envelopes = fixtures.exposure_envelopes(spark, sf).unionByName(fixtures.behavior_envelopes(spark, sf))
+    return comparable(K.decode_envelope(envelopes))
+
+
+@register("bronze_parse_exposures", _sel(O.BRONZE_EXPOSURE_COLS.replace(_NO_TIME, ""), "bronze_exposures"))
+def q_parse_exposures(spark, sf):
+    return comparable(K.parse_json(K.decode_envelope(fixtures.exposure_envelopes(spark, sf)), EXPOSURE_JSON_SCHEMA))
+
+
+@register("bronze_parse_behavior", _sel(O.BRONZE_BEHAVIOR_COLS.replace(_NO_TIME, ""), "bronze_behavior"))
+def q_parse_behavior(spark, sf):
+    return comparable(K.parse_json(K.decode_envelope(fixtures.behavior_envelopes(spark, sf)), BEHAVIOR_JSON_SCHEMA))
+
+
+@register(
+    "events_props_json",
+    "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, "
+    "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k FROM events",
+)
+def q_events_props(spark, sf):
+    """The JSON parse step on the ``events`` table's ``props`` text (schema ``k INT``)."""
+    events = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
+    return events.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        F.from_json("props", "k INT").getField("k").alias("props_k"),
+    )
+
+
+_TIME_PARTS = f"topic, event_id, event_time, {O.ts('event_timestamp')} AS event_timestamp, year, month, day"
+
+
+@register(
+    "bronze_event_time_parts",
+    O.with_base(f"SELECT {_TIME_PARTS} FROM bronze_exposures UNION ALL SELECT {_TIME_PARTS} FROM bronze_behavior"),
+)
+def q_event_time_parts(spark, sf):
+    cols = ["topic", "event_id", "event_time", "event_timestamp", *PARTITION_COLUMNS]
+    e = K.exposures_bronze(fixtures.exposure_envelopes(spark, sf)).select(*cols)
+    b = K.behavior_bronze(fixtures.behavior_envelopes(spark, sf)).select(*cols)
+    return comparable(e.unionByName(b))
+
+
+_IN_DOMAIN = f"event_name IN {O.EVENTS_IN}"
+
+
+@register(
+    "scalar_semantics",
+    O.with_base(
+        f"""
+SELECT event_id, {O.FUNNEL_CASE} AS funnel_order, {O.r2("revenue_gbp / 3")} AS revenue_third,
+  {_IN_DOMAIN} AS in_domain, NOT ({_IN_DOMAIN}) AS not_in_domain,
+  revenue_gbp >= 0 AS revenue_non_negative, COALESCE(revenue_gbp, refund_gbp, 0.0) AS amount_or_zero,
+  CASE WHEN event_name = 'purchase' THEN 1 ELSE 0 END AS is_purchase
+FROM flat_behavior
+"""
+    ),
+)
+def q_scalar_semantics(spark, sf):
+    """round HALF_UP, map lookup miss -> NULL, three-valued IN / NOT IN / comparisons, coalesce."""
+    flat = silver.flatten_behavior(bronze_b(spark, sf))
+    in_domain = F.col("event_name").isin(VALID_BEHAVIOR_EVENTS)
+    return flat.select(
+        "event_id",
+        _funnel_order("event_name").alias("funnel_order"),
+        F.round(F.col("revenue_gbp") / 3, 2).alias("revenue_third"),
+        in_domain.alias("in_domain"),
+        (~in_domain).alias("not_in_domain"),
+        (F.col("revenue_gbp") >= 0).alias("revenue_non_negative"),
+        F.coalesce("revenue_gbp", "refund_gbp", F.lit(0.0)).alias("amount_or_zero"),
+        F.when(F.col("event_name") == "purchase", 1).otherwise(0).alias("is_purchase"),
+    )
+
+
+# --- step 7: streaming and lake ------------------------------------------------------
+
+
+def _stream_into_lake(spark: SparkSession, sf: str, entity: str) -> str:
+    """Stage envelopes as files, run the Bronze stream over them (availableNow), return the lake base."""
+    run = scratch_dir(spark, f"stream-{entity}")
+    envelopes = fixtures.exposure_envelopes if entity == "exposures" else fixtures.behavior_envelopes
+    staged = f"{run}topic/{entity}/"
+    envelopes(spark, sf).write.mode("overwrite").parquet(staged)
+    source = spark.readStream.schema(ENVELOPE_SCHEMA).parquet(staged)
+    start = exposures_stream if entity == "exposures" else behavior_stream
+    q = start(spark, f"{run}lake", source=source, trigger="availableNow")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"bronze {entity} stream failed: {q.exception()}")
+    return f"{run}lake"
+
+
+@register("bronze_stream_exposures", _sel(O.BRONZE_EXPOSURE_COLS, "bronze_exposures"))
+def q_stream_exposures(spark, sf):
+    from variantlake.sources.lake import table_path
+
+    base = _stream_into_lake(spark, sf, "exposures")
+    return comparable(read_table(spark, table_path(base, "bronze", "exposures"), BRONZE_EXPOSURES_SCHEMA))
+
+
+@register("bronze_stream_behavior", _sel(O.BRONZE_BEHAVIOR_COLS, "bronze_behavior"))
+def q_stream_behavior(spark, sf):
+    from variantlake.sources.lake import table_path
+
+    base = _stream_into_lake(spark, sf, "behavior")
+    return comparable(read_table(spark, table_path(base, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA))
+
+
+@register(
+    "bronze_late_partition",
+    O.with_base(
+        """
+SELECT year, month, day, count(*) AS rows, min(event_time) AS min_event_time, max(event_time) AS max_event_time,
+  count(*) FILTER (WHERE epoch(CAST(event_time AS TIMESTAMP)) < kafka_ingestion_timestamp) AS late_rows
+FROM bronze_behavior GROUP BY year, month, day
+"""
+    ),
+)
+def q_late_partition(spark, sf):
+    """Streamed behavior per event-date partition (read back from the directories):
+    events older than their ingestion time land in their own event-date partition."""
+    from variantlake.sources.lake import table_path
+
+    base = _stream_into_lake(spark, sf, "behavior")
+    bronze = read_table(spark, table_path(base, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA)
+    event_epoch = F.unix_timestamp(F.concat(F.col("event_time"), F.lit(" UTC")), "yyyy-MM-dd HH:mm:ss z")
+    return bronze.groupBy(*PARTITION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("event_time").alias("min_event_time"),
+        F.max("event_time").alias("max_event_time"),
+        F.count_if(event_epoch < F.unix_timestamp("kafka_ingestion_timestamp")).alias("late_rows"),
+    )
+
+
+@register(
+    "dynamic_partition_overwrite",
+    O.with_base(
+        """
+, v1 AS (SELECT year, month, day, count(*) AS n FROM enriched_exposures GROUP BY year, month, day),
+v2 AS (SELECT year, month, day, count(*) AS n FROM silver_exposures GROUP BY year, month, day)
+SELECT year, month, day, 2 AS version, n AS rows FROM v2
+UNION ALL
+SELECT year, month, day, 1 AS version, n AS rows FROM v1 WHERE NOT EXISTS (
+  SELECT 1 FROM v2 WHERE v2.year IS NOT DISTINCT FROM v1.year AND v2.month IS NOT DISTINCT FROM v1.month
+    AND v2.day IS NOT DISTINCT FROM v1.day)
+"""
+    ).replace("\n\n, v1 AS", ",\nv1 AS"),
+)
+def q_dynamic_overwrite(spark, sf):
+    """Write all enriched exposures (version 1), then Silver (version 2) with dynamic
+    partition overwrite: only event dates present in Silver are replaced, the rest
+    (e.g. the NULL-date partition) keep version 1."""
+    path = scratch_dir(spark, "dpo") + "exposures/"
+    enriched = silver.enrich_exposures(bronze_e(spark, sf))
+    write_table(enriched.withColumn("version", F.lit(1)), path, PARTITION_COLUMNS)
+    write_table(silver_e(spark, sf).withColumn("version", F.lit(2)), path, PARTITION_COLUMNS, dynamic=True)
+    return (
+        spark.read.parquet(path)
+        .groupBy(*PARTITION_COLUMNS, "version")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
+@register("gold_write_roundtrip", O.with_base(O.metrics_select("exposure_outcomes")))
+def q_gold_roundtrip(spark, sf):
+    """Gold experiment metrics written as an unpartitioned Parquet table and read back."""
+    path = scratch_dir(spark, "gold") + "experiment_metrics/"
+    write_table(gold.experiment_metrics(silver_e(spark, sf), silver_b(spark, sf)), path)
+    return comparable(spark.read.parquet(path))

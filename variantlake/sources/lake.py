@@ -69,6 +69,7 @@ def write_table(
     mode: str = "overwrite",
     dynamic: bool = True,
     count_rows: bool = False,
+    rebalance: bool = True,
 ) -> int | None:
     """Write ``df`` as Parquet; return its row count when ``count_rows`` is set.
 
@@ -76,8 +77,16 @@ def write_table(
     are replaced, others are kept (``dynamic=False`` replaces the whole table). The
     row count comes from an ``Observation`` gathered during the write itself, so no
     second pass over the data and no cache is needed.
+
+    A partitioned batch write is preceded by ``REBALANCE(partition columns)``:
+    without it every upstream task (e.g. after a shuffle by event id) holds rows of
+    every date and writes one small file per date. AQE sizes the rebalance from
+    runtime statistics, splitting an oversized (hot) date into several tasks and
+    merging small ones, so files come out near the advisory partition size.
     """
     obs = None
+    if partition_by and rebalance:
+        df = df.hint("rebalance", *partition_by)
     if count_rows:
         obs = Observation(f"write-{uuid.uuid4().hex[:8]}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
