@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from variantlake.operators import gold, silver
 from variantlake.plans import jobs
+from variantlake.plans.queries import stage_topic
 from variantlake.sources import fixtures
 from variantlake.sources.lake import table_path
 from variantlake.sources.schemas import ENVELOPE_SCHEMA
@@ -14,7 +15,7 @@ from variantlake.streaming.bronze import behavior_stream, exposures_stream
 
 def _stage_topics(spark, root):
     for entity, build in (("exposures", fixtures.exposure_envelopes), ("behavior", fixtures.behavior_envelopes)):
-        build(spark, SF_SMALL).write.mode("overwrite").parquet(f"{root}/topic/{entity}")
+        stage_topic(build(spark, SF_SMALL), f"{root}/topic/{entity}")
 
 
 def _ingest(spark, root, lake):

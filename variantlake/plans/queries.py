@@ -505,12 +505,27 @@ def q_scalar_semantics(spark, sf):
 # --- step 7: streaming and lake ------------------------------------------------------
 
 
+TOPIC_PARTITIONS = 8
+
+
+def stage_topic(envelopes: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS) -> None:
+    """Stand-in for a Kafka topic: envelope rows as ``partitions`` Parquet files.
+
+    A live topic receives records in (roughly) event-time order, so one stretch of
+    it covers a few event dates. The fixture rows carry random dates over years, so
+    the files are cut by event-time range to keep that property; otherwise every
+    ingest task would write one small file per date of the whole fixture.
+    """
+    event_time = F.get_json_object(F.col("value").cast("string"), "$.event_time")
+    envelopes.repartitionByRange(partitions, event_time).write.mode("overwrite").parquet(path)
+
+
 def _stream_into_lake(spark: SparkSession, sf: str, entity: str) -> str:
     """Stage envelopes as files, run the Bronze stream over them (availableNow), return the lake base."""
     run = scratch_dir(spark, f"stream-{entity}")
     envelopes = fixtures.exposure_envelopes if entity == "exposures" else fixtures.behavior_envelopes
     staged = f"{run}topic/{entity}/"
-    envelopes(spark, sf).write.mode("overwrite").parquet(staged)
+    stage_topic(envelopes(spark, sf), staged)
     source = spark.readStream.schema(ENVELOPE_SCHEMA).parquet(staged)
     start = exposures_stream if entity == "exposures" else behavior_stream
     q = start(spark, f"{run}lake", source=source, trigger="availableNow")

@@ -14,11 +14,13 @@ them, batch or streaming.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantlake.functions.domains import BEHAVIOR_TOPIC, EXPOSURE_TOPIC
 from variantlake.sources.kafka import behavior_bronze, exposures_bronze
+from variantlake.sources.lake import scratch_dir
 
 # Ingestion time of a fixture row: this epoch second plus its ``ingest_seq``.
 INGEST_EPOCH = 915148800
@@ -133,10 +135,36 @@ def behavior_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _envelope(behavior_rows(spark, sf_dir), BEHAVIOR_TOPIC, payload)
 
 
+# (application id, sf_dir, entity) -> path of the materialised Bronze table
+_BRONZE_TABLES: dict[tuple[str, str, str], str] = {}
+
+
+def _materialised(spark: SparkSession, sf_dir: str, entity: str, build) -> DataFrame:
+    """Bronze is a stored table, as in the lake: the fixture is ingested once per
+    session and scale (decode + parse + time columns, written as Parquet under the
+    shared checkpoint folder) and every query scans that table.
+
+    Reading stored columns also keeps the Silver validity filter a Parquet-pushed
+    predicate; applied straight to the parsing projection, the optimizer would
+    inline ``from_json`` once per referenced field.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), entity)
+    path = _BRONZE_TABLES.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            pass
+    path = scratch_dir(spark, f"fixture-bronze-{entity}")
+    build().write.mode("overwrite").parquet(path)
+    _BRONZE_TABLES[key] = path
+    return spark.read.parquet(path)
+
+
 def bronze_exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze exposures as the ingest stream would have written them."""
-    return exposures_bronze(exposure_envelopes(spark, sf_dir))
+    """Bronze exposures as the ingest would have written them (a stored table)."""
+    return _materialised(spark, sf_dir, "exposures", lambda: exposures_bronze(exposure_envelopes(spark, sf_dir)))
 
 
 def bronze_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return behavior_bronze(behavior_envelopes(spark, sf_dir))
+    return _materialised(spark, sf_dir, "behavior", lambda: behavior_bronze(behavior_envelopes(spark, sf_dir)))
