@@ -63,13 +63,15 @@ def build_silver(
     dynamic = not full_refresh
     report: dict[str, int] = {}
 
-    # exposures: one de-dup + conflict pass, cached, feeds both outputs
+    # exposures: the de-duplicated rows and the (small) conflict set are cached once
+    # and feed both outputs, so the event-id shuffle runs a single time
     bronze_e = _date_range(
         read_table(spark, table_path(base, "bronze", "exposures"), BRONZE_EXPOSURES_SCHEMA), since, until
     )
     enriched, obs_e = _observe(silver.enrich_exposures(bronze_e), rows=F.count(F.lit(1)))
-    flagged = silver.flag_conflicts(silver.dedup_keep_first(silver.valid_exposures(enriched)))
-    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+    deduped = silver.dedup_keep_first(silver.valid_exposures(enriched)).persist(StorageLevel.MEMORY_AND_DISK)
+    conflicts = silver.multi_variant_users(deduped).persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = silver.flag_conflicts(deduped, conflicts)
     try:
         report["silver_exposures"] = write_table(
             silver.clean_exposures(flagged),
@@ -86,7 +88,8 @@ def build_silver(
             count_rows=True,
         )
     finally:
-        flagged.unpersist()
+        conflicts.unpersist()
+        deduped.unpersist()
     report["bronze_exposures"] = int(obs_e.get["rows"])
     report["duplicates_removed_exposures"] = (
         report["bronze_exposures"] - report["silver_exposures"] - report["quarantine_exposures"]

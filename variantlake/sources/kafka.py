@@ -16,15 +16,31 @@ from variantlake.sources.schemas import BEHAVIOR_JSON_SCHEMA, EXPOSURE_JSON_SCHE
 ENVELOPE_COLUMNS = ["kafka_key", "kafka_value", "kafka_ingestion_timestamp", "topic", "partition", "offset"]
 
 
-def kafka_source(spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "latest") -> DataFrame:
-    """Streaming Kafka source for one topic (needs the spark-sql-kafka connector)."""
-    return (
+def kafka_source(
+    spark: SparkSession,
+    brokers: str,
+    topic: str,
+    starting_offsets: str = "latest",
+    max_offsets_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """Streaming Kafka source for one topic (needs the spark-sql-kafka connector).
+
+    ``max_offsets_per_trigger`` bounds a micro-batch, so a backlog (or a restart
+    from early offsets) is worked off in batches of bounded size instead of one
+    huge first batch. Extra ``options`` (security settings, ...) pass through.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", brokers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .load()
     )
+    if max_offsets_per_trigger is not None:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    return reader.load()
 
 
 def decode_envelope(df: DataFrame) -> DataFrame:
