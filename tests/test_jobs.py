@@ -102,3 +102,21 @@ def test_silver_date_window_prunes_partitions(spark, built_lake):
     plan = windowed._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
     assert set(r.day for r in windowed.select("day").distinct().collect()) == {2, 3}
+
+
+def test_cli_runs_quality_and_gold(spark, built_lake, capsys):
+    from variantlake.__main__ import main
+
+    _, lake, _ = built_lake
+    assert main(["quality", "--base", lake]) == 0
+    assert main(["gold", "--base", lake]) == 0
+    assert "experiment_metrics" in capsys.readouterr().out
+    assert spark.read.parquet(table_path(lake, "gold", "data_quality_results")).count() == 16
+
+
+def test_upstream_bronze_schema_quarantines_every_refund(spark):
+    import __spark_entry__ as E
+
+    rows = E.queries()["gold_experiment_metrics_refund_field_absent"](spark, SF_SMALL).collect()
+    assert rows and all(r.total_refunds == 0 and r.refunds_gbp == 0.0 for r in rows)
+    assert all(r.net_revenue_gbp == r.gross_revenue_gbp for r in rows)

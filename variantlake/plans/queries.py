@@ -612,3 +612,66 @@ def q_gold_roundtrip(spark, sf):
     path = scratch_dir(spark, "gold") + "experiment_metrics/"
     write_table(gold.experiment_metrics(silver_e(spark, sf), silver_b(spark, sf)), path)
     return comparable(spark.read.parquet(path))
+
+
+# --- reference parity: Bronze without properties.refund_gbp ---------------
+
+_LEGACY_CTES = f""",
+legacy_flat AS (SELECT * REPLACE (CAST(NULL AS DOUBLE) AS refund_gbp) FROM flat_behavior),
+legacy_silver AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY {O.DEDUP_ORDER}) AS rn
+    FROM legacy_flat WHERE {O.BEHAVIOR_VALID})
+  WHERE rn = 1)"""
+
+
+def _legacy_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    """Bronze behavior as written with the upstream schema, whose properties struct has no refund field."""
+    return bronze_b(spark, sf).withColumn("properties", F.col("properties").dropFields("refund_gbp"))
+
+
+@register(
+    "silver_behavior_refund_field_absent",
+    O.with_base(_LEGACY_CTES + f"\nSELECT {O.SILVER_BEHAVIOR_COLS} FROM legacy_silver").replace(
+        "\n,\nlegacy_flat", ",\nlegacy_flat"
+    ),
+)
+def q_legacy_silver_behavior(spark, sf):
+    """With the upstream Bronze schema every refund carries a NULL amount and is quarantined."""
+    return comparable(silver.silver_behavior(_legacy_bronze(spark, sf))[0])
+
+
+_LEGACY_METRICS = O.with_base(
+    _LEGACY_CTES
+    + """,
+legacy_purchases AS (
+  SELECT experiment_id, user_id, count(DISTINCT event_id) AS purchase_count,
+    """
+    + O.r2("sum(revenue_gbp)")
+    + """ AS purchase_revenue_gbp
+  FROM legacy_silver WHERE event_name = 'purchase' GROUP BY experiment_id, user_id),
+legacy_refunds AS (
+  SELECT experiment_id, user_id, count(DISTINCT event_id) AS refund_count,
+    """
+    + O.r2("sum(refund_gbp)")
+    + """ AS refund_amount_gbp
+  FROM legacy_silver WHERE event_name = 'refund' GROUP BY experiment_id, user_id),
+legacy_outcomes AS (
+  SELECT e.*, CASE WHEN p.purchase_count IS NOT NULL THEN 1 ELSE 0 END AS converted,
+    COALESCE(p.purchase_count, 0) AS purchase_count, COALESCE(r.refund_count, 0) AS refund_count,
+    COALESCE(p.purchase_revenue_gbp, 0.0) AS purchase_revenue_gbp,
+    COALESCE(r.refund_amount_gbp, 0.0) AS refund_amount_gbp,
+    COALESCE(p.purchase_revenue_gbp, 0.0) - COALESCE(r.refund_amount_gbp, 0.0) AS net_revenue_gbp
+  FROM silver_exposures e
+  LEFT JOIN legacy_purchases p ON e.experiment_id = p.experiment_id AND e.user_id = p.user_id
+  LEFT JOIN legacy_refunds r ON e.experiment_id = r.experiment_id AND e.user_id = r.user_id)
+"""
+    + O.metrics_select("legacy_outcomes")
+).replace("\n,\nlegacy_flat", ",\nlegacy_flat")
+
+
+@register("gold_experiment_metrics_refund_field_absent", _LEGACY_METRICS)
+def q_legacy_metrics(spark, sf):
+    """Gold as upstream produced it: no refund reaches Silver, so refunds are 0."""
+    behavior = silver.silver_behavior(_legacy_bronze(spark, sf))[0]
+    return comparable(gold.experiment_metrics(silver_e(spark, sf), behavior))

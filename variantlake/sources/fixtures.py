@@ -148,7 +148,7 @@ def _materialised(spark: SparkSession, sf_dir: str, entity: str, build) -> DataF
     predicate; applied straight to the parsing projection, the optimizer would
     inline ``from_json`` once per referenced field.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), entity)
+    key = (spark.conf.get("spark.app.id", "") or str(id(spark)), sf_dir.rstrip("/"), entity)
     path = _BRONZE_TABLES.get(key)
     if path is not None:
         try:

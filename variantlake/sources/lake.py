@@ -39,10 +39,18 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
     cluster. Only when neither is set (local tests) a temp folder is created and
     registered as the checkpoint dir.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        try:  # classic sessions may have set it on the SparkContext only
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - e.g. Spark Connect has no SparkContext
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="variantlake-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # noqa: BLE001
+            pass
     return f"{base.rstrip('/')}/variantlake/{name or 'run'}-{uuid.uuid4().hex}/"
 
 
