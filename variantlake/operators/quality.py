@@ -4,8 +4,8 @@ Upstream runs 16 separate count actions plus one tiny DataFrame per result. Here
 each table is aggregated once: a ``groupBy(event_id)`` whose partial aggregates
 carry every per-row condition as ``count_if`` (duplicate-id detection needs that
 grouping anyway), then a global sum. Check 7 is one aggregate by
-(experiment, user); check 14 is one anti-join that reuses that aggregate as its
-build side. Results become rows with ``explode(array(struct(...)))`` - nothing
+(experiment, user); check 14 is an anti-join of per-user behavior counts against
+the distinct exposed users (both pre-aggregated, so no hot key reaches it). Results become rows with ``explode(array(struct(...)))`` - nothing
 is collected to the driver.
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from variantlake.operators.gold import orphan_count
 from variantlake.functions.domains import (
     PURCHASE,
     QUALITY_CHECKS,
@@ -104,9 +105,7 @@ def run_checks(exposures: DataFrame, behavior: DataFrame, as_of: Column | None =
         F.min("assigned_variant").alias("_vmin"), F.max("assigned_variant").alias("_vmax")
     )
     multi = users.agg(F.count_if(F.col("_vmin") != F.col("_vmax")).alias("multi_variant_users"))
-    orphans = behavior.join(users.select(*USER_KEY), on=USER_KEY, how="left_anti").agg(
-        F.count(F.lit(1)).alias("orphans")
-    )
+    orphans = orphan_count(behavior, exposures)
 
     parts = [
         _results(
@@ -134,7 +133,7 @@ def run_checks(exposures: DataFrame, behavior: DataFrame, as_of: Column | None =
                 "behavior_event_time_not_in_future": "future",
             },
         ),
-        _results(orphans, {"behavior_has_matching_exposure": "orphans"}),
+        _results(orphans, {"behavior_has_matching_exposure": "orphan_rows"}),
     ]
     out = parts[0]
     for p in parts[1:]:
