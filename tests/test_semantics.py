@@ -30,7 +30,12 @@ def _outcomes(spark, exposed, converted_revenue, purchases_per_user, variant):
         "experiment_id string, user_id string, assigned_variant string, converted int, purchase_count int, "
         "refund_count int, purchase_revenue_gbp double, refund_amount_gbp double",
     )
-    return df.withColumn("net_revenue_gbp", F.col("purchase_revenue_gbp") - F.col("refund_amount_gbp"))
+    return df.withColumns(
+        {
+            "net_revenue_gbp": F.col("purchase_revenue_gbp") - F.col("refund_amount_gbp"),
+            "exposure_rows": F.lit(1).cast("long"),
+        }
+    )
 
 
 def test_experiment_metric_formulas_match_recorded_run(spark):
