@@ -10,16 +10,26 @@ a read of the result).
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.functions.domains import QUALITY_CHECKS, QUALITY_LAYER
+from variantlake.functions.domains import PARTITION_COLUMNS, QUALITY_CHECKS, QUALITY_LAYER, VALID_BEHAVIOR_EVENTS
+from variantlake.functions.expressions import funnel_order as _funnel_order
 from variantlake.operators import gold, quality, silver
 from variantlake.plans import oracle as O
 from variantlake.plans.compare import comparable
 from variantlake.sources import fixtures
+from variantlake.sources import kafka as K
+from variantlake.sources.lake import read_table, scratch_dir, table_path, write_table
+from variantlake.sources.schemas import (
+    BEHAVIOR_JSON_SCHEMA,
+    BRONZE_BEHAVIOR_SCHEMA,
+    BRONZE_EXPOSURES_SCHEMA,
+    ENVELOPE_SCHEMA,
+    EXPOSURE_JSON_SCHEMA,
+)
+from variantlake.streaming.bronze import behavior_stream, exposures_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -401,18 +411,6 @@ def q_orphans(spark, sf):
 
 # --- step 6: ingest, batch form ------------------------------------------------------
 
-from variantlake.functions.expressions import funnel_order as _funnel_order  # noqa: E402
-from variantlake.functions.domains import PARTITION_COLUMNS, VALID_BEHAVIOR_EVENTS  # noqa: E402
-from variantlake.sources import kafka as K  # noqa: E402
-from variantlake.sources.lake import read_table, scratch_dir, write_table  # noqa: E402
-from variantlake.sources.schemas import (  # noqa: E402
-    BEHAVIOR_JSON_SCHEMA,
-    BRONZE_BEHAVIOR_SCHEMA,
-    BRONZE_EXPOSURES_SCHEMA,
-    ENVELOPE_SCHEMA,
-    EXPOSURE_JSON_SCHEMA,
-)
-from variantlake.streaming.bronze import behavior_stream, exposures_stream  # noqa: E402
 
 _ENVELOPE_COLS = 'kafka_key, kafka_value, kafka_ingestion_timestamp, topic, "partition", "offset"'
 _NO_TIME = ', {ts} AS event_timestamp, year, month, day'.format(ts=O.ts("event_timestamp"))
@@ -537,16 +535,12 @@ def _stream_into_lake(spark: SparkSession, sf: str, entity: str) -> str:
 
 @register("bronze_stream_exposures", _sel(O.BRONZE_EXPOSURE_COLS, "bronze_exposures"))
 def q_stream_exposures(spark, sf):
-    from variantlake.sources.lake import table_path
-
     base = _stream_into_lake(spark, sf, "exposures")
     return comparable(read_table(spark, table_path(base, "bronze", "exposures"), BRONZE_EXPOSURES_SCHEMA))
 
 
 @register("bronze_stream_behavior", _sel(O.BRONZE_BEHAVIOR_COLS, "bronze_behavior"))
 def q_stream_behavior(spark, sf):
-    from variantlake.sources.lake import table_path
-
     base = _stream_into_lake(spark, sf, "behavior")
     return comparable(read_table(spark, table_path(base, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA))
 
@@ -564,8 +558,6 @@ FROM bronze_behavior GROUP BY year, month, day
 def q_late_partition(spark, sf):
     """Streamed behavior per event-date partition (read back from the directories):
     events older than their ingestion time land in their own event-date partition."""
-    from variantlake.sources.lake import table_path
-
     base = _stream_into_lake(spark, sf, "behavior")
     bronze = read_table(spark, table_path(base, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA)
     event_epoch = F.unix_timestamp(F.concat(F.col("event_time"), F.lit(" UTC")), "yyyy-MM-dd HH:mm:ss z")
