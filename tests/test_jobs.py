@@ -120,3 +120,16 @@ def test_upstream_bronze_schema_quarantines_every_refund(spark):
     rows = E.queries()["gold_experiment_metrics_refund_field_absent"](spark, SF_SMALL).collect()
     assert rows and all(r.total_refunds == 0 and r.refunds_gbp == 0.0 for r in rows)
     assert all(r.net_revenue_gbp == r.gross_revenue_gbp for r in rows)
+
+
+def test_processing_time_trigger_stream(spark, tmp_path):
+    root = str(tmp_path)
+    stage_topic(fixtures.exposure_envelopes(spark, SF_SMALL), f"{root}/topic/exposures")
+    src = spark.readStream.schema(ENVELOPE_SCHEMA).parquet(f"{root}/topic/exposures")
+    q = exposures_stream(spark, f"{root}/lake", source=src, trigger="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive and q.lastProgress is not None
+    finally:
+        q.stop()
+    assert spark.read.parquet(table_path(f"{root}/lake", "bronze", "exposures")).count() == 183
