@@ -127,3 +127,16 @@ def test_hot_event_id_is_cut_map_side(spark, skew_conf):
     partial = plan.find("WindowGroupLimit")
     assert "Partial" in plan and partial != -1
     assert out.filter(F.col("event_id") == "hot").count() == 1
+
+
+def test_conflict_flag_join_splits_a_hot_user(spark, skew_conf):
+    # every user conflicted (no broadcast possible at these settings); the hot user has a third of the rows
+    exposures = _exposures(spark).withColumns(
+        {
+            "kafka_ingestion_timestamp": F.lit(dt.datetime(2026, 1, 1)),
+            "kafka_value": F.concat(F.lit('{"payload":"'), F.col("event_id"), F.lit('"}')),
+        }
+    )
+    flagged = silver.flag_conflicts(exposures)
+    plan = _final_plan(silver.conflicted_exposures(flagged).select("event_id", "kafka_value"))
+    assert "SortMergeJoin(skew=true)" in plan
