@@ -133,3 +133,16 @@ def test_processing_time_trigger_stream(spark, tmp_path):
     finally:
         q.stop()
     assert spark.read.parquet(table_path(f"{root}/lake", "bronze", "exposures")).count() == 183
+
+
+def test_jobs_on_an_empty_lake(spark, tmp_path):
+    lake = str(tmp_path / "empty") + "/"
+    report = jobs.build_silver(spark, lake)
+    assert report["silver_exposures"] == 0 and report["bronze_behavior"] == 0
+    checks = {r.check_name: (r.status, r.observed_value) for r in jobs.run_quality(spark, lake).collect()}
+    assert checks["silver_exposures_has_rows"] == ("FAIL", 0.0)
+    assert checks["behavior_has_matching_exposure"] == ("PASS", 0.0)
+    paths = jobs.build_gold(spark, lake)
+    assert spark.read.parquet(paths["experiment_metrics"]).count() == 0
+    health = {r.metric_name: r.metric_value for r in spark.read.parquet(paths["data_health_summary"]).collect()}
+    assert set(health.values()) == {0}

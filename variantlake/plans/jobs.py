@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from variantlake.functions.domains import PARTITION_COLUMNS
 from variantlake.functions.expressions import behavior_is_valid
 from variantlake.operators import gold, quality, silver
-from variantlake.sources.lake import read_table, table_path, write_table
+from variantlake.sources.lake import observed, read_table, table_path, write_table
 from variantlake.sources.schemas import (
     BRONZE_BEHAVIOR_SCHEMA,
     BRONZE_EXPOSURES_SCHEMA,
@@ -90,7 +90,7 @@ def build_silver(
     finally:
         conflicts.unpersist()
         deduped.unpersist()
-    report["bronze_exposures"] = int(obs_e.get["rows"])
+    report["bronze_exposures"] = observed(obs_e, "rows")
     report["duplicates_removed_exposures"] = (
         report["bronze_exposures"] - report["silver_exposures"] - report["quarantine_exposures"]
     )
@@ -117,8 +117,8 @@ def build_silver(
         dynamic=dynamic,
         count_rows=True,
     )
-    report["bronze_behavior"] = int(obs_b.get["rows"])
-    report["valid_bots_dropped"] = int(obs_b.get["bots"])
+    report["bronze_behavior"] = observed(obs_b, "rows")
+    report["valid_bots_dropped"] = observed(obs_b, "bots")
     report["duplicates_removed_behavior"] = (
         report["bronze_behavior"]
         - report["silver_behavior"]

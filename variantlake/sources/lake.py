@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 
 LAYERS = ("bronze", "silver", "quarantine", "gold", "checkpoints")
@@ -70,6 +71,19 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
         return spark.createDataFrame([], schema)
 
 
+def observed(obs: Observation, name: str) -> int:
+    """An integer metric of a completed ``Observation``.
+
+    When the optimizer removed the observed plan because its input was provably
+    empty (e.g. a missing table read as an empty relation), no metrics row is
+    produced; that case counts as 0.
+    """
+    try:
+        return int(obs.get[name] or 0)
+    except Py4JJavaError:
+        return 0
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -104,4 +118,4 @@ def write_table(
             "partitionOverwriteMode", "dynamic" if dynamic else "static"
         )
     writer.parquet(path)
-    return int(obs.get["rows"]) if obs is not None else None
+    return observed(obs, "rows") if obs is not None else None
