@@ -2,8 +2,9 @@
 
 Each runner reads its inputs from the lake, calls the lazy operators and writes
 its outputs; any scheduler can call them. They take a caller-owned
-``SparkSession`` and never stop it. Row counts come from ``Observation`` metrics
-collected during the writes, so no table is counted in a second pass.
+``SparkSession`` and never stop it. Written row counts come from ``Observation``
+metrics collected in each write's final stage, so no output is counted in a
+second pass.
 
 The only reuse point is cached with ``persist(MEMORY_AND_DISK)``: lineage is
 kept, so a lost executor's blocks are recomputed rather than failing the job.
@@ -11,16 +12,14 @@ kept, so a lost executor's blocks are recomputed rather than failing the job.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantlake.functions.domains import PARTITION_COLUMNS
 from variantlake.functions.expressions import behavior_is_valid
 from variantlake.operators import gold, quality, silver
-from variantlake.sources.lake import observed, read_table, table_path, write_table
+from variantlake.sources.lake import read_table, table_path, write_table
 from variantlake.sources.schemas import (
     BRONZE_BEHAVIOR_SCHEMA,
     BRONZE_EXPOSURES_SCHEMA,
@@ -41,9 +40,16 @@ def _date_range(df: DataFrame, since: str | None, until: str | None) -> DataFram
     return df
 
 
-def _observe(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
-    obs = Observation(f"obs-{uuid.uuid4().hex[:8]}")
-    return df.observe(obs, *[c.alias(n) for n, c in metrics.items()]), obs
+def _input_counts(df: DataFrame, **metrics: Column) -> dict[str, int]:
+    """Row count (plus extra count metrics) of a job input, as one aggregate.
+
+    Counts of written rows come from ``Observation``s in the write's final stage.
+    Input counts are not observed: an observation inside a shuffle-map stage is
+    applied again when that stage re-runs after an executor loss, whereas an
+    aggregate stays exact. A bare row count reads only Parquet footers.
+    """
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]).first()
+    return {k: int(v or 0) for k, v in row.asDict().items()}
 
 
 def build_silver(
@@ -68,7 +74,7 @@ def build_silver(
     bronze_e = _date_range(
         read_table(spark, table_path(base, "bronze", "exposures"), BRONZE_EXPOSURES_SCHEMA), since, until
     )
-    enriched, obs_e = _observe(silver.enrich_exposures(bronze_e), rows=F.count(F.lit(1)))
+    enriched = silver.enrich_exposures(bronze_e)
     deduped = silver.dedup_keep_first(silver.valid_exposures(enriched)).persist(StorageLevel.MEMORY_AND_DISK)
     conflicts = silver.multi_variant_users(deduped).persist(StorageLevel.MEMORY_AND_DISK)
     flagged = silver.flag_conflicts(deduped, conflicts)
@@ -90,12 +96,12 @@ def build_silver(
     finally:
         conflicts.unpersist()
         deduped.unpersist()
-    report["bronze_exposures"] = observed(obs_e, "rows")
+    report["bronze_exposures"] = _input_counts(bronze_e)["rows"]
     report["duplicates_removed_exposures"] = (
         report["bronze_exposures"] - report["silver_exposures"] - report["quarantine_exposures"]
     )
 
-    # behavior: two independent scans (silver with de-dup, quarantine map-only)
+    # behavior: two independent scans (silver with de-dup, quarantine as a filter)
     bronze_b = _date_range(
         read_table(spark, table_path(base, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA), since, until
     )
@@ -107,18 +113,16 @@ def build_silver(
         dynamic=dynamic,
         count_rows=True,
     )
-    flat_obs, obs_b = _observe(
-        flat, rows=F.count(F.lit(1)), bots=F.count_if(behavior_is_valid() & F.col("is_bot"))
-    )
     report["quarantine_behavior"] = write_table(
-        silver.invalid_behavior(flat_obs),
+        silver.invalid_behavior(flat),
         table_path(base, "quarantine", "behavior"),
         PARTITION_COLUMNS,
         dynamic=dynamic,
         count_rows=True,
     )
-    report["bronze_behavior"] = observed(obs_b, "rows")
-    report["valid_bots_dropped"] = observed(obs_b, "bots")
+    counts = _input_counts(flat, bots=F.count_if(behavior_is_valid() & F.col("is_bot")))
+    report["bronze_behavior"] = counts["rows"]
+    report["valid_bots_dropped"] = counts["bots"]
     report["duplicates_removed_behavior"] = (
         report["bronze_behavior"]
         - report["silver_behavior"]
