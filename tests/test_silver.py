@@ -174,3 +174,17 @@ def test_fan_out_counts_repeated_exposures(spark):
     assert (per_user.converted_users, per_user.total_purchases, per_user.gross_revenue_gbp) == (1, 1, 10.0)
     seg = gold.segment_metrics(exp, beh).first()
     assert (seg.exposed_users, seg.converted_users, seg.revenue_gbp, seg.conversion_rate_pct) == (2, 2, 20.0, 100.0)
+
+
+def test_unused_first_purchase_time_is_pruned(spark):
+    """D13: the first-purchase time is part of user outcomes but never reaches the
+    experiment metrics; the optimizer removes its aggregation."""
+    exp = _exp(spark, [("a1", "x", "u1", "control", "2026-01-01", T0, "t", 0, 1, "GB", "organic", "ios")])
+    beh = spark.createDataFrame(
+        [("p1", "x", "u1", "purchase", 10.0, None, T0)],
+        "event_id string, experiment_id string, user_id string, event_name string, revenue_gbp double, "
+        "refund_gbp double, event_timestamp timestamp",
+    )
+    plan = gold.experiment_metrics(exp, beh)._jdf.queryExecution().optimizedPlan().toString()
+    assert "event_timestamp" not in plan
+    assert "event_timestamp" in gold.user_outcomes(beh)._jdf.queryExecution().optimizedPlan().toString()
