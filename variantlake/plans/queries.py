@@ -606,7 +606,7 @@ def q_gold_roundtrip(spark, sf):
     return comparable(spark.read.parquet(path))
 
 
-# --- reference parity: Bronze without properties.refund_gbp ---------------
+# --- upstream parity: Bronze without properties.refund_gbp ----------------
 
 _LEGACY_CTES = f""",
 legacy_flat AS (SELECT * REPLACE (CAST(NULL AS DOUBLE) AS refund_gbp) FROM flat_behavior),
