@@ -146,3 +146,13 @@ def test_jobs_on_an_empty_lake(spark, tmp_path):
     assert spark.read.parquet(paths["experiment_metrics"]).count() == 0
     health = {r.metric_name: r.metric_value for r in spark.read.parquet(paths["data_health_summary"]).collect()}
     assert set(health.values()) == {0}
+
+
+def test_cli_ingest_from_envelope_files(spark, tmp_path):
+    from variantlake.__main__ import main
+
+    root = str(tmp_path)
+    stage_topic(fixtures.behavior_envelopes(spark, SF_SMALL), f"{root}/topic/behavior")
+    args = ["ingest-behavior", "--base", f"{root}/lake", "--envelope-path", f"{root}/topic/behavior"]
+    assert main(args + ["--trigger", "availableNow"]) == 0
+    assert spark.read.parquet(table_path(f"{root}/lake", "bronze", "behavior")).count() == 1575

@@ -20,6 +20,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("job", choices=["ingest-exposures", "ingest-behavior", "silver", "quality", "gold"])
     p.add_argument("--base", required=True, help="lake base URI (s3a://..., file://..., or a path)")
     p.add_argument("--brokers", help="Kafka bootstrap servers (ingest jobs)")
+    p.add_argument(
+        "--envelope-path",
+        help="ingest from Parquet files with the Kafka envelope schema (e.g. an archived topic) instead of Kafka",
+    )
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--max-offsets-per-trigger", type=int)
     p.add_argument("--trigger", default="10 seconds", help='processing-time interval or "availableNow"')
@@ -38,13 +42,18 @@ def main(argv: list[str] | None = None) -> int:
         from variantlake.functions.domains import BEHAVIOR_TOPIC, EXPOSURE_TOPIC
 
         exposures = a.job == "ingest-exposures"
-        source = kafka_source(
-            spark,
-            a.brokers,
-            EXPOSURE_TOPIC if exposures else BEHAVIOR_TOPIC,
-            a.starting_offsets,
-            a.max_offsets_per_trigger,
-        )
+        if a.envelope_path:
+            from variantlake.sources.schemas import ENVELOPE_SCHEMA
+
+            source = spark.readStream.schema(ENVELOPE_SCHEMA).parquet(a.envelope_path)
+        else:
+            source = kafka_source(
+                spark,
+                a.brokers,
+                EXPOSURE_TOPIC if exposures else BEHAVIOR_TOPIC,
+                a.starting_offsets,
+                a.max_offsets_per_trigger,
+            )
         start = exposures_stream if exposures else behavior_stream
         start(spark, a.base, source=source, trigger=a.trigger).awaitTermination()
     elif a.job == "silver":
