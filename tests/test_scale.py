@@ -140,3 +140,15 @@ def test_conflict_flag_join_splits_a_hot_user(spark, skew_conf):
     flagged = silver.flag_conflicts(exposures)
     plan = _final_plan(silver.conflicted_exposures(flagged).select("event_id", "kafka_value"))
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_orphan_join_stays_above_the_pre_aggregation(spark, skew_conf):
+    """The optimizer pushes semi/anti joins below an aggregate on their keys; the orphan
+    join must keep joining pre-aggregated rows (one per user), not raw behavior rows."""
+    plan = gold.orphan_count(_behavior(spark), _exposures(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan
+    lines = plan.splitlines()
+    at = next(k for k, line in enumerate(lines) if "Join LeftOuter" in line)
+    indent = lines[at].index("Join")
+    children = [line[indent + 3 :] for line in lines[at + 1 :] if line[indent : indent + 3] in (":- ", "+- ")]
+    assert len(children) == 2 and all(child.startswith("Aggregate") for child in children)
