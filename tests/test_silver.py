@@ -188,3 +188,17 @@ def test_unused_first_purchase_time_is_pruned(spark):
     plan = gold.experiment_metrics(exp, beh)._jdf.queryExecution().optimizedPlan().toString()
     assert "min(event_timestamp" not in plan
     assert "min(event_timestamp" in gold.user_outcomes(beh)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_conflicts_are_judged_after_de_duplication(spark):
+    """A later retry of an event with another variant is dropped by keep-first
+    de-dup, so it must not make the user conflicted."""
+    later = T0 + dt.timedelta(seconds=9)
+    rows = [
+        ("e1", "x", "u1", "control", "2026-01-01", T0, "t", 0, 1),
+        ("e1", "x", "u1", "treatment", "2026-01-01", later, "t", 0, 2),
+        ("e2", "x", "u1", "control", "2026-01-01", T0, "t", 0, 3),
+    ]
+    clean, quarantine = silver.silver_exposures(_exp(spark, rows))
+    assert sorted((r.event_id, r.assigned_variant) for r in clean.collect()) == [("e1", "control"), ("e2", "control")]
+    assert quarantine.count() == 0
