@@ -4,9 +4,10 @@ Upstream runs 16 separate count actions plus one tiny DataFrame per result. Here
 each table is aggregated once: a ``groupBy(event_id)`` whose partial aggregates
 carry every per-row condition as ``count_if`` (duplicate-id detection needs that
 grouping anyway), then a global sum. Check 7 is one aggregate by
-(experiment, user); check 14 is an anti-join of per-user behavior counts against
-the distinct exposed users (both pre-aggregated, so no hot key reaches it). Results become rows with ``explode(array(struct(...)))`` - nothing
-is collected to the driver.
+(experiment, user); check 14 matches per-user behavior counts against the
+distinct exposed users (``gold.orphan_count``: both sides pre-aggregated, so no
+hot key reaches the join). Results become rows with
+``explode(array(struct(...)))`` - nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from variantlake.operators.gold import orphan_count
 from variantlake.functions.domains import (
     PURCHASE,
     QUALITY_CHECKS,
@@ -24,6 +24,7 @@ from variantlake.functions.domains import (
     VALID_BEHAVIOR_EVENTS,
     VALID_VARIANTS,
 )
+from variantlake.operators.gold import orphan_count
 
 _CATALOG = {name: (table, threshold, desc) for name, table, threshold, desc in QUALITY_CHECKS}
 _ORDER = {name: i + 1 for i, (name, *_rest) in enumerate(QUALITY_CHECKS)}
