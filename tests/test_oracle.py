@@ -9,6 +9,13 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 TABLES = ["customer", "nation", "orders", "events"]
+SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
 
 
 def _norm(v):
@@ -42,6 +49,8 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(E.oracle_sql()[name])
     d_cols, d_rows = _rows(rel.columns, rel.fetchall())
     assert s_cols == d_cols
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert s_types == dict(zip(rel.columns, (str(t) for t in rel.types)))
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
 
