@@ -12,6 +12,8 @@ kept, so a lost executor's blocks are recomputed rather than failing the job.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,17 @@ def _date_range(df: DataFrame, since: str | None, until: str | None) -> DataFram
     return df
 
 
+def _concurrently(*actions):
+    """Run independent Spark actions as concurrent jobs; return their results in order.
+
+    Each action is its own job, so independent writes (e.g. Silver and quarantine)
+    share the cluster instead of queueing; the first error is re-raised.
+    """
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = [pool.submit(a) for a in actions]
+        return [f.result() for f in futures]
+
+
 def _input_counts(df: DataFrame, **metrics: Column) -> dict[str, int]:
     """Row count (plus extra count metrics) of a job input, as one aggregate.
 
@@ -79,24 +92,27 @@ def build_silver(
     conflicts = silver.multi_variant_users(deduped).persist(StorageLevel.MEMORY_AND_DISK)
     flagged = silver.flag_conflicts(deduped, conflicts)
     try:
-        report["silver_exposures"] = write_table(
-            silver.clean_exposures(flagged),
-            table_path(base, "silver", "exposures"),
-            PARTITION_COLUMNS,
-            dynamic=dynamic,
-            count_rows=True,
-        )
-        report["quarantine_exposures"] = write_table(
-            silver.quarantine_union(silver.invalid_exposures(enriched), silver.conflicted_exposures(flagged)),
-            table_path(base, "quarantine", "exposures"),
-            PARTITION_COLUMNS,
-            dynamic=dynamic,
-            count_rows=True,
+        report["silver_exposures"], report["quarantine_exposures"], counts = _concurrently(
+            lambda: write_table(
+                silver.clean_exposures(flagged),
+                table_path(base, "silver", "exposures"),
+                PARTITION_COLUMNS,
+                dynamic=dynamic,
+                count_rows=True,
+            ),
+            lambda: write_table(
+                silver.quarantine_union(silver.invalid_exposures(enriched), silver.conflicted_exposures(flagged)),
+                table_path(base, "quarantine", "exposures"),
+                PARTITION_COLUMNS,
+                dynamic=dynamic,
+                count_rows=True,
+            ),
+            lambda: _input_counts(bronze_e),
         )
     finally:
         conflicts.unpersist()
         deduped.unpersist()
-    report["bronze_exposures"] = _input_counts(bronze_e)["rows"]
+    report["bronze_exposures"] = counts["rows"]
     report["duplicates_removed_exposures"] = (
         report["bronze_exposures"] - report["silver_exposures"] - report["quarantine_exposures"]
     )
@@ -106,21 +122,23 @@ def build_silver(
         read_table(spark, table_path(base, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA), since, until
     )
     flat = silver.flatten_behavior(bronze_b)
-    report["silver_behavior"] = write_table(
-        silver.dedup_keep_first(silver.valid_behavior(flat)),
-        table_path(base, "silver", "behavior"),
-        PARTITION_COLUMNS,
-        dynamic=dynamic,
-        count_rows=True,
-    )
-    report["quarantine_behavior"] = write_table(
-        silver.invalid_behavior(flat),
-        table_path(base, "quarantine", "behavior"),
-        PARTITION_COLUMNS,
-        dynamic=dynamic,
-        count_rows=True,
+    report["silver_behavior"], report["quarantine_behavior"], counts = _concurrently(
+        lambda: write_table(
+            silver.dedup_keep_first(silver.valid_behavior(flat)),
+            table_path(base, "silver", "behavior"),
+            PARTITION_COLUMNS,
+            dynamic=dynamic,
+            count_rows=True,
+        ),
+        lambda: write_table(
+            silver.invalid_behavior(flat),
+            table_path(base, "quarantine", "behavior"),
+            PARTITION_COLUMNS,
+            dynamic=dynamic,
+            count_rows=True,
+        ),
+        lambda: _input_counts(flat, bots=F.count_if(behavior_is_valid() & F.col("is_bot"))),
     )
-    counts = _input_counts(flat, bots=F.count_if(behavior_is_valid() & F.col("is_bot")))
     report["bronze_behavior"] = counts["rows"]
     report["valid_bots_dropped"] = counts["bots"]
     report["duplicates_removed_behavior"] = (
@@ -167,12 +185,14 @@ def build_gold(spark: SparkSession, base: str, show: bool = False) -> dict[str,
     }
     outcomes = gold.exposure_outcomes(exposures, behavior).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_table(gold.experiment_metrics_from(outcomes), paths["experiment_metrics"])
-        write_table(gold.segment_metrics_from(outcomes), paths["segment_metrics"])
+        _concurrently(
+            lambda: write_table(gold.experiment_metrics_from(outcomes), paths["experiment_metrics"]),
+            lambda: write_table(gold.segment_metrics_from(outcomes), paths["segment_metrics"]),
+            lambda: write_table(gold.funnel_metrics(exposures, behavior), paths["funnel_metrics"]),
+            lambda: write_table(gold.health_summary(exposures, behavior), paths["data_health_summary"]),
+        )
     finally:
         outcomes.unpersist()
-    write_table(gold.funnel_metrics(exposures, behavior), paths["funnel_metrics"])
-    write_table(gold.health_summary(exposures, behavior), paths["data_health_summary"])
     if show:
         for name in ("experiment_metrics", "funnel_metrics"):
             spark.read.parquet(paths[name]).show(truncate=False)
