@@ -6,8 +6,9 @@ its outputs; any scheduler can call them. They take a caller-owned
 metrics collected in each write's final stage, so no output is counted in a
 second pass.
 
-The only reuse point is cached with ``persist(MEMORY_AND_DISK)``: lineage is
-kept, so a lost executor's blocks are recomputed rather than failing the job.
+Reuse points are cached with ``persist(MEMORY_AND_DISK)``: lineage is kept, so
+a lost executor's blocks are recomputed rather than failing the job. Independent
+writes of one runner are submitted as concurrent jobs.
 """
 
 from __future__ import annotations
