@@ -179,10 +179,15 @@ FROM (
 
 # comparable column lists -------------------------------------------------------
 
+# partition values (NULL for rows without an event time) as text, as in the
+# directory names: a NULL-able integer column is typed differently by the two
+# engines' pandas conversions, text is not
+DATE_PARTS = "CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, CAST(day AS VARCHAR) AS day"
+
 _COMMON = (
     "event_type, event_id, experiment_id, user_id, session_id, device, country, traffic_source, app_version, "
     'event_time, kafka_key, kafka_value, kafka_ingestion_timestamp, topic, "partition", "offset", '
-    f"{ts('event_timestamp')} AS event_timestamp, year, month, day"
+    f"{ts('event_timestamp')} AS event_timestamp, {DATE_PARTS}"
 )
 BRONZE_EXPOSURE_COLS = "assigned_variant, " + _COMMON
 BRONZE_BEHAVIOR_COLS = (

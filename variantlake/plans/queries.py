@@ -413,7 +413,7 @@ def q_orphans(spark, sf):
 
 
 _ENVELOPE_COLS = 'kafka_key, kafka_value, kafka_ingestion_timestamp, topic, "partition", "offset"'
-_NO_TIME = ', {ts} AS event_timestamp, year, month, day'.format(ts=O.ts("event_timestamp"))
+_NO_TIME = ", {ts} AS event_timestamp, {parts}".format(ts=O.ts("event_timestamp"), parts=O.DATE_PARTS)
 
 
 @register(
@@ -455,7 +455,7 @@ def q_events_props(spark, sf):
     )
 
 
-_TIME_PARTS = f"topic, event_id, event_time, {O.ts('event_timestamp')} AS event_timestamp, year, month, day"
+_TIME_PARTS = f"topic, event_id, event_time, {O.ts('event_timestamp')} AS event_timestamp, {O.DATE_PARTS}"
 
 
 @register(
@@ -476,9 +476,9 @@ _IN_DOMAIN = f"event_name IN {O.EVENTS_IN}"
     "scalar_semantics",
     O.with_base(
         f"""
-SELECT event_id, {O.FUNNEL_CASE} AS funnel_order, {O.r2("revenue_gbp / 3")} AS revenue_third,
-  {_IN_DOMAIN} AS in_domain, NOT ({_IN_DOMAIN}) AS not_in_domain,
-  revenue_gbp >= 0 AS revenue_non_negative, COALESCE(revenue_gbp, refund_gbp, 0.0) AS amount_or_zero,
+SELECT event_id, CAST({O.FUNNEL_CASE} AS VARCHAR) AS funnel_order, {O.r2("revenue_gbp / 3")} AS revenue_third,
+  CAST({_IN_DOMAIN} AS VARCHAR) AS in_domain, CAST(NOT ({_IN_DOMAIN}) AS VARCHAR) AS not_in_domain,
+  CAST(revenue_gbp >= 0 AS VARCHAR) AS revenue_non_negative, COALESCE(revenue_gbp, refund_gbp, 0.0) AS amount_or_zero,
   CASE WHEN event_name = 'purchase' THEN 1 ELSE 0 END AS is_purchase
 FROM flat_behavior
 """
@@ -488,13 +488,14 @@ def q_scalar_semantics(spark, sf):
     """round HALF_UP, map lookup miss -> NULL, three-valued IN / NOT IN / comparisons, coalesce."""
     flat = silver.flatten_behavior(bronze_b(spark, sf))
     in_domain = F.col("event_name").isin(VALID_BEHAVIOR_EVENTS)
+    # NULL-able integer / boolean results are compared as text (see plans.compare)
     return flat.select(
         "event_id",
-        _funnel_order("event_name").alias("funnel_order"),
+        _funnel_order("event_name").cast("string").alias("funnel_order"),
         F.round(F.col("revenue_gbp") / 3, 2).alias("revenue_third"),
-        in_domain.alias("in_domain"),
-        (~in_domain).alias("not_in_domain"),
-        (F.col("revenue_gbp") >= 0).alias("revenue_non_negative"),
+        in_domain.cast("string").alias("in_domain"),
+        (~in_domain).cast("string").alias("not_in_domain"),
+        (F.col("revenue_gbp") >= 0).cast("string").alias("revenue_non_negative"),
         F.coalesce("revenue_gbp", "refund_gbp", F.lit(0.0)).alias("amount_or_zero"),
         F.when(F.col("event_name") == "purchase", 1).otherwise(0).alias("is_purchase"),
     )
@@ -549,7 +550,8 @@ def q_stream_behavior(spark, sf):
     "bronze_late_partition",
     O.with_base(
         """
-SELECT year, month, day, count(*) AS rows, min(event_time) AS min_event_time, max(event_time) AS max_event_time,
+SELECT CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, CAST(day AS VARCHAR) AS day,
+  count(*) AS rows, min(event_time) AS min_event_time, max(event_time) AS max_event_time,
   count(*) FILTER (WHERE epoch(CAST(event_time AS TIMESTAMP)) < kafka_ingestion_timestamp) AS late_rows
 FROM bronze_behavior GROUP BY year, month, day
 """
@@ -561,11 +563,13 @@ def q_late_partition(spark, sf):
     base = _stream_into_lake(spark, sf, "behavior")
     bronze = read_table(spark, table_path(base, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA)
     event_epoch = F.unix_timestamp(F.concat(F.col("event_time"), F.lit(" UTC")), "yyyy-MM-dd HH:mm:ss z")
-    return bronze.groupBy(*PARTITION_COLUMNS).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("event_time").alias("min_event_time"),
-        F.max("event_time").alias("max_event_time"),
-        F.count_if(event_epoch < F.unix_timestamp("kafka_ingestion_timestamp")).alias("late_rows"),
+    return comparable(
+        bronze.groupBy(*PARTITION_COLUMNS).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.min("event_time").alias("min_event_time"),
+            F.max("event_time").alias("max_event_time"),
+            F.count_if(event_epoch < F.unix_timestamp("kafka_ingestion_timestamp")).alias("late_rows"),
+        )
     )
 
 
@@ -575,9 +579,11 @@ def q_late_partition(spark, sf):
         """
 , v1 AS (SELECT year, month, day, count(*) AS n FROM enriched_exposures GROUP BY year, month, day),
 v2 AS (SELECT year, month, day, count(*) AS n FROM silver_exposures GROUP BY year, month, day)
-SELECT year, month, day, 2 AS version, n AS rows FROM v2
+SELECT CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, CAST(day AS VARCHAR) AS day,
+  2 AS version, n AS rows FROM v2
 UNION ALL
-SELECT year, month, day, 1 AS version, n AS rows FROM v1 WHERE NOT EXISTS (
+SELECT CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, CAST(day AS VARCHAR) AS day,
+  1 AS version, n AS rows FROM v1 WHERE NOT EXISTS (
   SELECT 1 FROM v2 WHERE v2.year IS NOT DISTINCT FROM v1.year AND v2.month IS NOT DISTINCT FROM v1.month
     AND v2.day IS NOT DISTINCT FROM v1.day)
 """
@@ -591,10 +597,8 @@ def q_dynamic_overwrite(spark, sf):
     enriched = silver.enrich_exposures(bronze_e(spark, sf))
     write_table(enriched.withColumn("version", F.lit(1)), path, PARTITION_COLUMNS)
     write_table(silver_e(spark, sf).withColumn("version", F.lit(2)), path, PARTITION_COLUMNS, dynamic=True)
-    return (
-        spark.read.parquet(path)
-        .groupBy(*PARTITION_COLUMNS, "version")
-        .agg(F.count(F.lit(1)).alias("rows"))
+    return comparable(
+        spark.read.parquet(path).groupBy(*PARTITION_COLUMNS, "version").agg(F.count(F.lit(1)).alias("rows"))
     )
 
 
