@@ -32,7 +32,11 @@ from variantlake.sources.schemas import (
 
 
 def _date_range(df: DataFrame, since: str | None, until: str | None) -> DataFrame:
-    """Optional event-date window on the year/month/day partition columns (pruned at the scan)."""
+    """Optional event-date window on the year/month/day partition columns (pruned at the scan).
+
+    Rows without an event date (the NULL partition, all quarantined as invalid) are
+    read only by runs without a window.
+    """
     if since is None and until is None:
         return df
     d = F.make_date("year", "month", "day")
