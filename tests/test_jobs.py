@@ -156,3 +156,9 @@ def test_cli_ingest_from_envelope_files(spark, tmp_path):
     args = ["ingest-behavior", "--base", f"{root}/lake", "--envelope-path", f"{root}/topic/behavior"]
     assert main(args + ["--trigger", "availableNow"]) == 0
     assert spark.read.parquet(table_path(f"{root}/lake", "bronze", "behavior")).count() == 1575
+
+
+def test_concurrent_actions_keep_order_and_raise(spark):
+    assert jobs._concurrently(lambda: spark.range(3).count(), lambda: spark.range(5).count()) == [3, 5]
+    with pytest.raises(Exception):
+        jobs._concurrently(lambda: spark.range(1).count(), lambda: spark.sql("SELECT * FROM no_such_table").count())
