@@ -76,10 +76,11 @@ BEHAVIOR_INVALID = (
     "OR (event_name = 'refund' AND (refund_gbp IS NULL OR refund_gbp < 0))"
 )
 DEDUP_ORDER = 'kafka_ingestion_timestamp ASC NULLS FIRST, topic ASC NULLS FIRST, "partition" ASC NULLS FIRST, "offset" ASC NULLS FIRST'
-FUNNEL_CASE = (
-    "CASE event_name WHEN 'page_view' THEN 1 WHEN 'product_view' THEN 2 WHEN 'add_to_cart' THEN 3 "
-    "WHEN 'checkout_started' THEN 4 WHEN 'payment_failed' THEN 5 WHEN 'purchase' THEN 6 WHEN 'refund' THEN 7 END"
-)
+def funnel_case(column: str = "event_name") -> str:
+    return (
+        f"CASE {column} WHEN 'page_view' THEN 1 WHEN 'product_view' THEN 2 WHEN 'add_to_cart' THEN 3 "
+        "WHEN 'checkout_started' THEN 4 WHEN 'payment_failed' THEN 5 WHEN 'purchase' THEN 6 WHEN 'refund' THEN 7 END"
+    )
 
 BASE_CTES = f"""
 fx_exposures AS ({EXPOSURES_SQL.format(customer="customer", nation="nation")}),
@@ -155,8 +156,12 @@ exposure_counts AS (
 """
 
 
-def with_base(select: str) -> str:
-    return f"WITH {BASE_CTES.strip()}\n{select.strip()}\n"
+def with_base(select: str, extra_ctes: str = "") -> str:
+    """``WITH <base CTEs>[, <extra CTEs>] <select>``."""
+    ctes = BASE_CTES.strip()
+    if extra_ctes.strip():
+        ctes += ",\n" + extra_ctes.strip()
+    return f"WITH {ctes}\n{select.strip()}\n"
 
 
 def metrics_select(source: str) -> str:
@@ -184,18 +189,27 @@ FROM (
 # engines' pandas conversions, text is not
 DATE_PARTS = "CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, CAST(day AS VARCHAR) AS day"
 
-_COMMON = (
+_PARSED = (
     "event_type, event_id, experiment_id, user_id, session_id, device, country, traffic_source, app_version, "
-    'event_time, kafka_key, kafka_value, kafka_ingestion_timestamp, topic, "partition", "offset", '
-    f"{ts('event_timestamp')} AS event_timestamp, {DATE_PARTS}"
+    'event_time, kafka_key, kafka_value, kafka_ingestion_timestamp, topic, "partition", "offset"'
 )
-BRONZE_EXPOSURE_COLS = "assigned_variant, " + _COMMON
-BRONZE_BEHAVIOR_COLS = (
-    "event_name, "
-    + _COMMON
-    + ", properties.page AS properties_page, properties.is_bot AS properties_is_bot, "
+_TIME = f"{ts('event_timestamp')} AS event_timestamp, {DATE_PARTS}"
+_COMMON = f"{_PARSED}, {_TIME}"
+_PROPS = (
+    "properties.page AS properties_page, properties.is_bot AS properties_is_bot, "
     "properties.revenue_gbp AS properties_revenue_gbp, properties.failure_reason AS properties_failure_reason, "
     "properties.refund_gbp AS properties_refund_gbp"
 )
+# after JSON parsing only (no event-time columns yet)
+PARSED_EXPOSURE_COLS = f"assigned_variant, {_PARSED}"
+PARSED_BEHAVIOR_COLS = f"event_name, {_PARSED}, {_PROPS}"
+# Bronze as stored
+BRONZE_EXPOSURE_COLS = f"assigned_variant, {_COMMON}"
+BRONZE_BEHAVIOR_COLS = f"event_name, {_COMMON}, {_PROPS}"
 SILVER_EXPOSURE_COLS = BRONZE_EXPOSURE_COLS + ", is_bot"
-SILVER_BEHAVIOR_COLS = "event_name, " + _COMMON + ", page_url, is_bot, revenue_gbp, refund_gbp, failure_reason"
+SILVER_BEHAVIOR_COLS = f"event_name, {_COMMON}, page_url, is_bot, revenue_gbp, refund_gbp, failure_reason"
+# flattened from a Bronze without the properties struct: typed NULLs, is_bot false
+NO_PROPERTIES_BEHAVIOR_COLS = (
+    f"event_name, {_COMMON}, CAST(NULL AS VARCHAR) AS page_url, false AS is_bot, CAST(NULL AS DOUBLE) AS revenue_gbp, "
+    "CAST(NULL AS DOUBLE) AS refund_gbp, CAST(NULL AS VARCHAR) AS failure_reason"
+)

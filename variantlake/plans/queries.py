@@ -148,14 +148,7 @@ def q_flatten(spark, sf):
     return comparable(silver.flatten_behavior(bronze_b(spark, sf)))
 
 
-_NO_PROPS = O.SILVER_BEHAVIOR_COLS.replace(
-    "page_url, is_bot, revenue_gbp, refund_gbp, failure_reason",
-    "CAST(NULL AS VARCHAR) AS page_url, false AS is_bot, CAST(NULL AS DOUBLE) AS revenue_gbp, "
-    "CAST(NULL AS DOUBLE) AS refund_gbp, CAST(NULL AS VARCHAR) AS failure_reason",
-)
-
-
-@register("silver_flatten_no_properties", _sel(_NO_PROPS, "bronze_behavior"))
+@register("silver_flatten_no_properties", _sel(O.NO_PROPERTIES_BEHAVIOR_COLS, "bronze_behavior"))
 def q_flatten_no_props(spark, sf):
     return comparable(silver.flatten_behavior(bronze_b(spark, sf).drop("properties")))
 
@@ -266,7 +259,7 @@ def q_exposure_counts(spark, sf):
         f"""
 SELECT f.experiment_id, f.assigned_variant, f.event_name, f.users_reached_stage, c.exposed_users,
   {O.r2("f.users_reached_stage / c.exposed_users * 100")} AS stage_rate_pct,
-  {O.FUNNEL_CASE.replace("CASE event_name", "CASE f.event_name")} AS funnel_order
+  {O.funnel_case("f.event_name")} AS funnel_order
 FROM (
   SELECT * FROM (
     SELECT u.experiment_id, u.assigned_variant, s.event_name, count(DISTINCT u.user_id) AS users_reached_stage
@@ -413,7 +406,6 @@ def q_orphans(spark, sf):
 
 
 _ENVELOPE_COLS = 'kafka_key, kafka_value, kafka_ingestion_timestamp, topic, "partition", "offset"'
-_NO_TIME = ", {ts} AS event_timestamp, {parts}".format(ts=O.ts("event_timestamp"), parts=O.DATE_PARTS)
 
 
 @register(
@@ -427,12 +419,12 @@ def q_envelope_decode(spark, sf):
     return comparable(K.decode_envelope(envelopes))
 
 
-@register("bronze_parse_exposures", _sel(O.BRONZE_EXPOSURE_COLS.replace(_NO_TIME, ""), "bronze_exposures"))
+@register("bronze_parse_exposures", _sel(O.PARSED_EXPOSURE_COLS, "bronze_exposures"))
 def q_parse_exposures(spark, sf):
     return comparable(K.parse_json(K.decode_envelope(fixtures.exposure_envelopes(spark, sf)), EXPOSURE_JSON_SCHEMA))
 
 
-@register("bronze_parse_behavior", _sel(O.BRONZE_BEHAVIOR_COLS.replace(_NO_TIME, ""), "bronze_behavior"))
+@register("bronze_parse_behavior", _sel(O.PARSED_BEHAVIOR_COLS, "bronze_behavior"))
 def q_parse_behavior(spark, sf):
     return comparable(K.parse_json(K.decode_envelope(fixtures.behavior_envelopes(spark, sf)), BEHAVIOR_JSON_SCHEMA))
 
@@ -476,7 +468,7 @@ _IN_DOMAIN = f"event_name IN {O.EVENTS_IN}"
     "scalar_semantics",
     O.with_base(
         f"""
-SELECT event_id, CAST({O.FUNNEL_CASE} AS VARCHAR) AS funnel_order, {O.r2("revenue_gbp / 3")} AS revenue_third,
+SELECT event_id, CAST({O.funnel_case()} AS VARCHAR) AS funnel_order, {O.r2("revenue_gbp / 3")} AS revenue_third,
   CAST({_IN_DOMAIN} AS VARCHAR) AS in_domain, CAST(NOT ({_IN_DOMAIN}) AS VARCHAR) AS not_in_domain,
   CAST(revenue_gbp >= 0 AS VARCHAR) AS revenue_non_negative, COALESCE(revenue_gbp, refund_gbp, 0.0) AS amount_or_zero,
   CASE WHEN event_name = 'purchase' THEN 1 ELSE 0 END AS is_purchase
@@ -577,8 +569,6 @@ def q_late_partition(spark, sf):
     "dynamic_partition_overwrite",
     O.with_base(
         """
-, v1 AS (SELECT year, month, day, count(*) AS n FROM enriched_exposures GROUP BY year, month, day),
-v2 AS (SELECT year, month, day, count(*) AS n FROM silver_exposures GROUP BY year, month, day)
 SELECT CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, CAST(day AS VARCHAR) AS day,
   2 AS version, n AS rows FROM v2
 UNION ALL
@@ -586,8 +576,12 @@ SELECT CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, CAST(day
   1 AS version, n AS rows FROM v1 WHERE NOT EXISTS (
   SELECT 1 FROM v2 WHERE v2.year IS NOT DISTINCT FROM v1.year AND v2.month IS NOT DISTINCT FROM v1.month
     AND v2.day IS NOT DISTINCT FROM v1.day)
-"""
-    ).replace("\n\n, v1 AS", ",\nv1 AS"),
+""",
+        extra_ctes="""
+v1 AS (SELECT year, month, day, count(*) AS n FROM enriched_exposures GROUP BY year, month, day),
+v2 AS (SELECT year, month, day, count(*) AS n FROM silver_exposures GROUP BY year, month, day)
+""",
+    ),
 )
 def q_dynamic_overwrite(spark, sf):
     """Write all enriched exposures (version 1), then Silver (version 2) with dynamic
@@ -612,7 +606,7 @@ def q_gold_roundtrip(spark, sf):
 
 # --- upstream parity: Bronze without properties.refund_gbp ----------------
 
-_LEGACY_CTES = f""",
+_LEGACY_CTES = f"""
 legacy_flat AS (SELECT * REPLACE (CAST(NULL AS DOUBLE) AS refund_gbp) FROM flat_behavior),
 legacy_silver AS (
   SELECT * EXCLUDE (rn) FROM (
@@ -628,9 +622,7 @@ def _legacy_bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "silver_behavior_refund_field_absent",
-    O.with_base(_LEGACY_CTES + f"\nSELECT {O.SILVER_BEHAVIOR_COLS} FROM legacy_silver").replace(
-        "\n,\nlegacy_flat", ",\nlegacy_flat"
-    ),
+    O.with_base(f"SELECT {O.SILVER_BEHAVIOR_COLS} FROM legacy_silver", extra_ctes=_LEGACY_CTES),
 )
 def q_legacy_silver_behavior(spark, sf):
     """With the upstream Bronze schema every refund carries a NULL amount and is quarantined."""
@@ -638,19 +630,16 @@ def q_legacy_silver_behavior(spark, sf):
 
 
 _LEGACY_METRICS = O.with_base(
-    _LEGACY_CTES
-    + """,
+    O.metrics_select("legacy_outcomes"),
+    extra_ctes=_LEGACY_CTES
+    + f""",
 legacy_purchases AS (
   SELECT experiment_id, user_id, count(DISTINCT event_id) AS purchase_count,
-    """
-    + O.r2("sum(revenue_gbp)")
-    + """ AS purchase_revenue_gbp
+    {O.r2("sum(revenue_gbp)")} AS purchase_revenue_gbp
   FROM legacy_silver WHERE event_name = 'purchase' GROUP BY experiment_id, user_id),
 legacy_refunds AS (
   SELECT experiment_id, user_id, count(DISTINCT event_id) AS refund_count,
-    """
-    + O.r2("sum(refund_gbp)")
-    + """ AS refund_amount_gbp
+    {O.r2("sum(refund_gbp)")} AS refund_amount_gbp
   FROM legacy_silver WHERE event_name = 'refund' GROUP BY experiment_id, user_id),
 legacy_outcomes AS (
   SELECT e.*, CASE WHEN p.purchase_count IS NOT NULL THEN 1 ELSE 0 END AS converted,
@@ -660,10 +649,8 @@ legacy_outcomes AS (
     COALESCE(p.purchase_revenue_gbp, 0.0) - COALESCE(r.refund_amount_gbp, 0.0) AS net_revenue_gbp
   FROM silver_exposures e
   LEFT JOIN legacy_purchases p ON e.experiment_id = p.experiment_id AND e.user_id = p.user_id
-  LEFT JOIN legacy_refunds r ON e.experiment_id = r.experiment_id AND e.user_id = r.user_id)
-"""
-    + O.metrics_select("legacy_outcomes")
-).replace("\n,\nlegacy_flat", ",\nlegacy_flat")
+  LEFT JOIN legacy_refunds r ON e.experiment_id = r.experiment_id AND e.user_id = r.user_id)""",
+)
 
 
 @register("gold_experiment_metrics_refund_field_absent", _LEGACY_METRICS)
