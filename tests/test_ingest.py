@@ -73,3 +73,17 @@ def test_event_time_parts_bad_time_and_zone_offset(spark):
     assert got["2026-05-09T10:11:12.123456+02:00"].ts == "2026-05-09 08:11:12.123456"
     assert (got["2026-05-09T10:11:12.123456+02:00"].year, got["2026-05-09T10:11:12.123456+02:00"].day) == (2026, 9)
     assert got[None].ts is None
+
+
+def test_reparse_recovers_fields_missing_from_an_old_bronze_schema(spark):
+    from tests.conftest import SF_SMALL
+    from variantlake.sources import fixtures
+
+    old = fixtures.bronze_behavior(spark, SF_SMALL).withColumn(
+        "properties", F.col("properties").dropFields("refund_gbp")
+    )
+    assert silver.silver_behavior(old)[0].filter(F.col("event_name") == "refund").count() == 0
+    recovered = K.reparse_bronze(old, BEHAVIOR_JSON_SCHEMA)
+    clean = silver.silver_behavior(recovered)[0]
+    assert clean.filter(F.col("event_name") == "refund").count() > 0
+    assert clean.count() == silver.silver_behavior(fixtures.bronze_behavior(spark, SF_SMALL))[0].count()

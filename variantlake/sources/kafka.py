@@ -91,3 +91,13 @@ def exposures_bronze(envelopes: DataFrame) -> DataFrame:
 
 def behavior_bronze(envelopes: DataFrame) -> DataFrame:
     return envelope_to_bronze(envelopes, BEHAVIOR_JSON_SCHEMA)
+
+
+def reparse_bronze(bronze: DataFrame, schema: StructType) -> DataFrame:
+    """Rebuild Bronze columns from the raw ``kafka_value`` it keeps, with a newer schema.
+
+    E.g. Bronze written before ``properties.refund_gbp`` was in the schema still
+    holds the refund amounts in its JSON text; re-parsing recovers them without
+    re-reading the topic. Narrow (projection only).
+    """
+    return add_event_time(parse_json(bronze.select(*ENVELOPE_COLUMNS), schema))
