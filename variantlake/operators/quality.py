@@ -102,10 +102,8 @@ def run_checks(exposures: DataFrame, behavior: DataFrame, as_of: Column | None =
             "future": F.col("event_timestamp") > now,
         },
     )
-    users = exposures.groupBy(*USER_KEY).agg(
-        F.min("assigned_variant").alias("_vmin"), F.max("assigned_variant").alias("_vmax")
-    )
-    multi = users.agg(F.count_if(F.col("_vmin") != F.col("_vmax")).alias("multi_variant_users"))
+    users = exposures.groupBy(*USER_KEY).agg(F.count_distinct("assigned_variant").alias("_variants"))
+    multi = users.agg(F.count_if(F.col("_variants") > 1).alias("multi_variant_users"))
     orphans = orphan_count(behavior, exposures)
 
     parts = [
