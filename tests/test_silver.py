@@ -202,3 +202,39 @@ def test_conflicts_are_judged_after_de_duplication(spark):
     clean, quarantine = silver.silver_exposures(_exp(spark, rows))
     assert sorted((r.event_id, r.assigned_variant) for r in clean.collect()) == [("e1", "control"), ("e2", "control")]
     assert quarantine.count() == 0
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from([None, "e1", "e2", "e3", "e4"]),
+            st.sampled_from(["x", "y"]),
+            st.sampled_from([None, "u1", "u2", "u3"]),
+            st.sampled_from([None, "control", "treatment", "holdout"]),
+            st.sampled_from([None, "2026-01-01", "2026-01-02", "bad"]),
+            st.integers(min_value=0, max_value=3),
+        ),
+        max_size=14,
+    )
+)
+def test_silver_exposure_split_properties(spark, rows):
+    data = [
+        (eid, xid, uid, v, t, T0 + dt.timedelta(seconds=lag), "t", 0, i)
+        for i, (eid, xid, uid, v, t, lag) in enumerate(rows)
+    ]
+    bronze = _exp(spark, data)
+    clean, quarantine = silver.silver_exposures(bronze)
+    enriched = silver.enrich_exposures(bronze)
+    valid = silver.valid_exposures(enriched)
+    dups = valid.count() - silver.dedup_keep_first(valid).count()
+    c, q = clean.collect(), quarantine.collect()
+    # conservation: every bronze row is in Silver, in quarantine, or a removed duplicate
+    assert len(data) == len(c) + len(q) + dups
+    # Silver: unique event ids, one variant per (experiment, user), disjoint from quarantine
+    assert len({r.offset for r in c}) == len({r.event_id for r in c}) == len(c)
+    variants = {}
+    for r in c:
+        variants.setdefault((r.experiment_id, r.user_id), set()).add(r.assigned_variant)
+    assert all(len(v) == 1 for v in variants.values())
+    assert not ({r.offset for r in c} & {r.offset for r in q})
