@@ -238,3 +238,35 @@ def test_silver_exposure_split_properties(spark, rows):
         variants.setdefault((r.experiment_id, r.user_id), set()).add(r.assigned_variant)
     assert all(len(v) == 1 for v in variants.values())
     assert not ({r.offset for r in c} & {r.offset for r in q})
+
+
+@settings(max_examples=10, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from([None, "b1", "b2", "b3"]),
+            st.sampled_from([None, "u1", "u2"]),
+            st.sampled_from([None, "page_view", "purchase", "refund", "unknown"]),
+            st.sampled_from([None, "2026-01-01", "bad"]),
+            st.sampled_from([None, -1.0, 0.0, 12.5]),
+            st.booleans(),
+            st.integers(min_value=0, max_value=2),
+        ),
+        max_size=12,
+    )
+)
+def test_silver_behavior_split_conserves_rows(spark, rows):
+    data = [
+        (eid, "x", uid, name, t, T0 + dt.timedelta(seconds=lag), "t", 0, i, ("/p", bot, amount, None))
+        for i, (eid, uid, name, t, amount, bot, lag) in enumerate(rows)
+    ]
+    bronze = spark.createDataFrame(data, BEHAVIOR_COLS)
+    clean, quarantine = silver.silver_behavior(bronze)
+    flat = silver.flatten_behavior(bronze)
+    bots = silver.bot_behavior(flat).count()
+    valid = silver.valid_behavior(flat)
+    dups = valid.count() - silver.dedup_keep_first(valid).count()
+    c = clean.collect()
+    assert len(data) == len(c) + quarantine.count() + dups + bots
+    assert len({r.event_id for r in c}) == len(c)
+    assert not any(r.is_bot for r in c)
