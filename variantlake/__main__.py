@@ -1,7 +1,8 @@
 """Command line: ``python -m variantlake <job> --base <lake URI> [options]``.
 
 Jobs: ``ingest-exposures`` / ``ingest-behavior`` (Kafka -> Bronze stream, runs
-until stopped), ``silver``, ``quality``, ``gold``. The session comes from
+until stopped), ``silver``, ``quality``, ``gold``. The lake base and the Kafka
+brokers fall back to ``$S3_LAKE_PATH`` and ``$KAFKA_BROKER``. The session comes from
 ``SparkSession.builder.getOrCreate()``, so master, resources and cluster settings
 are whatever ``spark-submit`` / ``spark-defaults`` provide.
 """
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -18,8 +20,16 @@ from pyspark.sql import SparkSession
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="variantlake")
     p.add_argument("job", choices=["ingest-exposures", "ingest-behavior", "silver", "quality", "gold"])
-    p.add_argument("--base", required=True, help="lake base URI (s3a://..., file://..., or a path)")
-    p.add_argument("--brokers", help="Kafka bootstrap servers (ingest jobs)")
+    p.add_argument(
+        "--base",
+        default=os.environ.get("S3_LAKE_PATH"),
+        help="lake base URI (s3a://..., file://..., or a path); default: $S3_LAKE_PATH",
+    )
+    p.add_argument(
+        "--brokers",
+        default=os.environ.get("KAFKA_BROKER", "localhost:9092"),
+        help="Kafka bootstrap servers (ingest jobs); default: $KAFKA_BROKER or localhost:9092",
+    )
     p.add_argument(
         "--envelope-path",
         help="ingest from Parquet files with the Kafka envelope schema (e.g. an archived topic) instead of Kafka",
@@ -32,6 +42,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--full-refresh", action="store_true", help="static overwrite (silver)")
     p.add_argument("--show", action="store_true", help="print the written tables (quality, gold)")
     a = p.parse_args(argv)
+    if not a.base:
+        p.error("--base (or $S3_LAKE_PATH) is required")
 
     spark = SparkSession.builder.appName(f"variantlake-{a.job}").getOrCreate()
     from variantlake.plans import jobs
