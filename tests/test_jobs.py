@@ -162,3 +162,24 @@ def test_concurrent_actions_keep_order_and_raise(spark):
     assert jobs._concurrently(lambda: spark.range(3).count(), lambda: spark.range(5).count()) == [3, 5]
     with pytest.raises(Exception):
         jobs._concurrently(lambda: spark.range(1).count(), lambda: spark.sql("SELECT * FROM no_such_table").count())
+
+
+def test_cli_batch_runs_silver_quality_gold(spark, tmp_path, capsys):
+    import json
+
+    from variantlake.__main__ import main
+
+    root = str(tmp_path)
+    for entity, build, start in (
+        ("exposures", fixtures.exposure_envelopes, exposures_stream),
+        ("behavior", fixtures.behavior_envelopes, behavior_stream),
+    ):
+        stage_topic(build(spark, SF_SMALL), f"{root}/topic/{entity}")
+        q = start(spark, f"{root}/lake", source=spark.readStream.schema(ENVELOPE_SCHEMA).parquet(f"{root}/topic/{entity}"),
+                  trigger="availableNow")
+        q.awaitTermination()
+    assert main(["batch", "--base", f"{root}/lake"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["silver"]["silver_exposures"] == 151
+    assert spark.read.parquet(table_path(f"{root}/lake", "gold", "data_quality_results")).count() == 16
+    assert spark.read.parquet(out["gold"]["experiment_metrics"]).count() == 4

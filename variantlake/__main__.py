@@ -1,7 +1,8 @@
 """Command line: ``python -m variantlake <job> --base <lake URI> [options]``.
 
 Jobs: ``ingest-exposures`` / ``ingest-behavior`` (Kafka -> Bronze stream, runs
-until stopped), ``silver``, ``quality``, ``gold``. The lake base and the Kafka
+until stopped), ``silver``, ``quality``, ``gold``, and ``batch`` (the three batch
+jobs in order: Silver, quality, Gold). The lake base and the Kafka
 brokers fall back to ``$S3_LAKE_PATH`` and ``$KAFKA_BROKER``. The session comes from
 ``SparkSession.builder.getOrCreate()``, so master, resources and cluster settings
 are whatever ``spark-submit`` / ``spark-defaults`` provide.
@@ -19,7 +20,7 @@ from pyspark.sql import SparkSession
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="variantlake")
-    p.add_argument("job", choices=["ingest-exposures", "ingest-behavior", "silver", "quality", "gold"])
+    p.add_argument("job", choices=["ingest-exposures", "ingest-behavior", "silver", "quality", "gold", "batch"])
     p.add_argument(
         "--base",
         default=os.environ.get("S3_LAKE_PATH"),
@@ -72,8 +73,12 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(jobs.build_silver(spark, a.base, a.since, a.until, a.full_refresh)))
     elif a.job == "quality":
         jobs.run_quality(spark, a.base, show=a.show)
-    else:
+    elif a.job == "gold":
         print(json.dumps(jobs.build_gold(spark, a.base, show=a.show)))
+    else:  # the daily batch: Silver, then quality, then Gold
+        report = jobs.build_silver(spark, a.base, a.since, a.until, a.full_refresh)
+        jobs.run_quality(spark, a.base, show=a.show)
+        print(json.dumps({"silver": report, "gold": jobs.build_gold(spark, a.base, show=a.show)}))
     return 0
 
 
