@@ -152,3 +152,29 @@ def test_orphan_join_stays_above_the_pre_aggregation(spark, skew_conf):
     indent = lines[at].index("Join")
     children = [line[indent + 3 :] for line in lines[at + 1 :] if line[indent : indent + 3] in (":- ", "+- ")]
     assert len(children) == 2 and all(child.startswith("Aggregate") for child in children)
+
+
+def test_rebalanced_write_splits_a_hot_date(spark, skew_conf, tmp_path):
+    from variantlake.sources.lake import write_table
+
+    ids = spark.range(N)
+    hot = F.col("id") % 3 == 0
+    df = ids.select(
+        F.lit(2026).alias("year"),
+        F.lit(1).alias("month"),
+        F.when(hot, F.lit(1)).otherwise((F.col("id") % 27 + 2).cast("int")).alias("day"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    # cold dates (~0.6 MB each) below the advisory size, the hot date (~8 MB) above it;
+    # AQE can split a partition at most once per map task
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    path = str(tmp_path / "t")
+    assert write_table(df, path, ["year", "month", "day"], count_rows=True) == N
+
+    def files(day):
+        d = tmp_path / "t" / "year=2026" / "month=1" / f"day={day}"
+        return [f for f in d.iterdir() if f.suffix == ".parquet"]
+
+    # the hot date (a third of the rows) is written by several tasks, a cold date by one
+    assert len(files(1)) > 1
+    assert len(files(3)) == 1
