@@ -270,3 +270,28 @@ def test_silver_behavior_split_conserves_rows(spark, rows):
     assert len(data) == len(c) + quarantine.count() + dups + bots
     assert len({r.event_id for r in c}) == len(c)
     assert not any(r.is_bot for r in c)
+
+
+def test_user_with_exposures_on_two_devices_counts_in_both_segments(spark):
+    exp = _exp(
+        spark,
+        [
+            ("a1", "x", "u1", "control", "2026-01-01", T0, "t", 0, 1, "GB", "organic", "ios"),
+            ("a2", "x", "u1", "control", "2026-01-01", T0, "t", 0, 2, "GB", "organic", "android"),
+            ("a3", "x", "u1", "control", "2026-01-01", T0, "t", 0, 3, "GB", "organic", "android"),
+            ("a4", "x", "u2", "control", "2026-01-01", T0, "t", 0, 4, "GB", "organic", None),
+        ],
+    )
+    beh = spark.createDataFrame(
+        [("p1", "x", "u1", "purchase", 7.5, None, T0)],
+        "event_id string, experiment_id string, user_id string, event_name string, revenue_gbp double, "
+        "refund_gbp double, event_timestamp timestamp",
+    )
+    seg = {r.device: r for r in gold.segment_metrics(exp, beh).collect()}
+    assert set(seg) == {"ios", "android", None}  # a NULL device is its own segment
+    assert (seg["ios"].exposed_users, seg["ios"].converted_users, seg["ios"].revenue_gbp) == (1, 1, 7.5)
+    # two exposure rows on android: the purchase counts once per exposure row, as upstream
+    assert (seg["android"].exposed_users, seg["android"].converted_users, seg["android"].revenue_gbp) == (1, 2, 15.0)
+    assert (seg[None].exposed_users, seg[None].converted_users, seg[None].conversion_rate_pct) == (1, 0, 0.0)
+    overall = gold.experiment_metrics(exp, beh).first()
+    assert (overall.exposed_users, overall.converted_users, overall.gross_revenue_gbp) == (2, 3, 22.5)
