@@ -295,3 +295,13 @@ def test_user_with_exposures_on_two_devices_counts_in_both_segments(spark):
     assert (seg[None].exposed_users, seg[None].converted_users, seg[None].conversion_rate_pct) == (1, 0, 0.0)
     overall = gold.experiment_metrics(exp, beh).first()
     assert (overall.exposed_users, overall.converted_users, overall.gross_revenue_gbp) == (2, 3, 22.5)
+
+
+def test_null_event_ids_form_one_duplicate_group(spark):
+    df = spark.createDataFrame([(None,), (None,), ("a",), ("b",), ("b",)], "event_id string")
+    assert quality.duplicate_key_count(df).first()["duplicate_ids"] == 2
+    stats = gold.key_stats(df).first()
+    assert (stats["rows"], stats["duplicate_keys"]) == (5, 2)
+    # keep-first de-dup also treats the NULL ids as one group
+    ordered = df.withColumns({"kafka_ingestion_timestamp": F.lit(T0), "offset": F.monotonically_increasing_id()})
+    assert silver.dedup_keep_first(ordered).count() == 3
