@@ -658,3 +658,40 @@ def q_legacy_metrics(spark, sf):
     """Gold as upstream produced it: no refund reaches Silver, so refunds are 0."""
     behavior = silver.silver_behavior(_legacy_bronze(spark, sf))[0]
     return comparable(gold.experiment_metrics(silver_e(spark, sf), behavior))
+
+
+# --- the events table through the file-stream source and the Bronze sink ----------------
+
+
+@register(
+    "events_stream_props",
+    "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, "
+    "TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS props_k, "
+    "CAST(year(ts) AS VARCHAR) AS year, CAST(month(ts) AS VARCHAR) AS month, CAST(day(ts) AS VARCHAR) AS day "
+    "FROM events",
+)
+def q_events_stream(spark, sf):
+    """``events`` files as a stream source: parse ``props`` (schema ``k INT``), add the
+    event-date columns and write through the Bronze file sink (availableNow); read back."""
+    from variantlake.streaming.bronze import start_bronze_stream
+
+    run = scratch_dir(spark, "stream-events")
+    events = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
+    events.write.mode("overwrite").parquet(f"{run}source/")
+    source = spark.readStream.schema(events.schema).parquet(f"{run}source/")
+    parsed = source.select(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        F.from_json("props", "k INT").getField("k").alias("props_k"),
+        F.year("ts").alias("year"),
+        F.month("ts").alias("month"),
+        F.dayofmonth("ts").alias("day"),
+    )
+    q = start_bronze_stream(parsed, f"{run}sink/", f"{run}checkpoint/", trigger="availableNow")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"events stream failed: {q.exception()}")
+    return comparable(spark.read.parquet(f"{run}sink/"))
