@@ -33,7 +33,7 @@ WITH texts AS (
   SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
 ), split AS (
   SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM texts
 ), windows AS (
   SELECT row_id, size, i, list_slice(words, i, i + size - 1) AS window_words
