@@ -1,6 +1,5 @@
 """Helpers shared by the text operators: bounded batches, written tables, documents."""
 
-import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -16,8 +15,12 @@ from variantlake.sources.lake import scratch_dir
 #: always seen whole); bounds a Python worker's memory whatever the Arrow batch holds
 SLICE_BYTES = 2_000_000
 
-#: words of the contracts: maximal runs of anything but the six ASCII white spaces
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def words_of(text: str | None) -> list[bytes]:
+    """Maximal runs of anything but the six ASCII white spaces, as UTF-8 (what ``bytes.split`` splits at)."""
+    return text.encode().split() if text else []
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from variantlake.llm.common import WORDS, text_batches, written
+from variantlake.llm.common import text_batches, words_of, written
 from variantlake.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -69,7 +69,7 @@ class Shingler:
         self.n, self.weights, self.known = n, _odd(7, 2 * n), {}
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = WORDS.findall(text or "")
+        words = words_of(text)
         if not words:
             return np.empty(0, np.uint64)
         if len(self.known) > CACHED_WORDS:
@@ -80,7 +80,7 @@ class Shingler:
         except KeyError:
             for w in words:
                 if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+                    known[w] = xxhash.xxh3_64_intdigest(w)
             hashes[:] = [known[w] for w in words]
         size = min(self.n, len(words))
         total = np.zeros(len(words) - size + 1, np.uint64)

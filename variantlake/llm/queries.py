@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import near_duplicates, repetition
+from variantlake.llm import decontaminate, near_duplicates, repetition
 from variantlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,12 @@ FROM figures
 def op7_minhash_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_copies", "n_links")
+
+
+@query
+def op8_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"))
+    leak = found.select("doc_id", F.explode("leaks").alias("leak"))
+    names = ["item_id", "coverage", "item_words", "longest_tile"]
+    return leak.select("doc_id", *(F.col(f"leak.{n}").alias(n) for n in names), F.size("leak.tiles").alias("n_tiles"))

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from variantlake.llm.common import WORDS, text_udf
+from variantlake.llm.common import WHITE, text_udf, words_of
 
 SYMBOLS = "#*$%&|<>"
 
@@ -115,13 +115,13 @@ def lcp_intervals(lcp: np.ndarray, least: int = 1) -> list[tuple[int, int, int]]
     return out
 
 
-def maximal_repeats(words: list[str], least: int = MIN_REPEAT) -> list[tuple[int, list[int]]]:
+def maximal_repeats(words: list, least: int = MIN_REPEAT) -> list[tuple[int, list[int]]]:
     """Maximal repeated word sequences of one text: (length, start of each occurrence).
 
     An interval whose occurrences all follow the same word is not maximal: the one
     that holds that word too covers it.
     """
-    ids: dict[str, int] = {}
+    ids: dict = {}
     symbols = np.array([ids.setdefault(w, len(ids)) for w in words] + [len(words) + 1], np.int64)
     order, levels = suffix_order(symbols, np.zeros(len(symbols), np.int64))
     out = []
@@ -132,7 +132,7 @@ def maximal_repeats(words: list[str], least: int = MIN_REPEAT) -> list[tuple[int
     return sorted(out)
 
 
-def repeats_of(texts: list[list[str]], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[dict]]]:
+def repeats_of(texts: list[list], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[dict]]]:
     """For each text: words in three-word windows found twice, covered words, longest repeat, covered spans.
 
     The deepest interval that holds a suffix contains the spans of the shallower ones
@@ -142,7 +142,7 @@ def repeats_of(texts: list[list[str]], least: int) -> tuple[np.ndarray, np.ndarr
     count = len(texts)
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     ends = np.cumsum(sizes)
-    ids: dict[str, int] = {}
+    ids: dict = {}
     symbols = np.empty(int(ends[-1]) if count else 0, np.int64)
     at = 0
     for number, words in enumerate(texts):
@@ -188,7 +188,7 @@ def with_quality(
     def make():
         def judge(texts: list) -> list:
             texts = [t or "" for t in texts]
-            words = [WORDS.findall(t) for t in texts]
+            words = [words_of(t) for t in texts]
             n = [len(w) for w in words]
             three, covered, longest, spans = repeats_of(words, min_repeat)
             duplicates = []
@@ -197,7 +197,7 @@ def with_quality(
                 for line in t.split("\n"):
                     if line in seen:
                         extra += 1
-                    elif WORDS.search(line):
+                    elif line.strip(WHITE):
                         seen.add(line)
                 duplicates.append(extra)
             base = [k < MIN_WORDS or 100 * r > MAX_REPEAT_WORDS_PERCENT * k for k, r in zip(n, three.tolist(), strict=True)]
@@ -205,7 +205,7 @@ def with_quality(
             kept = [not b and s <= max_covered and m <= max_longest for b, s, m in zip(base, share, longest.tolist(), strict=True)]
             return [
                 n,
-                [sum(map(len, w)) for w in words],
+                [len(t) - sum(map(t.count, WHITE)) for t in texts],
                 [sum(map(t.count, SYMBOLS)) for t in texts],
                 duplicates,
                 three.tolist(),
