@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import decontaminate, near_duplicates, repetition
+from variantlake.llm import decontaminate, near_duplicates, repetition, secrets
 from variantlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,26 @@ def op8_greedy_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     leak = found.select("doc_id", F.explode("leaks").alias("leak"))
     names = ["item_id", "coverage", "item_words", "longest_tile"]
     return leak.select("doc_id", *(F.col(f"leak.{n}").alias(n) for n in names), F.size("leak.tiles").alias("n_tiles"))
+
+
+@query
+def op6_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.with_secrets(docs, secrets.learn_formats(docs))
+    kinds = [*secrets.KINDS, *(f"like_{k}" for k in secrets.KINDS)]
+    rank = F.create_map(*(F.lit(x) for i, k in enumerate(kinds) for x in (k, i)))
+
+    def joined(spans):
+        ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"], rank[s["kind"]], s["kind"].alias("kind"), s["end"].alias("end"))))
+        return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of_kind(kind):
+        return F.size(F.filter(F.col("secrets.base"), lambda s: s["kind"] == kind)).cast("bigint")
+
+    base = F.col("secrets.base")
+    return found.select(
+        "doc_id",
+        *(of_kind(k).alias(f"n_{k}") for k in secrets.KINDS),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.concat(base, F.col("secrets.learned"))).alias("spans"),
+    )
