@@ -6,10 +6,11 @@ result. Digest columns are derived here from the operators' own outputs.
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import decontaminate, near_duplicates, repetition, secrets
+from variantlake.llm import decontaminate, near_duplicates, packing, repetition, secrets
 from variantlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +103,13 @@ def op6_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.concat(base, F.col("secrets.learned"))).alias("spans"),
     )
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+@query
+def op4_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
