@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import chat, decontaminate, near_duplicates, packing, repetition, secrets
+from variantlake.llm import chat, decontaminate, licenses, near_duplicates, packing, repetition, secrets
 from variantlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,27 @@ SELECT conv_id, count(*) AS n_turns,
          AND max_by(role, place) IN ('user', 'assistant') AS valid
 FROM escaped GROUP BY conv_id
 """
+
+
+@query
+def op9_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.with_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    places, spans = F.col("licenses.places"), F.col("licenses.spans")
+    starts = F.transform(places, lambda p: p["start"])
+
+    def labels(of):
+        return F.transform(of, lambda x: x["label"])
+
+    def joined(names):
+        return F.array_join(F.array_sort(F.array_distinct(names)), ",")
+
+    return found.select(
+        "doc_id",
+        F.col("licenses.n_words").alias("n_words"),
+        F.size(places).cast("bigint").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(labels(places)).alias("base_labels"),
+        joined(F.concat(labels(places), labels(spans))).alias("labels"),
+        F.col("licenses.score").alias("score"),
+    )
