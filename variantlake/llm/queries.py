@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import chat, decontaminate, licenses, near_duplicates, packing, repetition, secrets
+from variantlake.llm import chat, decontaminate, licenses, near_duplicates, packing, repetition, secrets, token_counts
 from variantlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,11 @@ def op9_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(F.concat(labels(places), labels(spans))).alias("labels"),
         F.col("licenses.score").alias("score"),
     )
+
+
+@query
+def op5_counting_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    n = F.col("tokens.n_tokens")
+    return counted.select("doc_id", F.col("tokens.n_bytes").alias("n_bytes"), n.alias("n_tokens"), (n > 4096).alias("over_limit"))
