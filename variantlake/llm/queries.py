@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import chat, decontaminate, licenses, near_duplicates, packing, repetition, secrets, token_counts
-from variantlake.llm.common import table
+from variantlake.llm import chat, decontaminate, language, licenses, near_duplicates, packing, repetition, secrets, token_counts
+from variantlake.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -192,3 +192,13 @@ def op5_counting_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
     n = F.col("tokens.n_tokens")
     return counted.select("doc_id", F.col("tokens.n_bytes").alias("n_bytes"), n.alias("n_tokens"), (n > 4096).alias("over_limit"))
+
+
+@query
+def op1_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 4) == 2)
+    model = language.learn(docs.where(~F.col("held_out")))
+    found = language.with_language(docs.select("doc_id", "held_out", "text"), model)
+    return found.select(
+        "doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"), F.size("language.spans").alias("n_spans")
+    )
