@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import chat, decontaminate, language, licenses, near_duplicates, packing, repetition, secrets, token_counts
+from variantlake.llm import chat, class_lm, decontaminate, language, licenses, near_duplicates, packing, repetition, secrets, token_counts
 from variantlake.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,3 +202,18 @@ def op1_viterbi_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"), F.size("language.spans").alias("n_spans")
     )
+
+
+@query
+def op10_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = class_lm.learn(docs.where(fold("doc_id", 10) != 0))
+    return class_lm.scored(docs, model).select(
+        "doc_id",
+        (fold("doc_id", 10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
