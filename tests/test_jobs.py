@@ -1,6 +1,7 @@
 """End to end on sf0.001: stream ingest -> Silver -> quality -> Gold, through the lake."""
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -8,8 +9,9 @@ from variantlake.operators import gold, silver
 from variantlake.plans import jobs
 from variantlake.plans.queries import stage_topic
 from variantlake.sources import fixtures
+from variantlake.sources.kafka import add_event_time
 from variantlake.sources.lake import table_path
-from variantlake.sources.schemas import ENVELOPE_SCHEMA
+from variantlake.sources.schemas import BRONZE_BEHAVIOR_SCHEMA, BRONZE_EXPOSURES_SCHEMA, ENVELOPE_SCHEMA
 from variantlake.streaming.bronze import behavior_stream, exposures_stream
 
 
@@ -95,15 +97,6 @@ def test_silver_rerun_is_idempotent(spark, built_lake):
     assert spark.read.parquet(table_path(lake, "quarantine", "behavior")).count() == 80
 
 
-def test_silver_date_window_prunes_partitions(spark, built_lake):
-    _, lake, _ = built_lake
-    bronze = jobs.read_table(spark, table_path(lake, "bronze", "exposures"), jobs.BRONZE_EXPOSURES_SCHEMA)
-    windowed = jobs._date_range(bronze, "1995-01-02", "1995-01-03")
-    plan = windowed._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan
-    assert set(r.day for r in windowed.select("day").distinct().collect()) == {2, 3}
-
-
 def test_cli_runs_quality_and_gold(spark, built_lake, capsys):
     from variantlake.__main__ import main
 
@@ -135,8 +128,14 @@ def test_processing_time_trigger_stream(spark, tmp_path):
     assert spark.read.parquet(table_path(f"{root}/lake", "bronze", "exposures")).count() == 183
 
 
+def _empty_bronze(spark, lake):
+    for entity, schema in (("exposures", BRONZE_EXPOSURES_SCHEMA), ("behavior", BRONZE_BEHAVIOR_SCHEMA)):
+        spark.createDataFrame([], schema).write.parquet(table_path(lake, "bronze", entity))
+
+
 def test_jobs_on_an_empty_lake(spark, tmp_path):
     lake = str(tmp_path / "empty") + "/"
+    _empty_bronze(spark, lake)
     report = jobs.build_silver(spark, lake)
     assert report["silver_exposures"] == 0 and report["bronze_behavior"] == 0
     checks = {r.check_name: (r.status, r.observed_value) for r in jobs.run_quality(spark, lake).collect()}
@@ -148,6 +147,108 @@ def test_jobs_on_an_empty_lake(spark, tmp_path):
     assert set(health.values()) == {0}
 
 
+def test_a_missing_input_is_an_error_and_erases_nothing(spark, built_lake, tmp_path):
+    _, lake, _ = built_lake
+    import shutil
+
+    kept = str(tmp_path / "lake") + "/"
+    for layer in ("silver", "quarantine"):
+        shutil.copytree(f"{lake}{layer}", f"{kept}{layer}")
+    before = sorted(str(f) for f in (tmp_path / "lake").rglob("*.parquet"))
+    with pytest.raises(AnalysisException):
+        jobs.build_silver(spark, kept, full_refresh=True)
+    assert sorted(str(f) for f in (tmp_path / "lake").rglob("*.parquet")) == before
+    nowhere = str(tmp_path / "nowhere") + "/"
+    with pytest.raises(AnalysisException):
+        jobs.run_quality(spark, nowhere)
+    with pytest.raises(AnalysisException):
+        jobs.build_gold(spark, nowhere)
+    assert not (tmp_path / "nowhere").exists()
+
+
+def _bronze_rows(spark, lake, rows):
+    """A small Bronze: (event_id, user_id, variant, event_time, offset, ingestion second)."""
+    _empty_bronze(spark, lake)
+    df = spark.createDataFrame(rows, "event_id string, user_id string, assigned_variant string, event_time string, offset long, s long")
+    df = df.select(
+        "*",
+        F.lit("EXP").alias("experiment_id"),
+        F.timestamp_seconds("s").alias("kafka_ingestion_timestamp"),
+        F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"),
+    )
+    df = add_event_time(df.drop("s"))
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in BRONZE_EXPOSURES_SCHEMA if f.name not in df.columns]
+    df.select("*", *missing).select(*BRONZE_EXPOSURES_SCHEMA.fieldNames()).write.mode("append").parquet(
+        table_path(lake, "bronze", "exposures")
+    )
+
+
+def test_conflict_over_two_dates_is_never_in_silver(spark, tmp_path):
+    lake = str(tmp_path / "lake") + "/"
+    _bronze_rows(
+        spark,
+        lake,
+        [
+            ("1", "a", "control", "2026-01-01 10:00:00", 1, 1),
+            ("2", "a", "treatment", "2026-01-02 10:00:00", 2, 2),
+            ("3", "b", "control", "2026-01-02 11:00:00", 3, 3),
+            ("3", "b", "control", "2026-01-02 11:00:00", 4, 3),  # retry in the same second: the offset decides
+            ("4", "c", "control", "2026-01-03 11:00:00", 5, 5),
+            ("4", "c", "control", "2026-01-03 11:00:00", 5, 5),  # the same position stored twice
+        ],
+    )
+    report = jobs.build_silver(spark, lake)
+    silver_rows = spark.read.parquet(table_path(lake, "silver", "exposures"))
+    assert sorted((r.event_id, r.offset) for r in silver_rows.collect()) == [("3", 3), ("4", 5)]
+    held = spark.read.parquet(table_path(lake, "quarantine", "exposures"))
+    assert sorted(r.event_id for r in held.collect()) == ["1", "2"]
+    assert report["duplicates_removed_exposures"] == 2
+    assert jobs.build_silver(spark, lake) == report
+
+
+def test_a_lost_row_is_noticed(spark, tmp_path, monkeypatch):
+    lake = str(tmp_path / "lake") + "/"
+    _bronze_rows(spark, lake, [(str(i), f"u{i}", "control", "2026-01-01 10:00:00", i, i) for i in range(9)])
+    whole = silver.keep_first
+    monkeypatch.setattr(silver, "keep_first", lambda df, *a, **k: whole(df, *a, **k).filter("offset <> 7"))
+    with pytest.raises(RuntimeError, match="Bronze rows"):
+        jobs.build_silver(spark, lake)
+    monkeypatch.undo()
+    assert jobs.build_silver(spark, lake)["silver_exposures"] == 9
+
+
+def test_a_row_in_silver_and_quarantine_is_noticed(spark, tmp_path):
+    lake = str(tmp_path / "lake") + "/"
+    _bronze_rows(spark, lake, [("1", "a", "control", "2026-01-01 10:00:00", 1, 1)])
+    jobs.build_silver(spark, lake)
+    df = spark.read.parquet(table_path(lake, "bronze", "exposures")).limit(1)
+    row = df.withColumns({"event_id": F.lit("2"), "assigned_variant": F.lit("treatment"), "offset": F.lit(2).cast("long")})
+    row = add_event_time(row.withColumn("event_time", F.lit("2026-01-02 10:00:00")).drop("event_timestamp", "year", "month", "day"))
+    row.select(*BRONZE_EXPOSURES_SCHEMA.fieldNames()).write.mode("append").parquet(table_path(lake, "bronze", "exposures"))
+    # Silver has no row left for the first date, so its old files would stay
+    with pytest.raises(RuntimeError, match="full_refresh"):
+        jobs.build_silver(spark, lake)
+    assert jobs.build_silver(spark, lake, full_refresh=True)["silver_exposures"] == 0
+
+
+def test_old_bronze_gets_its_refunds_back(spark, tmp_path):
+    lake = str(tmp_path / "old") + "/"
+    _empty_bronze(spark, lake)
+    bronze = fixtures.bronze_behavior(spark, SF_SMALL).filter("year = 1995 AND month = 3")
+    refunds = silver.valid_behavior(silver.flatten_behavior(bronze)).filter("event_name = 'refund'").select("event_id").distinct().count()
+    old = bronze.withColumn("properties", F.col("properties").dropFields("refund_gbp"))
+    old.write.mode("overwrite").parquet(table_path(lake, "bronze", "behavior"))
+
+    def stored():
+        return spark.read.parquet(table_path(lake, "silver", "behavior")).filter("event_name = 'refund'").count()
+
+    jobs.build_silver(spark, lake)
+    assert refunds > 0 and stored() == 0
+    jobs.build_silver(spark, lake, full_refresh=True, reparse=True)
+    assert stored() == refunds
+
+
 def test_cli_ingest_from_envelope_files(spark, tmp_path):
     from variantlake.__main__ import main
 
@@ -183,14 +284,3 @@ def test_cli_batch_runs_silver_quality_gold(spark, tmp_path, capsys):
     assert out["silver"]["silver_exposures"] == 151
     assert spark.read.parquet(table_path(f"{root}/lake", "gold", "data_quality_results")).count() == 16
     assert spark.read.parquet(out["gold"]["experiment_metrics"]).count() == 4
-
-
-def test_windowed_silver_rerun_replaces_only_its_dates(spark, built_lake):
-    _, lake, _ = built_lake
-    silver_path = table_path(lake, "silver", "exposures")
-    before = {(r.day, r.n) for r in spark.read.parquet(silver_path).groupBy("day").agg(F.count("*").alias("n")).collect()}
-    report = jobs.build_silver(spark, lake, since="1995-01-02", until="1995-01-03")
-    assert 0 < report["silver_exposures"] < 151
-    after = {(r.day, r.n) for r in spark.read.parquet(silver_path).groupBy("day").agg(F.count("*").alias("n")).collect()}
-    # the two re-processed dates are rewritten with the same rows; every other date is untouched
-    assert after == before and spark.read.parquet(silver_path).count() == 151

@@ -129,17 +129,103 @@ def test_hot_event_id_is_cut_map_side(spark, skew_conf):
     assert out.filter(F.col("event_id") == "hot").count() == 1
 
 
-def test_conflict_flag_join_splits_a_hot_user(spark, skew_conf):
-    # every user conflicted (no broadcast possible at these settings); the hot user has a third of the rows
+def _stored(spark, tmp_path, df):
+    """``df`` as a stored table with two experiments: no key is a literal that the optimizer could fold away."""
+    path = str(tmp_path / "stored")
+    df.withColumns(
+        {
+            "experiment_id": F.when(F.hash("user_id") % 2 == 0, "EXP_0").otherwise("EXP_1"),
+            "kafka_ingestion_timestamp": F.timestamp_seconds(F.lit(1) + F.monotonically_increasing_id() % 7),
+            "topic": F.lit("t"),
+            "partition": F.lit(0),
+            "offset": F.monotonically_increasing_id(),
+        }
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _largest_share(df):
+    """Rows of the largest task that ``df`` ends in, as a share of all (AQE leaves the partitions alone here)."""
+    sizes = [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    return max(sizes) / sum(sizes)
+
+
+@pytest.fixture()
+def no_skew_split(spark, skew_conf):
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+
+
+@pytest.mark.parametrize("decided_before", [False, True])
+def test_conflict_join_spreads_a_hot_user_of_stored_rows(spark, no_skew_split, tmp_path, decided_before):
+    # nearly every user is in conflict, and the hot user holds a third of the rows
+    rows = _stored(spark, tmp_path, _exposures(spark))
+    conflicts = None
+    if decided_before:
+        silver.multi_variant_users(rows).write.parquet(str(tmp_path / "conflicts"))
+        conflicts = spark.read.parquet(str(tmp_path / "conflicts"))
+    flagged = silver.flag_conflicts(rows, conflicts)
+    assert "Broadcast" not in _final_plan(flagged)
+    assert _largest_share(flagged) < 0.12
+    assert silver.conflicted_exposures(flagged).filter("user_id = 'hot'").count() == N // 3
+
+
+def test_keep_first_spreads_a_hot_id_and_moves_rows_once(spark, no_skew_split, tmp_path):
+    hot = F.when(F.col("event_id").endswith("0") | F.col("event_id").endswith("5"), F.lit("hot"))
+    rows = _stored(spark, tmp_path, _exposures(spark).withColumn("event_id", F.coalesce(hot, F.substring("event_id", 1, 5))))
+    repeated = silver.repeated_ids(rows)
+    repeated.write.parquet(str(tmp_path / "repeated"))
+    repeated = spark.read.parquet(str(tmp_path / "repeated"))
+    first = silver.keep_first(rows, repeated, tied=False)
+    plan = _final_plan(first)
+    assert "Window" not in plan and "Broadcast" not in plan
+    expected = silver.dedup_keep_first(rows)
+    assert first.exceptAll(expected).count() == 0 and expected.exceptAll(first).count() == 0
+    joined = silver.salted_left_join(rows, repeated.select("event_id", "first"), ["event_id"], F.col("offset"))
+    assert _largest_share(joined) < 0.12
+
+
+def test_validity_filters_reach_the_scan(spark, tmp_path):
+    from variantlake.sources.schemas import BRONZE_BEHAVIOR_SCHEMA, BRONZE_EXPOSURES_SCHEMA
+
+    for schema, valid in (
+        (BRONZE_EXPOSURES_SCHEMA, lambda b: silver.valid_exposures(silver.enrich_exposures(b))),
+        (BRONZE_BEHAVIOR_SCHEMA, lambda b: silver.valid_behavior(silver.flatten_behavior(b))),
+    ):
+        path = str(tmp_path / schema.fieldNames()[5])
+        spark.createDataFrame([], schema).write.parquet(path)
+        plan = valid(spark.read.schema(schema).parquet(path))._jdf.queryExecution().executedPlan().toString()
+        pushed = plan[plan.index("PushedFilters: [") :].split("]")[0]
+        assert "IsNotNull(event_id)" in pushed and "In(" in pushed
+
+
+def test_quality_takes_four_scans(spark, tmp_path):
+    timed = _exposures(spark).withColumn("event_timestamp", F.lit(None).cast("timestamp"))
+    timed.limit(50).write.parquet(str(tmp_path / "e"))
+    _behavior(spark).limit(50).write.parquet(str(tmp_path / "b"))
+    checks = quality.run_checks(spark.read.parquet(str(tmp_path / "e")), spark.read.parquet(str(tmp_path / "b")))
+    assert checks._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 4
+
+
+def test_gold_tables_come_in_their_order(spark, tmp_path):
     exposures = _exposures(spark).withColumns(
         {
-            "kafka_ingestion_timestamp": F.lit(dt.datetime(2026, 1, 1)),
-            "kafka_value": F.concat(F.lit('{"payload":"'), F.col("event_id"), F.lit('"}')),
+            "experiment_id": F.when(F.hash("event_id") % 2 == 0, "EXP_0").otherwise("EXP_1"),
+            "device": F.when(F.hash("event_id") % 3 == 0, F.lit(None)).otherwise(F.lit("ios")),
         }
     )
-    flagged = silver.flag_conflicts(exposures)
-    plan = _final_plan(silver.conflicted_exposures(flagged).select("event_id", "kafka_value"))
-    assert "SortMergeJoin(skew=true)" in plan
+    behavior = _behavior(spark).withColumn("experiment_id", F.when(F.hash("event_id") % 2 == 0, "EXP_0").otherwise("EXP_1"))
+
+    def keys(df, *names):
+        return [tuple((r[n] is not None, r[n]) for n in names) for r in df.collect()]  # NULLs first
+
+    for found in (
+        keys(gold.experiment_metrics(exposures, behavior), "experiment_id", "assigned_variant"),
+        keys(gold.funnel_metrics(exposures, behavior), "experiment_id", "assigned_variant", "funnel_order"),
+        keys(gold.segment_metrics(exposures, behavior), *gold.SEGMENT_COLUMNS),
+    ):
+        assert len(found) >= 4 and found == sorted(found)
 
 
 def test_orphan_join_stays_above_the_pre_aggregation(spark, skew_conf):

@@ -38,8 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--starting-offsets", default="latest")
     p.add_argument("--max-offsets-per-trigger", type=int)
     p.add_argument("--trigger", default="10 seconds", help='processing-time interval or "availableNow"')
-    p.add_argument("--since", help="first event date (silver)")
-    p.add_argument("--until", help="last event date (silver)")
+    p.add_argument("--reparse", action="store_true", help="rebuild Bronze behavior from its stored JSON text (silver)")
     p.add_argument("--full-refresh", action="store_true", help="static overwrite (silver)")
     p.add_argument("--show", action="store_true", help="print the written tables (quality, gold)")
     a = p.parse_args(argv)
@@ -70,13 +69,13 @@ def main(argv: list[str] | None = None) -> int:
         start = exposures_stream if exposures else behavior_stream
         start(spark, a.base, source=source, trigger=a.trigger).awaitTermination()
     elif a.job == "silver":
-        print(json.dumps(jobs.build_silver(spark, a.base, a.since, a.until, a.full_refresh)))
+        print(json.dumps(jobs.build_silver(spark, a.base, a.full_refresh, a.reparse)))
     elif a.job == "quality":
         jobs.run_quality(spark, a.base, show=a.show)
     elif a.job == "gold":
         print(json.dumps(jobs.build_gold(spark, a.base, show=a.show)))
     else:  # the daily batch: Silver, then quality, then Gold
-        report = jobs.build_silver(spark, a.base, a.since, a.until, a.full_refresh)
+        report = jobs.build_silver(spark, a.base, a.full_refresh, a.reparse)
         jobs.run_quality(spark, a.base, show=a.show)
         print(json.dumps({"silver": report, "gold": jobs.build_gold(spark, a.base, show=a.show)}))
     return 0

@@ -6,7 +6,9 @@ work stays inside whole-stage codegen; nothing here is a UDF.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,27 +34,27 @@ def parse_event_time(col: str | Column = "event_time") -> Column:
 
 
 def _all_present(*names: str) -> Column:
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & F.col(n).isNotNull()
-    return cond
+    present = [F.col(n).isNotNull() for n in names]
+    return reduce(and_, present)
 
 
-def exposure_is_valid() -> Column:
-    """True for a usable exposure; never NULL.
+def exposure_rule() -> Column:
+    """A usable exposure, as a plain conjunction: true, or false or NULL.
 
     Requires event_id, user_id, experiment_id, a variant in the domain and a parsed
-    event_timestamp. ``isin`` on NULL is NULL, so the whole conjunction is wrapped
-    in ``coalesce(.., false)``; its negation is exactly the quarantine rule.
+    event_timestamp. Filters use this form (a filter drops NULL anyway), so that its
+    conjuncts on stored columns reach the Parquet scan.
     """
-    rule = _all_present("event_id", "user_id", "experiment_id", "event_timestamp") & F.col(
-        "assigned_variant"
-    ).isin(VALID_VARIANTS)
-    return F.coalesce(rule, F.lit(False))
+    return _all_present("event_id", "user_id", "experiment_id", "event_timestamp") & F.col("assigned_variant").isin(VALID_VARIANTS)
 
 
-def behavior_is_valid() -> Column:
-    """True for a usable behavior record (bots not considered); never NULL.
+def exposure_is_valid() -> Column:
+    """``exposure_rule``, never NULL; its negation is exactly the quarantine rule."""
+    return F.coalesce(exposure_rule(), F.lit(False))
+
+
+def behavior_rule() -> Column:
+    """A usable behavior record (bots not considered), as a plain conjunction.
 
     A purchase needs a non-negative revenue, a refund a non-negative refund amount.
     ``NaN >= 0`` is true in Spark, so a NaN amount passes, as upstream.
@@ -60,13 +62,17 @@ def behavior_is_valid() -> Column:
     name = F.col("event_name")
     purchase_ok = (name != PURCHASE) | (F.col("revenue_gbp").isNotNull() & (F.col("revenue_gbp") >= 0))
     refund_ok = (name != REFUND) | (F.col("refund_gbp").isNotNull() & (F.col("refund_gbp") >= 0))
-    rule = (
+    return (
         _all_present("event_id", "user_id", "experiment_id", "event_timestamp")
         & name.isin(VALID_BEHAVIOR_EVENTS)
         & purchase_ok
         & refund_ok
     )
-    return F.coalesce(rule, F.lit(False))
+
+
+def behavior_is_valid() -> Column:
+    """``behavior_rule``, never NULL."""
+    return F.coalesce(behavior_rule(), F.lit(False))
 
 
 def funnel_order(col: str | Column = "event_name") -> Column:

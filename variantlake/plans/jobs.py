@@ -6,24 +6,26 @@ its outputs; any scheduler can call them. They take a caller-owned
 metrics collected in each write's final stage, so no output is counted in a
 second pass.
 
-Reuse points are cached with ``persist(MEMORY_AND_DISK)``: lineage is kept, so
-a lost executor's blocks are recomputed rather than failing the job. Independent
-writes of one runner are submitted as concurrent jobs.
+A missing input is an error before anything is written. What several writes share
+(repeated ids, conflicted users, user outcomes) is a written table under the shared
+checkpoint folder: a lost executor costs its running tasks only. Independent writes of
+one runner are submitted as concurrent jobs.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantlake.functions.domains import PARTITION_COLUMNS
 from variantlake.functions.expressions import behavior_is_valid
 from variantlake.operators import gold, quality, silver
-from variantlake.sources.lake import read_table, table_path, write_table
+from variantlake.sources.kafka import reparse_bronze
+from variantlake.sources.lake import read_table, scratch_dir, table_path, write_table
 from variantlake.sources.schemas import (
+    BEHAVIOR_JSON_SCHEMA,
     BRONZE_BEHAVIOR_SCHEMA,
     BRONZE_EXPOSURES_SCHEMA,
     SILVER_BEHAVIOR_SCHEMA,
@@ -31,22 +33,6 @@ from variantlake.sources.schemas import (
 )
 
 
-def _date_range(df: DataFrame, since: str | None, until: str | None) -> DataFrame:
-    """Optional event-date window on the year/month/day partition columns (pruned at the scan).
-
-    Rows without an event date (the NULL partition, all quarantined as invalid) are
-    read only by runs without a window.
-    """
-    if since is None and until is None:
-        return df
-    d = F.make_date("year", "month", "day")
-    if since is not None:
-        df = df.filter(d >= F.lit(since).cast("date"))
-    if until is not None:
-        df = df.filter(d <= F.lit(until).cast("date"))
-    return df
-
-
 def _concurrently(*actions):
     """Run independent Spark actions as concurrent jobs; return their results in order.
 
@@ -70,88 +56,95 @@ def _input_counts(df: DataFrame, **metrics: Column) -> dict[str, int]:
     return {k: int(v or 0) for k, v in row.asDict().items()}
 
 
-def build_silver(
-    spark: SparkSession,
-    base: str,
-    since: str | None = None,
-    until: str | None = None,
-    full_refresh: bool = False,
-) -> dict[str, int]:
+def _decided(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder, and read again."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, f"job-{name}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _first_rows(valid: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """De-duplicated rows of ``valid`` and the number of rows removed, counted by itself."""
+    repeated = _decided(silver.repeated_ids(valid), f"repeated-{name}")
+    counts = repeated.agg(F.sum(F.col("rows") - 1).alias("removed"), F.max("copies").alias("copies")).first()
+    return silver.keep_first(valid, repeated, tied=(counts["copies"] or 0) > 1), int(counts["removed"] or 0)
+
+
+def _check_conserved(entity: str, report: dict[str, int]) -> None:
+    """Every Bronze row is in exactly one output, or was counted as removed."""
+    parts = [f"silver_{entity}", f"quarantine_{entity}", f"duplicates_removed_{entity}"]
+    if entity == "behavior":
+        parts.append("valid_bots_dropped")
+    found = sum(report[p] for p in parts)
+    if found != report[f"bronze_{entity}"]:
+        raise RuntimeError(f"{entity}: {report[f'bronze_{entity}']} Bronze rows, but {found} in {', '.join(parts)}: {report}")
+
+
+def _check_apart(spark: SparkSession, base: str, entity: str) -> None:
+    """No stored row is in Silver and in quarantine at once."""
+    position = ["topic", "partition", "offset", "event_id"]
+    schema = SILVER_EXPOSURES_SCHEMA if entity == "exposures" else SILVER_BEHAVIOR_SCHEMA
+    held = [read_table(spark, table_path(base, layer, entity), schema).select(*position) for layer in ("silver", "quarantine")]
+    both = held[0].join(held[1], on=position, how="left_semi").limit(1).count()
+    if both:
+        raise RuntimeError(
+            f"{entity}: a row is in Silver and in quarantine; an event date that no longer has rows in one of them "
+            "keeps its old files under dynamic overwrite: run with full_refresh"
+        )
+
+
+def build_silver(spark: SparkSession, base: str, full_refresh: bool = False, reparse: bool = False) -> dict[str, int]:
     """Bronze -> Silver + quarantine for both entities; returns row counts.
 
+    De-duplication and conflicts are global rules, so all of Bronze is read.
     Partitioned writes use dynamic overwrite (only the event dates present in the
-    output are replaced) unless ``full_refresh``. ``since``/``until`` restrict the
-    Bronze event dates read; de-duplication is global within what is read.
-    Per entity: bronze = silver + quarantine + duplicates removed (+ valid bots).
+    output are replaced) unless ``full_refresh``. ``reparse`` rebuilds Bronze behavior
+    from the stored JSON text first, for a Bronze written before ``refund_gbp`` was
+    in its schema. Per entity: bronze = silver + quarantine + duplicates removed
+    (+ valid bots); each part is counted by itself and a difference is an error.
     """
     dynamic = not full_refresh
     report: dict[str, int] = {}
+    bronze_e = read_table(spark, table_path(base, "bronze", "exposures"), BRONZE_EXPOSURES_SCHEMA)
+    bronze_b = read_table(spark, table_path(base, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA)
+    if reparse:
+        bronze_b = reparse_bronze(bronze_b, BEHAVIOR_JSON_SCHEMA)
 
-    # exposures: the de-duplicated rows and the (small) conflict set are cached once
-    # and feed both outputs, so the event-id shuffle runs a single time
-    bronze_e = _date_range(
-        read_table(spark, table_path(base, "bronze", "exposures"), BRONZE_EXPOSURES_SCHEMA), since, until
-    )
-    enriched = silver.enrich_exposures(bronze_e)
-    deduped = silver.dedup_keep_first(silver.valid_exposures(enriched)).persist(StorageLevel.MEMORY_AND_DISK)
-    conflicts = silver.multi_variant_users(deduped).persist(StorageLevel.MEMORY_AND_DISK)
-    flagged = silver.flag_conflicts(deduped, conflicts)
-    try:
-        report["silver_exposures"], report["quarantine_exposures"], counts = _concurrently(
-            lambda: write_table(
-                silver.clean_exposures(flagged),
-                table_path(base, "silver", "exposures"),
-                PARTITION_COLUMNS,
-                dynamic=dynamic,
-                count_rows=True,
-            ),
-            lambda: write_table(
-                silver.quarantine_union(silver.invalid_exposures(enriched), silver.conflicted_exposures(flagged)),
-                table_path(base, "quarantine", "exposures"),
-                PARTITION_COLUMNS,
-                dynamic=dynamic,
-                count_rows=True,
-            ),
-            lambda: _input_counts(bronze_e),
-        )
-    finally:
-        conflicts.unpersist()
-        deduped.unpersist()
-    report["bronze_exposures"] = counts["rows"]
-    report["duplicates_removed_exposures"] = (
-        report["bronze_exposures"] - report["silver_exposures"] - report["quarantine_exposures"]
-    )
+    def write(df: DataFrame, layer: str, entity: str) -> int:
+        return write_table(df, table_path(base, layer, entity), PARTITION_COLUMNS, dynamic=dynamic, count_rows=True)
 
-    # behavior: two independent scans (silver with de-dup, quarantine as a filter)
-    bronze_b = _date_range(
-        read_table(spark, table_path(base, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA), since, until
-    )
+    # exposures: repeated ids and conflicted users are decided on narrow columns; each
+    # output is then one scan of the full rows with two small lookups
+    enriched = silver.enrich_exposures(bronze_e)
     flat = silver.flatten_behavior(bronze_b)
-    report["silver_behavior"], report["quarantine_behavior"], counts = _concurrently(
-        lambda: write_table(
-            silver.dedup_keep_first(silver.valid_behavior(flat)),
-            table_path(base, "silver", "behavior"),
-            PARTITION_COLUMNS,
-            dynamic=dynamic,
-            count_rows=True,
-        ),
-        lambda: write_table(
-            silver.invalid_behavior(flat),
-            table_path(base, "quarantine", "behavior"),
-            PARTITION_COLUMNS,
-            dynamic=dynamic,
-            count_rows=True,
-        ),
-        lambda: _input_counts(flat, bots=F.count_if(behavior_is_valid() & F.col("is_bot"))),
+    (first_e, report["duplicates_removed_exposures"]), (first_b, report["duplicates_removed_behavior"]) = _concurrently(
+        lambda: _first_rows(silver.valid_exposures(enriched), "exposures"),
+        lambda: _first_rows(silver.valid_behavior(flat), "behavior"),
     )
-    report["bronze_behavior"] = counts["rows"]
-    report["valid_bots_dropped"] = counts["bots"]
-    report["duplicates_removed_behavior"] = (
-        report["bronze_behavior"]
-        - report["silver_behavior"]
-        - report["quarantine_behavior"]
-        - report["valid_bots_dropped"]
+    conflicts = _decided(silver.multi_variant_users(first_e), "conflicts")
+    flagged = silver.flag_conflicts(first_e, conflicts)
+    quarantined = silver.quarantine_union(silver.invalid_exposures(enriched), silver.conflicted_exposures(flagged))
+    (
+        report["silver_exposures"],
+        report["quarantine_exposures"],
+        report["silver_behavior"],
+        report["quarantine_behavior"],
+        counts_e,
+        counts_b,
+    ) = _concurrently(
+        lambda: write(silver.clean_exposures(flagged), "silver", "exposures"),
+        lambda: write(quarantined, "quarantine", "exposures"),
+        lambda: write(first_b, "silver", "behavior"),
+        lambda: write(silver.invalid_behavior(flat), "quarantine", "behavior"),
+        lambda: _input_counts(bronze_e),
+        lambda: _input_counts(flat, bots=F.count_if(behavior_is_valid() & F.col("is_bot"))),
     )
+    report["bronze_exposures"], report["bronze_behavior"] = counts_e["rows"], counts_b["rows"]
+    report["valid_bots_dropped"] = counts_b["bots"]
+    for entity in ("exposures", "behavior"):
+        _check_conserved(entity, report)
+        _check_apart(spark, base, entity)
     return report
 
 
@@ -179,7 +172,7 @@ def run_quality(spark: SparkSession, base: str, as_of: Column | None = None, sho
 def build_gold(spark: SparkSession, base: str, show: bool = False) -> dict[str, str]:
     """Silver -> the four Gold tables; returns their paths.
 
-    Experiment and segment metrics share one exposure x user-outcome join, cached
+    Experiment and segment metrics share one exposure x user-outcome join, written
     once. Each table is computed once and written; a preview reads the written
     table, so shown and stored values are the same.
     """
@@ -188,16 +181,13 @@ def build_gold(spark: SparkSession, base: str, show: bool = False) -> dict[str,
         name: table_path(base, "gold", name)
         for name in ("experiment_metrics", "funnel_metrics", "segment_metrics", "data_health_summary")
     }
-    outcomes = gold.exposure_outcomes(exposures, behavior).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        _concurrently(
-            lambda: write_table(gold.experiment_metrics_from(outcomes), paths["experiment_metrics"]),
-            lambda: write_table(gold.segment_metrics_from(outcomes), paths["segment_metrics"]),
-            lambda: write_table(gold.funnel_metrics(exposures, behavior), paths["funnel_metrics"]),
-            lambda: write_table(gold.health_summary(exposures, behavior), paths["data_health_summary"]),
-        )
-    finally:
-        outcomes.unpersist()
+    outcomes = _decided(gold.exposure_outcomes(exposures, behavior), "outcomes")
+    _concurrently(
+        lambda: write_table(gold.experiment_metrics_from(outcomes), paths["experiment_metrics"]),
+        lambda: write_table(gold.segment_metrics_from(outcomes), paths["segment_metrics"]),
+        lambda: write_table(gold.funnel_metrics(exposures, behavior), paths["funnel_metrics"]),
+        lambda: write_table(gold.health_summary(exposures, behavior), paths["data_health_summary"]),
+    )
     if show:
         for name in ("experiment_metrics", "funnel_metrics"):
             spark.read.parquet(paths[name]).show(truncate=False)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from variantlake.functions.domains import PARTITION_COLUMNS, QUALITY_CHECKS, QUALITY_LAYER, VALID_BEHAVIOR_EVENTS
 from variantlake.functions.expressions import funnel_order as _funnel_order
 from variantlake.operators import gold, quality, silver
+from variantlake.plans import jobs
 from variantlake.plans import oracle as O
 from variantlake.plans.compare import comparable
 from variantlake.sources import fixtures
@@ -28,6 +29,11 @@ from variantlake.sources.schemas import (
     BRONZE_EXPOSURES_SCHEMA,
     ENVELOPE_SCHEMA,
     EXPOSURE_JSON_SCHEMA,
+    QUALITY_RESULTS_SCHEMA,
+    QUARANTINE_BEHAVIOR_SCHEMA,
+    QUARANTINE_EXPOSURES_SCHEMA,
+    SILVER_BEHAVIOR_SCHEMA,
+    SILVER_EXPOSURES_SCHEMA,
 )
 from variantlake.streaming.bronze import behavior_stream, exposures_stream
 
@@ -496,19 +502,20 @@ def q_scalar_semantics(spark, sf):
 # --- step 7: streaming and lake ------------------------------------------------------
 
 
-TOPIC_PARTITIONS = 8
-
-
-def stage_topic(envelopes: DataFrame, path: str, partitions: int = TOPIC_PARTITIONS) -> None:
-    """Stand-in for a Kafka topic: envelope rows as ``partitions`` Parquet files.
+def stage_topic(envelopes: DataFrame, path: str) -> None:
+    """Stand-in for a Kafka topic: envelope rows as Parquet files.
 
     A live topic receives records in (roughly) event-time order, so one stretch of
     it covers a few event dates. The fixture rows carry random dates over years, so
-    the files are cut by event-time range to keep that property; otherwise every
-    ingest task would write one small file per date of the whole fixture.
+    the files are cut by range of event time to keep that property; otherwise every
+    ingest task would write one small file per date of the whole fixture. The offset
+    is part of the range, so one date (or all rows without one) can span files. There is
+    a range for each core of the cluster, and a file holds a million rows at most.
     """
     event_time = F.get_json_object(F.col("value").cast("string"), "$.event_time")
-    envelopes.repartitionByRange(partitions, event_time).write.mode("overwrite").parquet(path)
+    ranges = envelopes.sparkSession.sparkContext.defaultParallelism
+    staged = envelopes.repartitionByRange(ranges, event_time, "offset")
+    staged.write.mode("overwrite").option("maxRecordsPerFile", 1_000_000).parquet(path)
 
 
 def _stream_into_lake(spark: SparkSession, sf: str, entity: str) -> str:
@@ -676,9 +683,9 @@ def q_events_stream(spark, sf):
     from variantlake.streaming.bronze import start_bronze_stream
 
     run = scratch_dir(spark, "stream-events")
-    events = spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
-    events.write.mode("overwrite").parquet(f"{run}source/")
-    source = spark.readStream.schema(events.schema).parquet(f"{run}source/")
+    path = f"{sf.rstrip('/')}/events.parquet"
+    # the file source takes a folder or a pattern; this one matches the table, be it a file or a folder
+    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(f"{path[:-1]}[t]")
     parsed = source.select(
         "event_id",
         "user_id",
@@ -695,3 +702,53 @@ def q_events_stream(spark, sf):
     if q.exception() is not None:
         raise RuntimeError(f"events stream failed: {q.exception()}")
     return comparable(spark.read.parquet(f"{run}sink/"))
+
+
+# --- the jobs themselves, over a lake of their own -----------------------------------------
+
+# (application id, sf_dir) -> base of the lake that the jobs were run on
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def job_lake(spark: SparkSession, sf: str) -> str:
+    """Base of a lake below the checkpoint folder: both topics streamed into Bronze, then
+    the Silver, quality and Gold jobs run; once per session and scale."""
+    key = (spark.conf.get("spark.app.id", "") or str(id(spark)), sf.rstrip("/"))
+    if key in _LAKES:
+        return _LAKES[key]
+    run = scratch_dir(spark, "jobs")
+    lake = f"{run}lake"
+    for entity, build, start in (
+        ("exposures", fixtures.exposure_envelopes, exposures_stream),
+        ("behavior", fixtures.behavior_envelopes, behavior_stream),
+    ):
+        stage_topic(build(spark, sf), f"{run}topic/{entity}")
+        q = start(spark, lake, source=spark.readStream.schema(ENVELOPE_SCHEMA).parquet(f"{run}topic/{entity}"), trigger="availableNow")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"bronze {entity} stream failed: {q.exception()}")
+    jobs.build_silver(spark, lake)
+    jobs.run_quality(spark, lake)
+    jobs.build_gold(spark, lake)
+    _LAKES[key] = lake
+    return lake
+
+
+def _job_table(name: str, same_as: str, layer: str, table: str, schema=None) -> None:
+    """Register the written table of a job, held against the oracle of the lazy query."""
+
+    def run(spark, sf):
+        return comparable(read_table(spark, table_path(job_lake(spark, sf), layer, table), schema))
+
+    register(name, ORACLE[same_as])(run)
+
+
+_job_table("job_silver_exposures", "silver_exposures", "silver", "exposures", SILVER_EXPOSURES_SCHEMA)
+_job_table("job_silver_behavior", "silver_dedup_behavior", "silver", "behavior", SILVER_BEHAVIOR_SCHEMA)
+_job_table("job_quarantine_exposures", "silver_quarantine_exposures", "quarantine", "exposures", QUARANTINE_EXPOSURES_SCHEMA)
+_job_table("job_quarantine_behavior", "silver_quarantine_behavior", "quarantine", "behavior", QUARANTINE_BEHAVIOR_SCHEMA)
+_job_table("job_quality_results", "quality_checks", "gold", "data_quality_results", QUALITY_RESULTS_SCHEMA)
+_job_table("job_gold_experiment_metrics", "gold_experiment_metrics", "gold", "experiment_metrics")
+_job_table("job_gold_funnel_metrics", "gold_funnel_metrics", "gold", "funnel_metrics")
+_job_table("job_gold_segment_metrics", "gold_segment_metrics", "gold", "segment_metrics")
+_job_table("job_gold_health", "gold_health_summary", "gold", "data_health_summary")

@@ -14,8 +14,6 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 
 LAYERS = ("bronze", "silver", "quarantine", "gold", "checkpoints")
 
@@ -37,8 +35,9 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
     Uses ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir) as set by the
-    cluster. Only when neither is set (local tests) a temp folder is created and
-    registered as the checkpoint dir.
+    cluster. Where neither is set, a session in one JVM (``local[...]``) gets a temp
+    folder, registered as its checkpoint dir; on a cluster, whose executors could not
+    see such a folder, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -46,6 +45,8 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
             base = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 - e.g. Spark Connect has no SparkContext
             base = None
+    if not base and not spark.conf.get("spark.master", "").startswith(("local[", "local ")) and spark.conf.get("spark.master", "") != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="variantlake-ckpt-")
         try:
@@ -58,30 +59,17 @@ def scratch_dir(spark: SparkSession, name: str = "") -> str:
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Parquet scan with partition discovery.
 
-    With an explicit schema an empty or missing table reads as zero rows instead of
-    failing schema inference. Directories written by a streaming file sink are
-    listed through their ``_spark_metadata`` log (only committed files are seen).
+    With an explicit schema an existing empty table reads as zero rows instead of
+    failing schema inference; a missing one is an error. Directories written by a
+    streaming file sink are listed through their ``_spark_metadata`` log (only
+    committed files are seen).
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    try:
-        return reader.parquet(path)
-    except AnalysisException as exc:
-        if schema is None or "PATH_NOT_FOUND" not in str(exc):
-            raise
-        return spark.createDataFrame([], schema)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-def observed(obs: Observation, name: str) -> int:
-    """An integer metric of a completed ``Observation``.
-
-    When the optimizer removed the observed plan because its input was provably
-    empty (e.g. a missing table read as an empty relation), no metrics row is
-    produced; that case counts as 0.
-    """
-    try:
-        return int(obs.get[name] or 0)
-    except Py4JJavaError:
-        return 0
+def _optimized_away(df: DataFrame) -> bool:
+    """Whether the optimizer found the input empty and dropped the observed plan with it."""
+    return "CollectMetrics" not in df._jdf.queryExecution().optimizedPlan().toString()
 
 
 def write_table(
@@ -118,4 +106,8 @@ def write_table(
             "partitionOverwriteMode", "dynamic" if dynamic else "static"
         )
     writer.parquet(path)
-    return observed(obs, "rows") if obs is not None else None
+    if obs is None:
+        return None
+    if _optimized_away(df):
+        return 0
+    return int(obs.get["rows"] or 0)

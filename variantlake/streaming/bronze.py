@@ -57,11 +57,13 @@ def _entity_stream(
     source: DataFrame | None,
     starting_offsets: str,
     trigger: str,
+    max_offsets_per_trigger: int | None,
+    options: dict[str, str] | None,
 ) -> StreamingQuery:
     if source is None:
         if not brokers:
             raise ValueError("either a Kafka broker list or a streaming source DataFrame is required")
-        source = kafka_source(spark, brokers, topic, starting_offsets)
+        source = kafka_source(spark, brokers, topic, starting_offsets, max_offsets_per_trigger, options)
     return start_bronze_stream(
         to_bronze(source),
         table_path(base, "bronze", entity),
@@ -78,10 +80,16 @@ def exposures_stream(
     source: DataFrame | None = None,
     starting_offsets: str = "latest",
     trigger: str = DEFAULT_TRIGGER,
+    max_offsets_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """``experiment_exposures`` topic (or any stream with the Kafka envelope schema) -> bronze/exposures."""
+    """``experiment_exposures`` topic (or any stream with the Kafka envelope schema) -> bronze/exposures.
+
+    ``max_offsets_per_trigger`` bounds a micro-batch; ``options`` (security settings, ...)
+    pass through to the Kafka source.
+    """
     return _entity_stream(
-        spark, base, "exposures", EXPOSURE_TOPIC, exposures_bronze, brokers, source, starting_offsets, trigger
+        spark, base, "exposures", EXPOSURE_TOPIC, exposures_bronze, brokers, source, starting_offsets, trigger, max_offsets_per_trigger, options
     )
 
 
@@ -92,8 +100,10 @@ def behavior_stream(
     source: DataFrame | None = None,
     starting_offsets: str = "latest",
     trigger: str = DEFAULT_TRIGGER,
+    max_offsets_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """``user_events`` topic (or any stream with the Kafka envelope schema) -> bronze/behavior."""
+    """``user_events`` topic (or any stream with the Kafka envelope schema) -> bronze/behavior; options as ``exposures_stream``."""
     return _entity_stream(
-        spark, base, "behavior", BEHAVIOR_TOPIC, behavior_bronze, brokers, source, starting_offsets, trigger
+        spark, base, "behavior", BEHAVIOR_TOPIC, behavior_bronze, brokers, source, starting_offsets, trigger, max_offsets_per_trigger, options
     )
