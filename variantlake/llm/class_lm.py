@@ -223,7 +223,8 @@ def learn(training: DataFrame, text: str = "text", frequent: int = FREQUENT, clu
     variety[last] += distinct - len(found) - (1 if ends else 0) + 1
     between = np.zeros((kinds, kinds))
     np.add.at(between, (label[:, None], label[None, :]), pairs)
-    alone = (between.sum(axis=0) + ADD) / (between.sum() + ADD * kinds)
+    alone = np.where(variety > 0, between.sum(axis=0) + ADD, 0.0)  # an empty class gets no probability
+    alone /= alone.sum()
     after = (between + kinds * alone) / (between.sum(axis=1, keepdims=True) + kinds)
     bracket = weight * after / np.maximum(mass + ADD * variety, ADD) + (1 - weight) / (tokens + ADD * (distinct + 1))
     return ClassModel(words, counts, symbol, label, np.log10(bracket), vocabulary, tokens, distinct)
