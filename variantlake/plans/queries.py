@@ -752,3 +752,71 @@ _job_table("job_gold_experiment_metrics", "gold_experiment_metrics", "gold", "ex
 _job_table("job_gold_funnel_metrics", "gold_funnel_metrics", "gold", "funnel_metrics")
 _job_table("job_gold_segment_metrics", "gold_segment_metrics", "gold", "segment_metrics")
 _job_table("job_gold_health", "gold_health_summary", "gold", "data_health_summary")
+
+
+# --- malformed input and ingestion ties ------------------------------------------------------
+
+# one envelope value per order: well-formed, bad or zoned times, broken JSON, a wrong-typed
+# leaf, an empty object, no value
+_ID = """'{"event_id":"b' || CAST(o_orderkey AS STRING) || '"'"""
+MALFORMED = f"""CASE o_orderkey % 8
+  WHEN 0 THEN {_ID} || ',"event_time":"1995-01-02 03:04:05.678901"}}'
+  WHEN 1 THEN {_ID} || ',"event_time":"not a time"}}'
+  WHEN 2 THEN {_ID} || ',"event_time":"1995-01-02T03:04:05.123456+02:00"}}'
+  WHEN 3 THEN {_ID} || ', '
+  WHEN 4 THEN {_ID} || ',"event_time":"1995-01-02 03:04:05","properties":{{"revenue_gbp":"dear","page":"/p"}}}}'
+  WHEN 5 THEN {_ID} || ',"event_time":"1995-01-02T03:04:05Z"}}'
+  WHEN 6 THEN '{{}}' END"""
+
+
+@register(
+    "bronze_malformed_input",
+    f"""
+WITH rows AS (SELECT o_orderkey AS k, {MALFORMED} AS kafka_value FROM orders),
+parsed AS (
+  SELECT k, json_extract_string(v, '$.event_id') AS event_id, json_extract_string(v, '$.event_time') AS event_time,
+    json_extract_string(v, '$.properties.page') AS page
+  FROM (SELECT k, CASE WHEN json_valid(kafka_value) THEN kafka_value END AS v FROM rows))
+SELECT k, event_id, event_time, page, CAST(NULL AS DOUBLE) AS revenue_gbp,
+  strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_timestamp, CAST(year(ts) AS VARCHAR) AS year
+FROM (
+  SELECT *, CASE WHEN regexp_matches(event_time, '(Z|[+-][0-9][0-9]:[0-9][0-9])$')
+    THEN make_timestamp(epoch_us(TRY_CAST(event_time AS TIMESTAMPTZ))) ELSE TRY_CAST(event_time AS TIMESTAMP) END AS ts
+  FROM parsed)
+""",
+)
+def q_malformed(spark, sf):
+    """Bad times, broken JSON and wrong-typed leaves become NULLs; times keep their microseconds
+    (a time with an offset is compared in UTC, one without as it stands)."""
+    orders = spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet")
+    empty = {name: F.lit(None).cast("string").alias(name) for name in K.ENVELOPE_COLUMNS}
+    rows = orders.select(*({**empty, "kafka_value": F.expr(MALFORMED).alias("kafka_value"), "offset": F.col("o_orderkey").alias("offset")}.values()))
+    bronze = K.add_event_time(K.parse_json(rows, BEHAVIOR_JSON_SCHEMA))
+    zoned = F.col("event_time").rlike(r"(Z|[+-]\d\d:\d\d)$")
+    at = F.when(zoned, F.to_utc_timestamp("event_timestamp", F.current_timezone())).otherwise(F.col("event_timestamp"))
+    return bronze.select(
+        F.col("offset").alias("k"),
+        "event_id",
+        "event_time",
+        F.col("properties.page").alias("page"),
+        F.col("properties.revenue_gbp").alias("revenue_gbp"),
+        F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_timestamp"),
+        F.col("year").cast("string").alias("year"),
+    )
+
+
+_TIED = """
+tied AS (
+  SELECT event_id, "offset", row_number() OVER (PARTITION BY event_id ORDER BY topic, "partition", "offset") AS rn
+  FROM valid_behavior)"""
+
+
+@register("silver_dedup_ingestion_ties", O.with_base('SELECT event_id, "offset" FROM tied WHERE rn = 1', extra_ctes=_TIED))
+def q_dedup_ties(spark, sf):
+    """All rows ingested in the same instant: the Kafka position decides which one stays, both by
+    the window and by the job's narrow decision."""
+    at_once = bronze_b(spark, sf).withColumn("kafka_ingestion_timestamp", F.timestamp_seconds(F.lit(0)))
+    valid = silver.valid_behavior(silver.flatten_behavior(at_once))
+    by_window = silver.dedup_keep_first(valid).select("event_id", "offset")
+    by_lookup = silver.keep_first(valid, silver.repeated_ids(valid), tied=False).select("event_id", "offset")
+    return by_window.intersectAll(by_lookup)
