@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from variantlake.llm.common import text_udf
+from variantlake.llm.common import text_udf, written
 
 #: ASCII but letters and digits separates words
 SEPARATED = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
@@ -218,7 +218,6 @@ def with_leaks(
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-2 * chars // block_chars))
-    found = []
     for block in range(blocks):  # a block holds about half of block_chars
         held = [tuple(r) for r in items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()]
 
@@ -226,5 +225,8 @@ def with_leaks(
             bench = Benchmark(held, least, coverage)
             return lambda texts: [bench.of_all(texts)]
 
-        found.append(text_udf(T.StructType([T.StructField("leaks", T.ArrayType(leak))]), make)(docs[text])["leaks"])
-    return docs.withColumn(out, found[0] if blocks == 1 else F.concat(*found))
+        found = text_udf(T.StructType([T.StructField("leaks", T.ArrayType(leak))]), make)(F.col(text))["leaks"]
+        docs = docs.withColumn(out, F.concat(F.col(out), found) if block else found)
+        if blocks > 1:  # a pass of its own: neither the driver nor a task holds two blocks
+            docs = written(docs, "leaks")
+    return docs
