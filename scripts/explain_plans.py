@@ -81,9 +81,14 @@ def main() -> None:
 
     bronze_e = read_table(spark, table_path(lake, "bronze", "exposures"), BRONZE_EXPOSURES_SCHEMA)
     bronze_b = read_table(spark, table_path(lake, "bronze", "behavior"), BRONZE_BEHAVIOR_SCHEMA)
+    first_e, _ = jobs._first_rows(silver.valid_exposures(silver.enrich_exposures(bronze_e)), "exposures")
+    first_b, _ = jobs._first_rows(silver.valid_behavior(silver.flatten_behavior(bronze_b)), "behavior")
+    conflicts = jobs._decided(silver.multi_variant_users(first_e), "conflicts")
     cases = [
-        ("silver.silver_exposures (clean rows)", silver.silver_exposures(bronze_e)[0]),
-        ("silver.silver_behavior (clean rows)", silver.silver_behavior(bronze_b)[0]),
+        ("silver.repeated_ids (narrow decision)", silver.repeated_ids(silver.valid_exposures(silver.enrich_exposures(bronze_e)))),
+        ("job: Silver exposures", silver.clean_exposures(silver.flag_conflicts(first_e, conflicts))),
+        ("job: Silver behavior", first_b),
+        ("silver.silver_exposures (lazy, clean rows)", silver.silver_exposures(bronze_e)[0]),
         ("gold.experiment_metrics", gold.experiment_metrics(exposures, behavior)),
         ("gold.funnel_metrics", gold.funnel_metrics(exposures, behavior)),
         ("gold.segment_metrics", gold.segment_metrics(exposures, behavior)),

@@ -1,5 +1,7 @@
 """Scalar, formula and lake semantics (golden values)."""
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from variantlake.functions.expressions import funnel_order, pct
@@ -76,9 +78,12 @@ def test_null_partition_value_round_trips(spark, tmp_path):
     assert sorted((r.p is None, r.v) for r in spark.read.parquet(path).collect()) == [(False, "y"), (True, "x")]
 
 
-def test_missing_table_reads_empty_with_schema(spark, tmp_path):
-    df = read_table(spark, str(tmp_path / "nothing"), "a int, b string")
+def test_empty_table_reads_as_no_rows_and_a_missing_one_raises(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    df = read_table(spark, str(tmp_path / "empty"), "a int, b string")
     assert df.count() == 0 and df.columns == ["a", "b"]
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_table(spark, str(tmp_path / "nothing"), "a int, b string")
 
 
 def test_write_observes_row_count(spark, tmp_path):
