@@ -31,7 +31,7 @@ from variantlake.llm.common import text_udf
 
 #: characters of one part of a run that holds no place to start anew
 PART = 64
-#: entries of a task's memory of chunks and states; it starts anew beyond, without effect on results
+#: entries of a task's memories of chunks, and of states; each starts anew beyond, without effect on results
 CACHED = 300_000
 SPACE = "▁"
 COUNTS = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
@@ -54,15 +54,16 @@ class CountingTransducer:
         if any(pair[1] == SPACE and pair[0] != SPACE for pair in self.together) or any("\n" in p for p in pieces):
             raise ValueError("tokens reach across a word's start or a line's end")
         self.characters = {p for p in self.pieces if len(p) == 1}
+        self.chunks: dict[str, int] = {}
         self._reset()
 
     def _reset(self) -> None:
+        """Forget the compiled states."""
         #: state 0: nothing pending, and any token may follow
         self.states: dict[tuple, int] = {("", ((0, "", 0),)): 0}
         self.held: list[tuple] = [("", ((0, "", 0),))]
         self.moves: list[dict[str, tuple[int, int]]] = [{}]
         self.allowed: dict[tuple[str, str], bool] = {}
-        self.chunks: dict[str, int] = {}
         self.parts: dict[tuple[int, str], tuple[int, int]] = {}
 
     def _tokens(self, text: str) -> list[str]:
@@ -111,6 +112,8 @@ class CountingTransducer:
 
     def of_chunk(self, chunk: str) -> int:
         """Tokens of a chunk that begins in the start state."""
+        if len(chunk) > 1 and chunk[-2:] not in self.together and chunk[-1] != SPACE:  # often a mark after a word
+            return self._count(chunk[:-1]) + self._count(chunk[-1])
         if len(chunk) <= PART:
             return self.run(0, chunk)[1]
         state = total = 0
@@ -122,19 +125,26 @@ class CountingTransducer:
             total += emitted
         return total
 
+    def _count(self, chunk: str) -> int:
+        if chunk not in self.chunks:
+            self.chunks[chunk] = self.of_chunk(chunk)
+        return self.chunks[chunk]
+
     #: words with the spaces before them, spaces at an end, line ends: each begins in the start state
     CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         """Number of tokens of each text."""
-        if max(len(self.chunks), len(self.held), len(self.parts), len(self.allowed)) > CACHED:
+        if len(self.chunks) > CACHED:
+            self.chunks = {}
+        if max(len(self.held), len(self.parts), len(self.allowed)) > CACHED:
             self._reset()
         known, emitted, ends = self.chunks, [], [0]
         for text in texts:
             if text:
                 found = self.CHUNK.findall(SPACE + text.replace(" ", SPACE))
                 for chunk in set(found).difference(known):
-                    known[chunk] = self.of_chunk(chunk)
+                    self._count(chunk)
                 emitted += map(known.__getitem__, found)
             ends.append(len(emitted))
         return np.diff(np.concatenate(([0], np.cumsum(np.array(emitted, np.int64))))[ends])
