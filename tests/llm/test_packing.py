@@ -14,7 +14,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 def test_chunked_ids_equal_the_library():
     rng = random.Random(1)
     texts = ["", "a", "  a  b ", "x\n\n  y\n z\t\tq ", "it's <|endoftext|> foo<|endoftext|>", "\x1c!\x1c x", "a \n\nb"]
-    texts += ["".join(rng.choice(" \n\tab'sé!1 \x85日\x1c") for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    texts += ["".join(rng.choice(" \n\tab'sé!1.,; \x85日\x1c\x00") for _ in range(rng.randint(0, 40))) for _ in range(1500)]
     library = Tokenizer.from_file(PATH)
     for text, ids in zip(texts, P.Encoder(PATH)(texts), strict=True):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
