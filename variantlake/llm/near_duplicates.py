@@ -290,14 +290,18 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay when one row of each group of linked texts is kept."""
-    kept = written(
-        near_duplicates(docs, id, text, **options).where("keeper").groupBy("row_key").agg(F.count(F.lit(1)).alias("n")), "kept"
-    ).withColumnRenamed("row_key", "__row_key")
+    """The rows of ``docs`` that stay when one row of each group of linked texts is kept.
+
+    Only the keys of rows that go (or are repeated) are written and joined. The join deals
+    the texts by row key at every size, so that what it moves grows with the input alone.
+    """
+    marks = near_duplicates(docs, id, text, **options).groupBy("row_key").agg(F.first("keeper").alias("keeper"), F.count(F.lit(1)).alias("n"))
+    marks = written(marks.where("NOT keeper OR n > 1"), "marks").withColumnRenamed("row_key", "__row_key")
     keyed = docs.withColumn("__row_key", _row_key(id, text))
-    once = keyed.join(kept.where("n = 1"), "__row_key", "left_semi")
-    if kept.where("n > 1").limit(1).count():  # whole rows repeated: one of them stays
-        has_word = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-        again = keyed.join(kept.where("n > 1"), "__row_key", "left_semi")
-        once = once.unionByName(again.where(has_word).dropDuplicates(["__row_key"])).unionByName(again.where(~has_word))
-    return once.drop("__row_key")
+    repeated = marks.where("keeper")
+    if not repeated.limit(1).count():
+        return keyed.join(marks.hint("merge"), "__row_key", "left_anti").drop("__row_key")
+    kept = keyed.join(marks.hint("merge"), "__row_key", "left_anti")
+    again = keyed.join(repeated, "__row_key", "left_semi")  # whole rows repeated: one of them stays
+    has_word = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return kept.unionByName(again.where(has_word).dropDuplicates(["__row_key"])).unionByName(again.where(~has_word)).drop("__row_key")
