@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from variantlake.llm.common import text_udf
+from variantlake.llm.common import text_udf, written
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
@@ -229,7 +229,7 @@ def learn_formats(docs: DataFrame, text: str = "text", sample: int = SAMPLE) ->
         return offer
 
     found = docs.select(F.explode(text_udf(offered, make)(docs[text])["offered"]).alias("o")).select("o.kind", "o.value")
-    found = found.groupBy("kind", "value").agg(F.xxhash64("value").alias("order"))
+    found = written(found.groupBy("kind", "value").agg(F.xxhash64("value").alias("order")), "offered")
     labelled: dict[str, list[str]] = {}
     parts = [found.where(F.col("kind") == kind).orderBy("order", "value").limit(sample) for kind in ("", *KINDS)]
     merged = parts[0]
