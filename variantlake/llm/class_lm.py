@@ -45,7 +45,7 @@ WEIGHT = 0.8
 END = ""
 #: symbols of the bigram counts: clustered words, frequency bands, the rest, the end
 SYMBOLS = CLUSTERED + BANDS + 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 
 def lowered(text: str | None) -> list[bytes]:
