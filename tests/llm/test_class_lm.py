@@ -84,3 +84,31 @@ def test_edges(edge_docs, no_docs):
     assert C.scored(no_docs, model).count() == 0
     unknown = C.scored(edge_docs, C.learn(no_docs)).collect()
     assert all(r.n_known == 0 and math.isfinite(r.score) for r in unknown)
+
+
+def test_every_word_above_the_count_gets_its_class_by_exchange(spark):
+    rare = [row(900 + i, "l1 seldom R1") for i in range(C.LEAST - 1)]
+    model = C.learn(spark.createDataFrame([row(i, t) for i, t in enumerate(corpus(300, 3))] + rare, SCHEMA), clustered=10, classes=2)
+    of = {w.decode(): int(model.label[model.symbol[i]]) for w, i in model.words.items() if w}
+    assert len(of) == 80 and "seldom" not in of  # far more than the ten that are clustered first
+    assert len({c for w, c in of.items() if w[0] == "l"}) == len({c for w, c in of.items() if w[0] == "r"}) == 1
+    assert set(of.values()) == {0, 1}
+
+
+def test_gain_of_a_move_is_the_change_of_the_likelihood():
+    rng = np.random.default_rng(8)
+    pairs, label = rng.poisson(1.5, (12, 12)).astype(float), np.arange(12) % 4
+
+    def likelihood(label):
+        table = np.zeros((4, 4))
+        np.add.at(table, (label[:, None], label[None, :]), pairs)
+        return table, sum(k * C._entropy(x).sum() for k, x in ((1, table), (-1, table.sum(axis=0)), (-1, table.sum(axis=1))))
+
+    table, begin = likelihood(label)
+    of = np.eye(4)[label]
+    for w in range(12):
+        for new in set(range(4)) - {label[w]}:
+            other = label.copy()
+            other[w] = new
+            gain = C._gains(table, pairs[[w]] @ of, pairs.T[[w]] @ of, np.diag(pairs)[[w]], label[[w]], np.array([new]))
+            assert gain[0] == pytest.approx(likelihood(other)[1] - begin)

@@ -1,23 +1,32 @@
 """Language model scoring with Brown classes found by exchange clustering.
 
-``learn`` counts all words of the training texts (a written table that grows with the
-corpus), clusters the ``CLUSTERED`` most frequent words into classes by exchange (a word
-moves to the class that raises the class-bigram likelihood most, until none moves), and
-puts the others into classes by frequency; words beyond the ``FREQUENT`` table form one
-class. A word's probability given the word before is
+``learn`` counts all words of the training texts and gives every word that occurs ``LEAST``
+times or more, a fixed count, a class by exchange: a word moves to the class that raises
+the class-bigram likelihood most, until none moves. The ``CLUSTERED`` most frequent words
+are exchanged one by one among themselves first; the others then join them, and all words
+are exchanged in rounds. Rarer words and unknown ones form one class, whatever the size of
+the corpus. A word's probability given the word before is
 
     (c + a) * (w * P(class | class before) / (C + a * Vc) + (1 - w) / (N + a * (V + 1)))
 
 with c its count, C and Vc its class's words and distinct words, N and V those of the
-corpus, and a = 0.1; an unknown word counts as one more word of the last class. The
-bracket depends on classes only, so that frequent words are scored in the map task, and
-only counts of rarer words are joined.
+corpus, and a = 0.1; an unknown word counts as one more word of the class of rare words.
+The bracket depends on classes only, so that words with a class are scored in the map
+task, and only counts of rarer words are joined.
+
+Rounds run over a written table of each word's neighbours with their counts, dealt by word
+(and by neighbour for the most frequent ones), so that a round is two scans without a
+shuffle of pairs. In a round each word proposes the class of the best first-order gain, if
+the exact gain of that move alone is above 0. Half of the proposals are carried out together
+(all in the first round, so that neighbours seldom swap) if that raises the likelihood,
+else half of those, and so on; rounds end when no word proposes.
 
 Defined results: words are maximal runs of anything but the six ASCII white spaces,
 with A-Z in lower case; each text ends with one end token (a null or empty text has it
 alone); a text begins in the class of the end. With no training text every word is
-unknown. Rows without an id and repeated rows are scored each. Bounds: ``FREQUENT``
-words and ``SYMBOLS`` squared class-pair counts reach the driver whatever the corpus.
+unknown. Rows without an id and repeated rows are scored each. Words with a class are
+told apart by a 64-bit hash. Bounds: 20 bytes for each word that occurs ``LEAST`` times or
+more reach the driver and the tasks; their strings do not.
 """
 
 from __future__ import annotations
@@ -25,10 +34,10 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,15 +45,20 @@ from pyspark.sql import types as T
 from variantlake.llm.common import text_batches, written
 
 ADD = 0.1
+#: words that occur so often or more are clustered
+LEAST = 5
+#: words whose codes a task remembers; it starts anew beyond, without effect on results
 FREQUENT = 300_000
+#: most frequent words, exchanged one by one before the others join them
 CLUSTERED = 1000
 CLASSES = 48
-BANDS = 4
-ROUNDS = 20
 WEIGHT = 0.8
 END = ""
-#: symbols of the bigram counts: clustered words, frequency bands, the rest, the end
-SYMBOLS = CLUSTERED + BANDS + 2
+#: tokens whose pairs make up one block of the written neighbours, and pairs a task holds
+BLOCK_TOKENS = 2_000_000
+HELD_PAIRS = 2_000_000
+#: neighbours that the driver scans by itself, without a job a round
+SMALL = 1_000_000
 CACHED_WORDS = 200_000
 
 
@@ -76,7 +90,17 @@ def _counted(docs: DataFrame, text: str) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int = ROUNDS) -> np.ndarray:
+def _entropy(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1.0))
+
+
+def _least_gain(counts: np.ndarray) -> float:
+    """Gains below are rounding errors."""
+    total = counts.sum()
+    return max(1e-9, 1e-13 * float(_entropy(total)))
+
+
+def exchange(pairs: np.ndarray, movable: int, classes: int) -> np.ndarray:
     """Class of each symbol: the first ``movable`` (by falling frequency) are clustered, the others keep one each.
 
     ``pairs[a, b]`` counts symbol b after symbol a. Each step takes a symbol out of its
@@ -96,53 +120,90 @@ def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int = ROUNDS
     counts = np.zeros((total, total))
     np.add.at(counts, label, to_class)
 
-    def entropy(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1.0))
-
-    for _ in range(rounds):
-        moved = 0
-        for w in range(movable):
-            old, own = label[w], pairs[w, w]
-            right, left = to_class[w].copy(), from_class[w].copy()
-            right[old] -= own
-            left[old] -= own
-            counts[old] -= right
-            counts[:, old] -= left
-            counts[old, old] -= own
-            row, column = counts.sum(axis=1), counts.sum(axis=0)
-            c = np.arange(classes)
-            both = left + right + own
-            diagonal = counts[c, c]
-            gain = (entropy(counts[:classes] + right) - entropy(counts[:classes])).sum(axis=1)
-            gain -= entropy(diagonal + right[:classes]) - entropy(diagonal)
-            gain += (entropy(counts[:, :classes] + left[:, None]) - entropy(counts[:, :classes])).sum(axis=0)
-            gain -= entropy(diagonal + left[:classes]) - entropy(diagonal)
-            gain += entropy(diagonal + both[:classes]) - entropy(diagonal)
-            after, before = right.sum() + own, left.sum() + own
-            gain -= entropy(row[:classes] + after) - entropy(row[:classes]) + entropy(column[:classes] + before) - entropy(column[:classes])
-            new = int(gain.argmax())
-            if gain[new] <= gain[old] + 1e-9:
-                new = old
-            counts[new] += right
-            counts[:, new] += left
-            counts[new, new] += own
-            if new != old:
-                moved += 1
-                label[w] = new
-                to_class[:, old] -= pairs[:, w]
-                to_class[:, new] += pairs[:, w]
-                from_class[:, old] -= pairs[w]
-                from_class[:, new] += pairs[w]
-        if not moved:
-            break
+    while _exchange(pairs, movable, classes, label, to_class, from_class, counts):
+        pass
     return label
 
 
+def _exchange(pairs: np.ndarray, movable: int, classes: int, label: np.ndarray, to_class: np.ndarray, from_class: np.ndarray, counts: np.ndarray) -> bool:
+    """One round of exchange in place, from the given labels; whether any symbol moved."""
+    least, moved = _least_gain(counts), False
+    for w in range(movable):
+        old, own = label[w], pairs[w, w]
+        right, left = to_class[w].copy(), from_class[w].copy()
+        right[old] -= own
+        left[old] -= own
+        counts[old] -= right
+        counts[:, old] -= left
+        counts[old, old] -= own
+        row, column = counts.sum(axis=1), counts.sum(axis=0)
+        c = np.arange(classes)
+        both = left + right + own
+        diagonal = counts[c, c]
+        gain = (_entropy(counts[:classes] + right) - _entropy(counts[:classes])).sum(axis=1)
+        gain -= _entropy(diagonal + right[:classes]) - _entropy(diagonal)
+        gain += (_entropy(counts[:, :classes] + left[:, None]) - _entropy(counts[:, :classes])).sum(axis=0)
+        gain -= _entropy(diagonal + left[:classes]) - _entropy(diagonal)
+        gain += _entropy(diagonal + both[:classes]) - _entropy(diagonal)
+        after, before = right.sum() + own, left.sum() + own
+        gain -= _entropy(row[:classes] + after) - _entropy(row[:classes]) + _entropy(column[:classes] + before) - _entropy(column[:classes])
+        new = int(gain.argmax())
+        if gain[new] <= gain[old] + least:
+            new = old
+        counts[new] += right
+        counts[:, new] += left
+        counts[new, new] += own
+        if new != old:
+            moved = True
+            label[w] = new
+            to_class[:, old] -= pairs[:, w]
+            to_class[:, new] += pairs[:, w]
+            from_class[:, old] -= pairs[w]
+            from_class[:, new] += pairs[w]
+    return moved
+
+
+class Coder:
+    """Codes of words: by falling count, then the code of all others and that of the end."""
+
+    def __init__(self, hashes: np.ndarray, codes: np.ndarray, limit: int):
+        self.hashes, self.codes, self.limit = hashes, codes, limit
+        self.end = {b"": len(hashes) + 1}
+        self.known = dict(self.end)
+
+    def __call__(self, texts: list) -> tuple[np.ndarray, list[list[bytes]]]:
+        """The codes of all tokens (the end after each text), and the words of each text."""
+        held = [lowered(text) for text in texts]
+        flat = [w for words in held for w in (*words, b"")]
+        if len(self.known) > self.limit:
+            self.known = dict(self.end)
+        try:
+            codes = list(map(self.known.__getitem__, flat))
+        except KeyError:
+            new = list(set(flat) - self.known.keys())
+            self.known.update(zip(new, self._looked_up(new).tolist(), strict=True))
+            codes = list(map(self.known.__getitem__, flat))
+        return np.array(codes, np.int64), held
+
+    def _looked_up(self, words: list[bytes]) -> np.ndarray:
+        rest = len(self.hashes)
+        if not rest:
+            return np.full(len(words), rest)
+        hashed = np.array([xxhash.xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)  # as Spark's xxhash64
+        at = np.minimum(np.searchsorted(self.hashes, hashed), rest - 1)
+        return np.where(self.hashes[at] == hashed, self.codes[at], rest)
+
+
 @dataclass
 class ClassModel:
-    """Frequent words (symbol, count), classes of symbols, and log10 of the bracket by class pair."""
+    """Codes and counts of words with a class, classes of codes, and log10 of the bracket by class pair.
+
+    ``hashes`` are sorted, ``codes`` theirs; after the words, ``counts`` and ``symbol`` hold
+    the rare words (count 0 here, joined instead) and the end.
+    """
 
-    words: dict[bytes, int]
+    hashes: np.ndarray
+    codes: np.ndarray
     counts: np.ndarray
     symbol: np.ndarray
     label: np.ndarray
@@ -150,84 +211,289 @@ class ClassModel:
     vocabulary: DataFrame
     tokens: int
     distinct: int
+    least: int
+    frequent: int
 
+    @property
+    def words(self) -> dict[bytes, int]:
+        """Codes of all words with a class and of the end (brings their strings to the driver: for inspection)."""
+        rows = self.vocabulary.where((F.col("word") != END) & (F.col("n") >= self.least)).select("word").collect()
+        words = [r["word"].encode() for r in rows]
+        coder = Coder(self.hashes, self.codes, self.frequent)
+        return {**dict(zip(words, coder._looked_up(words).tolist(), strict=True)), **coder.end}
 
-def _symbols(words: dict[bytes, int], symbol: np.ndarray, rest: int, texts: list) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """Codes of all tokens (-1: not frequent; the end after each text), their symbols, and the words of each text."""
-    codes, get, held = [], words.get, []
-    for text in texts:
-        found = lowered(text)
-        held.append(found)
-        codes += map(get, found, repeat(-1))
-        codes.append(get(b"", -2))
-    codes = np.array(codes, np.int64)
-    symbols = np.where(codes >= 0, symbol[np.maximum(codes, 0)] if len(symbol) else rest, rest)
-    return codes, symbols, held
 
+def _packed(*arrays: np.ndarray) -> bytes:
+    return pa.compress(np.concatenate([a.astype(np.int32) for a in arrays]).tobytes(), codec="zstd", asbytes=True)
 
-def learn(training: DataFrame, text: str = "text", frequent: int = FREQUENT, clustered: int = CLUSTERED, classes: int = CLASSES, weight: float = WEIGHT) -> ClassModel:
-    """The model of all texts of ``training``."""
-    vocabulary = written(_counted(training, text), "vocabulary")
-    level = F.floor(16 * F.log2("n")).cast("int")
-    by_level = vocabulary.where(F.col("word") != END).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n"))
-    levels = sorted(by_level.collect(), key=lambda r: -r["level"])  # 16 a doubling of the count
-    tokens, distinct, taken, least = 0, 0, 0, None
-    for row in levels:
-        tokens, distinct = tokens + row["n"], distinct + row["words"]
-        if taken is not None and taken + row["words"] <= frequent:
-            taken, least = taken + row["words"], row["level"]
+
+def _unpacked(size: int, blob: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, size * 12, codec="zstd", asbytes=True), np.int32).reshape(3, size).astype(np.int64)
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and their sums."""
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _neighbours(training: DataFrame, text: str, coded, frequent: int, hot: int, blocks: int) -> DataFrame:
+    """(size, pairs): a block's (owner, neighbour, count), packed; after the owner, and with its code raised, before it.
+
+    All pairs of a word are in one block, but those of the ``hot`` most frequent words, of
+    rare words and of the end are dealt by neighbour.
+    """
+    words = len(coded.value[0])
+    size, rest = words + 2, words
+
+    def dealt(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, b = keys // size, keys % size
+        owner, other = np.concatenate((a, b[b < rest] + size)), np.concatenate((b, a[b < rest]))
+        n, of = np.concatenate((n, n[b < rest])), owner % size
+        spread = (of < hot) | (of >= rest)
+        mixed = (np.where(spread, of + other * 7919, of) + 1) * 0x9E3779B1 % (1 << 32)
+        block = (mixed * blocks) >> 32
+        order = np.lexsort((other, owner, block))
+        block, owner, other, n = block[order], owner[order], other[order], n[order]
+        edges = np.searchsorted(block, np.arange(blocks + 1))
+        held = [(k, i, j) for k, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if j > i]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, _, _ in held], pa.int64()),
+                pa.array([j - i for _, i, j in held], pa.int64()),
+                pa.array([_packed(owner[i:j], other[i:j], n[i:j]) for _, i, j in held], pa.binary()),
+            ],
+            names=["block", "size", "pairs"],
+        )
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = Coder(*coded.value, frequent)
+        keys, n, fresh = np.empty(0, np.int64), np.empty(0, np.int64), []
+        for batch in text_batches(batches, "text"):
+            codes, _ = coder(batch.column("text").to_pylist())
+            if len(codes):
+                fresh.append(np.concatenate(([rest + 1], codes[:-1])) * size + codes)
+            if sum(map(len, fresh)) > HELD_PAIRS:
+                new = np.concatenate([keys, *fresh])
+                keys, n = _summed(new, np.concatenate((n, np.ones(len(new) - len(n), np.int64))))
+                fresh = []
+                if len(keys) > HELD_PAIRS:
+                    yield from dealt(keys, n)
+                    keys, n = keys[:0], n[:0]
+        new = np.concatenate([keys, *fresh])
+        if len(new):
+            yield from dealt(*_summed(new, np.concatenate((n, np.ones(len(new) - len(n), np.int64)))))
+
+    def merge(group: pa.Table) -> pa.Table:
+        parts = [_unpacked(s, b) for s, b in zip(group.column("size").to_pylist(), group.column("pairs").to_pylist(), strict=True)]
+        owner, other, n = np.concatenate(parts, axis=1)
+        keys, n = _summed(owner * size + other, n)
+        return pa.table({"size": pa.array([len(keys)], pa.int64()), "pairs": pa.array([_packed(keys // size, keys % size, n)], pa.binary())})
+
+    rows = training.select(F.col(text).alias("text")).mapInArrow(count, "block bigint, size bigint, pairs binary")
+    return written(rows.groupBy("block").applyInArrow(merge, "size bigint, pairs binary"), "neighbours")
+
+
+def _gains(table: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarray, old: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Exact change of the likelihood when one word moves from class ``old`` to ``new``, for each word.
+
+    ``right`` and ``left`` count the classes after and before the word, ``own`` its pairs with itself.
+    """
+    at = np.arange(len(old))
+    right, left = right.astype(np.float64), left.astype(np.float64)
+    right[at, old] -= own
+    left[at, old] -= own
+    logs, rows, columns = _entropy(table), table.sum(axis=1), table.sum(axis=0)
+    from_, to = table[old] - right, table[new] + right
+    from_[at, old] -= left[at, old] + own
+    from_[at, new] += left[at, old]
+    to[at, old] -= left[at, new]
+    to[at, new] += left[at, new] + own
+    gain = (_entropy(from_) - logs[old] + _entropy(to) - logs[new]).sum(axis=1)
+    across = _entropy(table.T[old] - left) - logs.T[old] + _entropy(table.T[new] + left) - logs.T[new]
+    across[at, old] = across[at, new] = 0.0
+    gain += across.sum(axis=1)
+    after, before = right.sum(axis=1) + own, left.sum(axis=1) + own
+    for sums, moved in ((rows, after), (columns, before)):
+        gain -= _entropy(sums[old] - moved) - _entropy(sums[old]) + _entropy(sums[new] + moved) - _entropy(sums[new])
+    return gain
+
+
+def _proposed(table: np.ndarray, classes: int, right: np.ndarray, left: np.ndarray, own: np.ndarray, old: np.ndarray, least: float) -> np.ndarray:
+    """The class each word would move to, or its own one; words that are not in a class yet take the best one."""
+    logs = np.log(np.maximum(table, 0.5))
+    rows, columns = np.log(np.maximum(table.sum(axis=1), 0.5)), np.log(np.maximum(table.sum(axis=0), 0.5))
+    score = right @ logs[:classes].T + left @ logs[:, :classes]
+    score -= right.sum(axis=1)[:, None] * rows[:classes] + left.sum(axis=1)[:, None] * columns[:classes]
+    at = np.arange(len(old))
+    placed = old < classes
+    score[at[placed], old[placed]] = -np.inf  # the best other one
+    best = score.argmax(axis=1)
+    some = np.flatnonzero(placed & (best != old))
+    gain = _gains(table, right[some], left[some], own[some], old[some], best[some])
+    best[some] = np.where(gain > least, best[some], old[some])
+    return best
+
+
+def _clustered(neighbours: DataFrame, label: np.ndarray, own: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Labels after exchange in rounds until no word moves, and the class-pair counts."""
+    context = neighbours.sparkSession.sparkContext
+    size, kinds, hot = len(label), classes + 2, len(own)
+    rest = size - 2
+    small = (neighbours.agg(F.sum("size")).first()[0] or 0) <= SMALL
+    kept = neighbours.toArrow() if small else None
+
+    def scan(label: np.ndarray, table: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """Without ``table``, class pairs and counts. With it, those of frequent words and classes, and -1 - code and proposed class of others."""
+        held = context.broadcast((label.astype(np.int16), table))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            label, table = held.value
+            label = label.astype(np.int64)
+            total = np.zeros(kinds * kinds, np.int64)
+            of_hot = np.zeros(hot * 2 * kinds, np.int64)
+            for batch in batches:
+                for length, blob in zip(batch.column("size").to_pylist(), batch.column("pairs").to_pylist(), strict=True):
+                    owner, other, n = _unpacked(length, blob)
+                    before = owner >= size
+                    owner -= before * size
+                    kind = label[other]
+                    if table is None:
+                        at = ~before
+                        total += np.bincount(label[owner[at]] * kinds + kind[at], n[at], kinds * kinds).astype(np.int64)
+                        continue
+                    itself = (owner == other) & ~before
+                    at = owner < hot
+                    of_hot += np.bincount((owner[at] * 2 + before[at]) * kinds + kind[at], n[at], len(of_hot)).astype(np.int64)
+                    at = (owner >= hot) & (owner < rest)
+                    owner, before, kind, n, itself = owner[at], before[at], kind[at], n[at], itself[at]
+                    present = np.zeros(size, bool)
+                    present[owner] = True
+                    words = np.flatnonzero(present)
+                    row = (np.cumsum(present) - 1)[owner]
+                    counted = np.bincount((row * 2 + before) * kinds + kind, n, len(words) * 2 * kinds).reshape(len(words), 2, kinds)
+                    own = np.bincount(row[itself], n[itself], len(words)).astype(np.float64)
+                    new = _proposed(table, classes, counted[:, 0], counted[:, 1], own, label[words], least)
+                    moved = new != label[words]
+                    yield pa.RecordBatch.from_arrays([pa.array(-1 - words[moved], pa.int64()), pa.array(new[moved], pa.int64())], names=["key", "n"])
+            sums = total if table is None else of_hot
+            at = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.int64())], names=["key", "n"])
+
+        if small:
+            got = pa.Table.from_batches(run(kept.to_batches())).group_by("key").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
         else:
-            taken = None  # only the highest levels, without a gap
-    ends = next((r["n"] for r in vocabulary.where(F.col("word") == END).collect()), 0)
-    tokens, distinct = tokens + ends, distinct + (1 if ends else 0)
-    top = vocabulary.where((F.col("word") != END) & (level >= least)).toArrow() if least is not None else pa.table({"word": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
-    found = sorted(zip(top.column("n").to_pylist(), (w.encode() for w in top.column("word").to_pylist()), strict=True), key=lambda x: (-x[0], x[1]))
-    movable = min(clustered, len(found))
-    rest, end = movable + BANDS, movable + BANDS + 1
-    words = {w: i for i, (_, w) in enumerate(found)}
-    counts = np.array([n for n, _ in found] + [ends], np.int64)
-    words[b""] = len(found)
-    symbol = np.arange(len(found) + 1)
-    others = counts[movable:-1]
-    if len(others):  # bands of equal ratios between the highest and the lowest count
-        high, low = np.log(others[0] + 1), np.log(others[-1])
-        symbol[movable:-1] = movable + np.minimum(BANDS - 1, ((high - np.log(others)) / max(1e-9, high - low) * BANDS).astype(np.int64))
-    symbol[-1] = end
-    size = end + 1
+            got = neighbours.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+        held.destroy()
+        return got.column("key").to_numpy(), got.column("n").to_numpy()
+
+    def pairs(label: np.ndarray) -> np.ndarray:
+        table = np.zeros(kinds * kinds)
+        keys, n = scan(label, None, 0.0)
+        table[keys] = n
+        return table.reshape(kinds, kinds)
+
+    def likelihood(table: np.ndarray) -> float:
+        return float(_entropy(table).sum() - _entropy(table.sum(axis=0)).sum() - _entropy(table.sum(axis=1)).sum())
+
+    def halved(words: np.ndarray, new: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
+        half = np.sort(np.argsort((words + 1 + turn * 7919) * 0x9E3779B1 % (1 << 32), kind="stable")[: len(words) // 2])
+        return words[half], new[half]
+
+    table, turn = pairs(label), 0
+    least = _least_gain(table)
+    while True:
+        keys, n = scan(label, table, least)
+        of_hot = np.zeros(hot * 2 * kinds)
+        of_hot[keys[keys >= 0]] = n[keys >= 0]
+        of_hot = of_hot.reshape(hot, 2, kinds)
+        order = np.argsort(-keys[keys < 0])
+        words, new = -1 - keys[keys < 0][order], n[keys < 0][order]
+        if not turn and rest > hot:  # all others join the classes
+            label[words] = new
+            table, turn = pairs(label), 1
+            continue
+        of_frequent = _proposed(table, classes, of_hot[:, 0], of_hot[:, 1], own, label[:hot], least)
+        at = np.flatnonzero(of_frequent != label[:hot])
+        words, new = np.concatenate((at, words)), np.concatenate((of_frequent[at], new))
+        best, turn, moved = likelihood(table), turn + 1, False
+        if turn > 2 and len(words) > 1:
+            words, new = halved(words, new, turn)
+        while len(words):
+            tried = label.copy()
+            tried[words] = new
+            of_tried = pairs(tried)
+            if likelihood(of_tried) > best:
+                label, table, moved = tried, of_tried, True
+                break
+            words, new = halved(words, new, turn)
+        if not moved:
+            return label, table
+
+
+def learn(
+    training: DataFrame,
+    text: str = "text",
+    frequent: int = FREQUENT,
+    clustered: int = CLUSTERED,
+    classes: int = CLASSES,
+    weight: float = WEIGHT,
+    least: int = LEAST,
+) -> ClassModel:
+    """The model of all texts of ``training``; ``frequent`` bounds a task's memory of words, without effect on results."""
+    context = training.sparkSession.sparkContext
+    vocabulary = written(_counted(training, text), "vocabulary")
+    is_end = F.col("word") == END
+    sums = vocabulary.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"), F.sum(F.when(is_end, F.col("n"))).alias("ends")).first()
+    tokens, distinct, ends = sums["n"] or 0, sums["words"], sums["ends"] or 0
+    top = vocabulary.where(~is_end & (F.col("n") >= least)).select(F.xxhash64("word").alias("hash"), "n").toArrow()
+    hashes, counts = top.column("hash").to_numpy(), top.column("n").to_numpy()
+    order = np.lexsort((hashes, -counts))
+    hashes, counts = hashes[order], counts[order]
+    codes = np.argsort(hashes, kind="stable").astype(np.int32)
+    hashes, words = hashes[codes], len(hashes)
+    hot = min(clustered, words)
+    classes = max(1, min(classes, hot))
+    rest, end = classes, classes + 1
+    coded = context.broadcast((hashes, codes))
+    neighbours = _neighbours(training, text, coded, frequent, hot, max(1, tokens // BLOCK_TOKENS))
+
+    # the most frequent words among themselves; the others, the rare ones and the end keep one symbol each
+    symbols = hot + 3
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = np.zeros(size * size, np.int64)
-        table = words_value.value
-        for batch in text_batches(batches, "text"):
-            _, symbols, _ = _symbols(*table, rest, batch.column("text").to_pylist())
-            if len(symbols):
-                before = np.concatenate(([end], symbols[:-1]))
-                pairs += np.bincount(before * size + symbols, minlength=size * size)
+        pairs = np.zeros(symbols * symbols, np.int64)
+        for batch in batches:
+            for length, blob in zip(batch.column("size").to_pylist(), batch.column("pairs").to_pylist(), strict=True):
+                owner, other, n = _unpacked(length, blob)
+                at = owner < words + 2
+                a, b = (np.where(x < hot, x, np.where(x < words, hot, x - words + hot + 1)) for x in (owner[at], other[at]))
+                pairs += np.bincount(a * symbols + b, n[at], symbols * symbols).astype(np.int64)
         at = np.flatnonzero(pairs)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(pairs[at], pa.int64())], names=["pair", "n"])
 
-    words_value = training.sparkSession.sparkContext.broadcast((words, symbol))
-    rows = training.select(F.col(text).alias("text")).mapInArrow(count_pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-    got = rows.toArrow()  # at most SYMBOLS squared rows
-    pairs = np.zeros(size * size, np.int64)
+    got = neighbours.mapInArrow(count_pairs, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    pairs = np.zeros(symbols * symbols, np.int64)
     pairs[got.column("pair").to_numpy()] = got.column("n").to_numpy()
-    pairs = pairs.reshape(size, size)
-
-    label = exchange(pairs, movable, classes)
-    kinds = int(label.max()) + 1
-    of_class = label[symbol]
-    mass = np.bincount(of_class, counts, kinds)
-    variety = np.bincount(of_class, minlength=kinds).astype(np.float64)
-    last = label[rest]
-    mass[last] += tokens - counts.sum()
-    variety[last] += distinct - len(found) - (1 if ends else 0) + 1
-    between = np.zeros((kinds, kinds))
-    np.add.at(between, (label[:, None], label[None, :]), pairs)
+    label = np.full(words + 2, rest, np.int64)
+    label[-1] = end
+    pairs = pairs.reshape(symbols, symbols)
+    label[:hot] = exchange(pairs, hot, classes)[:hot]
+    label, between = _clustered(neighbours, label, np.diag(pairs)[:hot].astype(np.float64), classes)
+
+    counts = np.concatenate((counts, [0, ends]))
+    kinds = classes + 2
+    mass = np.bincount(label, counts, kinds)
+    variety = np.bincount(label[np.arange(words + 2) != words], minlength=kinds).astype(np.float64)
+    mass[rest] += tokens - counts.sum()
+    variety[rest] += distinct - words - (1 if ends else 0) + 1  # the unknown word
     alone = np.where(variety > 0, between.sum(axis=0) + ADD, 0.0)  # an empty class gets no probability
     alone /= alone.sum()
     after = (between + kinds * alone) / (between.sum(axis=1, keepdims=True) + kinds)
     bracket = weight * after / np.maximum(mass + ADD * variety, ADD) + (1 - weight) / (tokens + ADD * (distinct + 1))
-    return ClassModel(words, counts, symbol, label, np.log10(bracket), vocabulary, tokens, distinct)
+    return ClassModel(hashes, codes, counts, label, np.arange(kinds), np.log10(bracket), vocabulary, tokens, distinct, least, frequent)
 
 
 def scored(docs: DataFrame, model: ClassModel, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -235,29 +501,29 @@ def scored(docs: DataFrame, model: ClassModel, id: str = "doc_id", text: str = "
 
     ``base_score`` is the smoothed unigram log10 probability, ``score`` the class model's.
     """
-    rest = len(model.label) - 2
-    held = docs.sparkSession.sparkContext.broadcast((model.words, model.symbol, model.counts, model.label, model.log_bracket))
+    held = docs.sparkSession.sparkContext.broadcast((model.hashes, model.codes, model.symbol, model.counts, model.label, model.log_bracket, model.frequent))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, symbol, counts, label, log_bracket = held.value
+        hashes, of_hash, symbol, counts, label, log_bracket, frequent = held.value
         log_count = np.log10(counts + ADD)
+        coder, rest = Coder(hashes, of_hash, frequent), len(hashes)
         for batch in text_batches(batches, "text"):
-            codes, symbols, found = _symbols(words, symbol, rest, batch.column("text").to_pylist())
+            codes, found = coder(batch.column("text").to_pylist())
             sizes = np.array([len(w) + 1 for w in found], np.int64)
             first = np.cumsum(sizes) - sizes
-            known = codes >= 0
-            own = np.where(known, log_count[np.maximum(codes, 0)], 0.0)
-            kinds = label[symbols]
+            known = codes != rest
+            own = np.where(known, log_count[codes], 0.0)
+            kinds = label[symbol[codes]]
             before = np.concatenate(([label[-1]], kinds[:-1]))
             rare = []
             for start, of_text in zip(first.tolist(), found, strict=True):
-                at = np.flatnonzero(codes[start : start + len(of_text)] < 0).tolist()
+                at = np.flatnonzero(codes[start : start + len(of_text)] == rest).tolist()
                 rare.append([{"word": w.decode(), "n": n} for w, n in Counter(of_text[i] for i in at).items()])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     pa.array(sizes),
-                    pa.array(np.add.reduceat((known & (counts[np.maximum(codes, 0)] > 0)).astype(np.int64), first)),
+                    pa.array(np.add.reduceat((known & (counts[codes] > 0)).astype(np.int64), first)),
                     pa.array(np.add.reduceat(own, first)),
                     pa.array(np.add.reduceat(log_bracket[before, kinds], first)),
                     pa.array(rare, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))),
