@@ -95,6 +95,15 @@ def test_every_word_above_the_count_gets_its_class_by_exchange(spark):
     assert set(of.values()) == {0, 1}
 
 
+def test_the_memory_of_words_changes_no_score_and_no_class(spark):
+    train = spark.createDataFrame([row(i, t) for i, t in enumerate(corpus(60, 1))], SCHEMA)
+    held = spark.createDataFrame([row(i, t) for i, t in enumerate([*corpus(20, 2), "unknown l1"])], SCHEMA)
+    models = [C.learn(train, frequent=n, clustered=30, classes=4) for n in (5, 1000)]
+    few, many = (sorted((r.doc_id, r.n_known, r.base_score, r.score) for r in C.scored(held, m).collect()) for m in models)
+    assert (models[0].symbol == models[1].symbol).all()
+    assert few == [pytest.approx(r) for r in many]
+
+
 def test_gain_of_a_move_is_the_change_of_the_likelihood():
     rng = np.random.default_rng(8)
     pairs, label = rng.poisson(1.5, (12, 12)).astype(float), np.arange(12) % 4
