@@ -3,7 +3,7 @@
 ``learn`` counts all words of the training texts and gives every word that occurs ``LEAST``
 times or more, a fixed count, a class by exchange: a word moves to the class that raises
 the class-bigram likelihood most, until none moves. The ``CLUSTERED`` most frequent words
-are exchanged one by one among themselves first; the others then join them, and all words
+are exchanged one by one among themselves for a start; the others then join them, and all words
 are exchanged in rounds. Rarer words and unknown ones form one class, whatever the size of
 the corpus. A word's probability given the word before is
 
@@ -51,6 +51,8 @@ LEAST = 5
 FREQUENT = 300_000
 #: most frequent words, exchanged one by one before the others join them
 CLUSTERED = 1000
+#: rounds of that start; the rounds over all words, these among them, go on until none proposes
+START_ROUNDS = 10
 CLASSES = 48
 WEIGHT = 0.8
 END = ""
@@ -100,12 +102,12 @@ def _least_gain(counts: np.ndarray) -> float:
     return max(1e-9, 1e-13 * float(_entropy(total)))
 
 
-def exchange(pairs: np.ndarray, movable: int, classes: int) -> np.ndarray:
+def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int | None = None) -> np.ndarray:
     """Class of each symbol: the first ``movable`` (by falling frequency) are clustered, the others keep one each.
 
     ``pairs[a, b]`` counts symbol b after symbol a. Each step takes a symbol out of its
     class and puts it where the class-bigram likelihood is highest; rounds end when no
-    symbol moves.
+    symbol moves, or after ``rounds`` where given.
     """
     symbols = len(pairs)
     classes = min(classes, movable)
@@ -120,8 +122,9 @@ def exchange(pairs: np.ndarray, movable: int, classes: int) -> np.ndarray:
     counts = np.zeros((total, total))
     np.add.at(counts, label, to_class)
 
-    while _exchange(pairs, movable, classes, label, to_class, from_class, counts):
-        pass
+    done = 0
+    while done != rounds and _exchange(pairs, movable, classes, label, to_class, from_class, counts):
+        done += 1
     return label
 
 
@@ -480,7 +483,7 @@ def learn(
     label = np.full(words + 2, rest, np.int64)
     label[-1] = end
     pairs = pairs.reshape(symbols, symbols)
-    label[:hot] = exchange(pairs, hot, classes)[:hot]
+    label[:hot] = exchange(pairs, hot, classes, START_ROUNDS)[:hot]
     label, between = _clustered(neighbours, label, np.diag(pairs)[:hot].astype(np.float64), classes)
 
     counts = np.concatenate((counts, [0, ends]))
