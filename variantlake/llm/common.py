@@ -2,6 +2,7 @@
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,6 +65,37 @@ def text_batches(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLIC
             yield batch.slice(start, n)
 
 
+def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Groups of neighbouring rows that agree in ``keys``, from sorted batches; null equals null.
+
+    Holds one batch and one group at a time.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def whole() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        starts = np.zeros(batch.num_rows - 1, bool)
+        for k in keys:
+            a, b = batch.column(k)[1:], batch.column(k)[:-1]
+            other = pc.fill_null(pc.not_equal(a, b), False).to_numpy(zero_copy_only=False)
+            starts |= other | (a.is_null().to_numpy(zero_copy_only=False) != b.is_null().to_numpy(zero_copy_only=False))
+        if held and any(held[0].column(k)[0].as_py() != batch.column(k)[0].as_py() for k in keys):
+            yield whole()
+            held.clear()
+        at = [0, *(np.flatnonzero(starts) + 1).tolist(), batch.num_rows]
+        for start, end in zip(at[:-1], at[1:], strict=True):
+            if start:
+                yield whole()
+                held.clear()
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield whole()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet below the shared checkpoint folder, and read again.
 

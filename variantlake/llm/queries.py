@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import chat, class_lm, decontaminate, language, licenses, near_duplicates, packing, repetition, secrets, token_counts
+from variantlake.llm import chat, class_lm, decontaminate, embedding_links, language, licenses, near_duplicates, packing, repetition, secrets, token_counts
 from variantlake.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +222,8 @@ def op10_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query
+def op11_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.embedding_links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
