@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import chat, class_lm, decontaminate, embedding_links, language, licenses, near_duplicates, packing, repetition, secrets, token_counts
+from variantlake.llm import chat, class_lm, decontaminate, embedding_links, language, licenses, near_duplicates, packing, periodic_runs, repetition, secrets, token_counts
 from variantlake.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +227,38 @@ def op10_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links.embedding_links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """``docs`` in which the texts of some documents go round from some word on, as a digest of the id says.
+
+    A document without an id keeps its text.
+    """
+    digest = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, g = F.size("words"), F.floor(F.col("digest") / 10)
+    start = F.pmod(g, F.greatest(n, F.lit(1)))
+    period = 1 + F.floor((n - start) / (3 + F.pmod(g, F.lit(8))))
+    turned = F.transform(
+        "words", lambda w, i: F.when(i >= F.col("start"), F.get("words", (F.col("start") + F.pmod(i - F.col("start"), F.col("period"))).cast("int"))).otherwise(w)
+    )
+    chosen = (F.col("digest") % 10 == 0) & F.coalesce(F.length("text") > 0, F.lit(False))
+    held = docs.withColumn("digest", digest).withColumn("words", F.when(chosen, words))
+    held = held.withColumn("start", start).withColumn("period", period)
+    text = F.when(n > 0, F.array_join(turned, " ")).otherwise(F.col("text"))
+    return held.withColumn("text", text).drop("digest", "words", "start", "period")
+
+
+@query
+def op13_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.with_runs(made_periodic(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    runs, strongest = F.col("periodic.runs"), F.col("periodic.strongest")
+    lines = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("bigint").alias("n_runs"),
+        *(strongest[n].alias(n) for n in ("start", "length", "period")),
+        F.expr("1000 * periodic.strongest.length div periodic.strongest.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2(F.col("periodic.collapsed"), 256).alias("collapsed_sha256"),
+    )
