@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantlake.llm import chat, class_lm, decontaminate, embedding_links, language, licenses, near_duplicates, packing, periodic_runs, repetition, secrets, token_counts
+from variantlake.llm import alignment, chat, class_lm, decontaminate, embedding_links, language, licenses, near_duplicates, packing, periodic_runs, repetition, secrets, token_counts
 from variantlake.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -262,3 +262,10 @@ def op13_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(lines, 256).alias("runs_sha256"),
         F.sha2(F.col("periodic.collapsed"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_spill_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, _ = alignment.aligned(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select("doc_id", "alignment.*")
