@@ -1,0 +1,216 @@
+"""Incremental Silver: any split into runs equals one build; bad runs publish nothing."""
+
+from __future__ import annotations
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_SMALL
+from variantlake.operators import positions, silver, state
+from variantlake.plans import incremental
+from variantlake.sources import fixtures, versions
+from variantlake.sources.kafka import add_event_time
+from variantlake.sources.lake import table_path, write_table
+from variantlake.sources.schemas import BRONZE_BEHAVIOR_SCHEMA, BRONZE_EXPOSURES_SCHEMA
+
+SCHEMAS = {"exposures": BRONZE_EXPOSURES_SCHEMA, "behavior": BRONZE_BEHAVIOR_SCHEMA}
+MARKS = ["event_id", "topic", "partition", "offset", "assigned_variant", "year", "month", "day"]
+
+
+def add_bronze(spark, lake, rows, entity="exposures"):
+    write_table(rows.select(*SCHEMAS[entity].fieldNames()), table_path(lake, "bronze", entity), ["year", "month", "day"], mode="append")
+
+
+def exposures(spark, rows):
+    """(event_id, user_id, variant, event_time, offset, ingestion second) as Bronze rows."""
+    df = spark.createDataFrame(rows, "event_id string, user_id string, assigned_variant string, event_time string, offset long, s long")
+    df = df.select(
+        "*",
+        F.lit("EXP").alias("experiment_id"),
+        F.timestamp_seconds("s").alias("kafka_ingestion_timestamp"),
+        F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"),
+    )
+    df = add_event_time(df.drop("s"))
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in BRONZE_EXPOSURES_SCHEMA if f.name not in df.columns]
+    return df.select("*", *missing)
+
+
+def run(spark, lake, rows):
+    add_bronze(spark, lake, exposures(spark, rows))
+    return incremental.update_entity(spark, lake, incremental.EXPOSURES)
+
+
+def published(spark, lake, layer, columns=("event_id", "offset")):
+    return sorted(tuple(r) for r in incremental.read_published(spark, lake, layer, "exposures").select(*columns).collect())
+
+
+def whole(spark, rows):
+    """(Silver, quarantine) of one build over all rows."""
+    return [sorted((r.event_id, r.offset) for r in t.collect()) for t in silver.silver_exposures(exposures(spark, rows))]
+
+
+DAY = "2026-01-0{} 10:00:00"
+
+
+def test_conflict_over_two_runs_moves_earlier_rows(spark, tmp_path):
+    lake = str(tmp_path)
+    run(spark, lake, [("1", "a", "control", DAY.format(1), 1, 1), ("2", "b", "control", DAY.format(1), 2, 2), ("3", "c", "control", DAY.format(3), 3, 3)])
+    assert published(spark, lake, "silver") == [("1", 1), ("2", 2), ("3", 3)]
+    report = run(spark, lake, [("4", "a", "treatment", DAY.format(2), 4, 4), ("3", "c", "control", DAY.format(3), 5, 5)])
+    assert published(spark, lake, "silver") == [("2", 2), ("3", 3)]
+    assert published(spark, lake, "quarantine") == [("1", 1), ("4", 4)]
+    assert report["duplicates_removed"] == 1 and report["dates_rewritten"] == 2
+
+
+def test_an_earlier_row_found_later_takes_the_place(spark, tmp_path):
+    lake = str(tmp_path)
+    run(spark, lake, [("1", "a", "control", DAY.format(1), 9, 9), ("2", "a", "treatment", DAY.format(2), 8, 8)])
+    assert published(spark, lake, "silver") == []
+    # the first row of event 2 says another variant: the conflict ends, and the date of the old row loses it
+    report = run(spark, lake, [("2", "a", "control", DAY.format(3), 5, 5)])
+    assert published(spark, lake, "silver") == [("1", 9), ("2", 5)] and published(spark, lake, "quarantine") == []
+    assert report["dates_vanished"] == 2 and report["silver"] == 2  # both dates of the old quarantine are gone
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_any_split_into_runs_equals_one_build(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    rows = [
+        (str(rng.randint(0, 25)), rng.choice("abcdefgh"), rng.choice(["control", "control", "treatment", "holdout"]),
+         rng.choice([DAY.format(rng.randint(1, 4)), "bad"]), i, rng.randint(0, 30))
+        for i in range(60)
+    ]
+    for part in (rows[0::3], rows[1::3], rows[2::3]):
+        run(spark, str(tmp_path), part)
+    assert [published(spark, str(tmp_path), t) for t in ("silver", "quarantine")] == whole(spark, rows)
+
+
+def test_states_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "MERGE_STATES", 2)
+    rows = [(str(i % 5), f"u{i % 3}", ["control", "treatment"][i % 7 == 6], DAY.format(1 + i % 3), i, 20 - i) for i in range(12)]
+    for at in range(0, 12, 4):
+        run(spark, str(tmp_path), rows[at : at + 4])
+    assert [published(spark, str(tmp_path), t) for t in ("silver", "quarantine")] == whole(spark, rows)
+    assert len(versions.current(spark, str(tmp_path), "exposures").states) == 1
+
+
+def test_unchanged_dates_and_old_bronze_are_not_read(spark, tmp_path):
+    lake = str(tmp_path)
+    run(spark, lake, [(str(i), f"u{i}", "control", DAY.format(1 + i % 4), i, i) for i in range(8)])
+    kept = [f for f in versions.current(spark, lake, "exposures").folders if f.day != 2]
+    broken = [versions.folder_path(lake, "exposures", f) for f in kept] + [table_path(lake, "bronze", "exposures")]
+    for folder in broken:  # whoever opens one of these files fails
+        for top, _, names in os.walk(folder):
+            for name in names:
+                if name.endswith(".parquet"):
+                    with open(f"{top}/{name}", "wb") as f:
+                        f.write(b"broken")
+    report = run(spark, lake, [("9", "u9", "control", DAY.format(2), 9, 9), ("1", "u1", "control", DAY.format(2), 10, 10)])
+    assert report["silver"] == 9 and report["dates_rewritten"] == 1
+    fresh = [f for f in versions.current(spark, lake, "exposures").folders if f.day == 2]
+    got = versions.read_folders(spark, lake, "exposures", fresh, incremental.EXPOSURES.silver)
+    assert sorted(r.event_id for r in got.collect()) == ["1", "5", "9"]
+
+
+def test_a_bad_run_publishes_nothing_and_the_next_one_recovers(spark, tmp_path, monkeypatch):
+    lake = str(tmp_path)
+    run(spark, lake, [("1", "a", "control", DAY.format(1), 1, 1)])
+    before = versions.current(spark, lake, "exposures")
+    more = [("2", "b", "control", DAY.format(1), 2, 2), ("3", "c", "control", DAY.format(2), 3, 3)]
+    good = state.kept_rows
+    monkeypatch.setattr(state, "kept_rows", lambda *a: good(*a).where("event_id <> '3'"))
+    with pytest.raises(Exception, match="nothing was published"):
+        run(spark, lake, more)
+    assert versions.current(spark, lake, "exposures") == before and published(spark, lake, "silver") == [("1", 1)]
+    monkeypatch.undo()
+    # a row staged for both tables
+    both = incremental.Entity.invalid
+    monkeypatch.setattr(incremental.Entity, "invalid", lambda self, rows: both(self, rows).unionByName(silver._tag(rows.where("event_id = '2'"), "twice")))
+    monkeypatch.setattr(incremental.Entity, "counts", lambda self, rows: {"bronze": 2, "invalid": 1, "bots": 0, "valid": 2})
+    with pytest.raises(Exception, match="Silver and for quarantine"):
+        incremental.update_entity(spark, lake, incremental.EXPOSURES)
+    monkeypatch.undo()
+    assert published(spark, lake, "silver") == [("1", 1)]
+    report = incremental.update_entity(spark, lake, incremental.EXPOSURES)  # the same files again
+    assert report["bronze"] == 2 and published(spark, lake, "silver") == [("1", 1), ("2", 2), ("3", 3)]
+    assert incremental.update_entity(spark, lake, incremental.EXPOSURES)["bronze"] == 0
+
+
+def test_a_run_that_died_after_publishing_is_not_applied_twice(spark, tmp_path, monkeypatch):
+    lake = str(tmp_path)
+    publish = versions.publish
+
+    def die(*a, **k):
+        publish(*a, **k)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(versions, "publish", die)
+    rows = [("1", "a", "control", DAY.format(1), 1, 1), (None, "a", "control", DAY.format(1), 2, 2)]
+    with pytest.raises(Exception, match="driver lost"):
+        run(spark, lake, rows)
+    monkeypatch.undo()
+    report = incremental.update_entity(spark, lake, incremental.EXPOSURES)
+    assert (report["silver"], report["quarantine"]) == (1, 1)
+    assert versions.current(spark, lake, "exposures").version == 1
+    assert published(spark, lake, "quarantine", ["offset"]) == [(2,)]
+
+
+def test_rebuild_and_old_versions(spark, tmp_path):
+    lake = str(tmp_path)
+    run(spark, lake, [("1", "a", "control", DAY.format(1), 1, 1)])
+    run(spark, lake, [("2", "b", "treatment", DAY.format(2), 2, 2)])
+    assert incremental.update_entity(spark, lake, incremental.EXPOSURES, rebuild=True)["bronze"] == 2
+    assert published(spark, lake, "silver") == [("1", 1), ("2", 2)]
+    assert versions.current(spark, lake, "exposures").version == 3
+    old = incremental.read_published(spark, lake, "silver", "exposures", version=1)
+    assert [r.event_id for r in old.collect()] == ["1"]
+
+
+def test_empty_and_missing_bronze(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        incremental.update_silver(spark, lake)
+    for entity, schema in SCHEMAS.items():
+        spark.createDataFrame([], schema).write.parquet(table_path(lake, "bronze", entity))
+    report = incremental.update_silver(spark, lake)
+    assert all(r["silver"] == r["quarantine"] == 0 for r in report.values())
+    assert incremental.read_published(spark, lake, "silver", "behavior").count() == 0
+
+
+def test_behavior_in_two_runs(spark, tmp_path):
+    lake = str(tmp_path)
+    bronze = fixtures.bronze_behavior(spark, SF_SMALL).where("year = 1995 AND month <= 2")
+    half = F.pmod(F.xxhash64("event_id", "offset"), F.lit(2))
+    for i in range(2):
+        add_bronze(spark, lake, bronze.where(half == i), "behavior")
+        report = incremental.update_entity(spark, lake, incremental.BEHAVIOR)
+    for table, layer in zip(silver.silver_behavior(bronze), ("silver", "quarantine"), strict=True):
+        columns = [c for c in table.columns if c != "processing_timestamp"]
+        got = incremental.read_published(spark, lake, layer, "behavior").select(*columns)
+        assert got.exceptAll(table.select(*columns)).count() == 0 and table.select(*columns).exceptAll(got).count() == 0
+        assert report[layer] == table.count() > 0
+
+
+def test_position_codes_keep_the_order(spark):
+    rng = random.Random(4)
+    rows = [
+        (str(rng.randint(0, 40)), rng.choice([None, 0, 1, 123456, 99999999999999]), rng.choice([None, "a", "b", "zz"]),
+         rng.choice([None, 0, 1, 5, 99997]), rng.choice([None, 0, 7, 10**14 - 2]))
+        for _ in range(500)
+    ]
+    df = spark.createDataFrame(rows, "event_id string, us long, topic string, partition int, offset long")
+    df = df.withColumn("kafka_ingestion_timestamp", F.timestamp_micros("us"))
+    topics = positions.topics_of(df)
+    found = positions.first_positions(df, topics)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    got = found.select("event_id", "rows", positions.position_of(F.col("at"), topics).alias("first"))
+    expected = df.groupBy("event_id").agg(F.count(F.lit(1)).alias("rows"), F.min(F.struct(*positions.POSITION)).alias("first"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    with pytest.raises(Exception, match="does not fit"):
+        positions.first_positions(df.withColumn("offset", F.lit(10**14)), topics).collect()
+    with pytest.raises(Exception, match="does not fit"):
+        positions.first_positions(df, ["a"]).collect()
