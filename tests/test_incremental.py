@@ -6,6 +6,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -130,7 +131,9 @@ def test_a_bad_run_publishes_nothing_and_the_next_one_recovers(spark, tmp_path,
     # a row staged for both tables
     both = incremental.Entity.invalid
     monkeypatch.setattr(incremental.Entity, "invalid", lambda self, rows: both(self, rows).unionByName(silver._tag(rows.where("event_id = '2'"), "twice")))
-    monkeypatch.setattr(incremental.Entity, "counts", lambda self, rows: {"bronze": 2, "invalid": 1, "bots": 0, "valid": 2})
+    survey = incremental.Entity.survey
+    twice = Row("year", "month", "day", "bronze", "invalid", "bots", "valid", "topics")(2026, 1, 1, 0, 1, 0, 0, [])
+    monkeypatch.setattr(incremental.Entity, "survey", lambda self, rows: [*survey(self, rows), twice])
     with pytest.raises(Exception, match="Silver and for quarantine"):
         incremental.update_entity(spark, lake, incremental.EXPOSURES)
     monkeypatch.undo()
@@ -170,6 +173,22 @@ def test_rebuild_and_old_versions(spark, tmp_path):
     assert [r.event_id for r in old.collect()] == ["1"]
 
 
+def test_jobs_read_the_published_version(spark, tmp_path, capsys):
+    from variantlake.__main__ import main
+    from variantlake.plans import jobs
+
+    lake = str(tmp_path)
+    add_bronze(spark, lake, fixtures.bronze_exposures(spark, SF_SMALL))
+    add_bronze(spark, lake, fixtures.bronze_behavior(spark, SF_SMALL).where("year = 1995 AND month = 1"), "behavior")
+    assert main(["update", "--base", lake]) == 0
+    assert '"silver": 151' in capsys.readouterr().out
+    checks = {r.check_name: r.observed_value for r in jobs.run_quality(spark, lake).collect()}
+    assert checks["silver_exposures_has_rows"] == 151.0
+    assert spark.read.parquet(jobs.build_gold(spark, lake)["experiment_metrics"]).count() == 4
+    with pytest.raises(ValueError, match="update_silver"):
+        jobs.build_silver(spark, lake)
+
+
 def test_empty_and_missing_bronze(spark, tmp_path):
     lake = str(tmp_path / "lake")
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="variantlake")
-    p.add_argument("job", choices=["ingest-exposures", "ingest-behavior", "silver", "quality", "gold", "batch"])
+    p.add_argument("job", choices=["ingest-exposures", "ingest-behavior", "silver", "update", "quality", "gold", "batch"])
     p.add_argument(
         "--base",
         default=os.environ.get("S3_LAKE_PATH"),
@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--trigger", default="10 seconds", help='processing-time interval or "availableNow"')
     p.add_argument("--reparse", action="store_true", help="rebuild Bronze behavior from its stored JSON text (silver)")
     p.add_argument("--full-refresh", action="store_true", help="static overwrite (silver)")
+    p.add_argument("--rebuild", action="store_true", help="handle all of Bronze again (update)")
     p.add_argument("--show", action="store_true", help="print the written tables (quality, gold)")
     a = p.parse_args(argv)
     if not a.base:
@@ -70,6 +71,10 @@ def main(argv: list[str] | None = None) -> int:
         start(spark, a.base, source=source, trigger=a.trigger).awaitTermination()
     elif a.job == "silver":
         print(json.dumps(jobs.build_silver(spark, a.base, a.full_refresh, a.reparse)))
+    elif a.job == "update":  # new Bronze files only, published as a checked version
+        from variantlake.plans.incremental import update_silver
+
+        print(json.dumps(update_silver(spark, a.base, a.rebuild)))
     elif a.job == "quality":
         jobs.run_quality(spark, a.base, show=a.show)
     elif a.job == "gold":

@@ -18,12 +18,16 @@ DIGITS = {"kafka_ingestion_timestamp": 17, "topic": 2, "partition": 5, "offset":
 CODE = "decimal(38,0)"
 
 
+def ranked(topics: set[str]) -> list[str]:
+    """Topics in ascending order, as ``position_code`` takes them."""
+    if len(topics) > 98:
+        raise ValueError(f"{len(topics)} topics in one table; a position code holds 98")
+    return sorted(topics)
+
+
 def topics_of(df: DataFrame) -> list[str]:
-    """The topics of a Bronze table in ascending order (one aggregate over one dictionary-coded column)."""
-    found = sorted(df.agg(F.collect_set("topic")).first()[0])
-    if len(found) > 98:
-        raise ValueError(f"{len(found)} topics in one table; a position code holds 98")
-    return found
+    """The topics of a Bronze table (one aggregate over one dictionary-coded column)."""
+    return ranked(set(df.agg(F.collect_set("topic")).first()[0]))
 
 
 def _parts(topics: list[str]) -> dict[str, Column]:

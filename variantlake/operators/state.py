@@ -45,16 +45,26 @@ def decided_ids(firsts: DataFrame, index: DataFrame, topics: list[str]) -> DataF
     )
 
 
-def kept_rows(valid: DataFrame, decided: DataFrame, topics: list[str]) -> DataFrame:
+def tied_ids(valid: DataFrame, decided: DataFrame, topics: list[str]) -> DataFrame:
+    """Ids whose first position in the batch is stored more than once; a scan of narrow columns."""
+    lookup = decided.where("rows > 1").select("event_id", "at")
+    coded = valid.select("event_id", "topic", "partition", "offset", position_code(topics).alias("_code"))
+    found = salted_left_join(coded, lookup, ["event_id"], F.struct("topic", "partition", "offset"))
+    return found.where("_code = at").groupBy("event_id").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def kept_rows(valid: DataFrame, decided: DataFrame, topics: list[str], tied: bool) -> DataFrame:
     """The rows of a batch that Silver keeps; only ids that repeat or were seen before are looked up.
 
-    A row that is stored twice at its id's first position is cut to one by the window,
-    among the few rows of repeated ids.
+    ``tied`` says that some id's first position is stored more than once (``tied_ids``): the
+    rows of repeated ids are then cut to one each by the window.
     """
     lookup = decided.where("rows > 1 OR verdict <> 'new'").select("event_id", "at", "verdict", F.col("rows").alias("_rows"))
     coded = valid.withColumn("_code", position_code(topics))
     found = salted_left_join(coded, lookup, ["event_id"], F.struct("topic", "partition", "offset"))
     first = found.where("verdict IS NULL OR (verdict <> 'later' AND _code = at)")
+    if not tied:
+        return first.select(*valid.columns)
     single = first.where("coalesce(_rows, 1) = 1").select(*valid.columns)
     again = first.where("_rows > 1").select(*valid.columns)
     return single.unionByName(dedup_keep_first(again))
@@ -85,11 +95,3 @@ def changed_users(before: DataFrame, changes: DataFrame) -> DataFrame:
     both = mine.unionByName(changes.withColumn("_old", F.lit(0).cast("long")))
     sums = both.groupBy(*USER_KEY, "assigned_variant").agg(F.sum("n").alias("n"), F.sum("_old").alias("_old"))
     return sums.groupBy(*USER_KEY).agg(_conflicted(F.col("_old")).alias("was"), _conflicted(F.col("n")).alias("now"))
-
-
-def touched_dates(before: DataFrame, changes: DataFrame, changed: DataFrame, quarantined: DataFrame) -> DataFrame:
-    """Dates with new or replaced rows, new quarantined rows, or rows of users whose conflict began or ended."""
-    turned = changed.where("was <> now").select(*USER_KEY)
-    moved = before.join(turned, USER_KEY, "left_semi")
-    parts = [d.select(*PARTITION_COLUMNS) for d in (changes, moved, quarantined)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()

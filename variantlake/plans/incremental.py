@@ -72,14 +72,13 @@ class Entity:
     def invalid(self, rows: DataFrame) -> DataFrame:
         return silver.invalid_exposures(rows) if self.has_variants else silver.invalid_behavior(rows)
 
-    def counts(self, rows: DataFrame) -> dict[str, int]:
-        """Rows of a batch by what becomes of them, counted by themselves."""
+    def survey(self, rows: DataFrame) -> list[Row]:
+        """Rows of a batch by date and by what becomes of them, counted by themselves, and the topics; one scan."""
         ok = exposure_is_valid() if self.has_variants else behavior_is_valid()
         bot = F.lit(False) if self.has_variants else F.col("is_bot")
-        found = rows.agg(
-            F.count(F.lit(1)).alias("bronze"), F.count_if(~ok).alias("invalid"), F.count_if(ok & bot).alias("bots"), F.count_if(ok & ~bot).alias("valid")
-        ).first()
-        return found.asDict()
+        counts = {"bronze": F.lit(True), "invalid": ~ok, "bots": ok & bot, "valid": ok & ~bot}
+        by_date = rows.groupBy(*PARTITION_COLUMNS).agg(*(F.count_if(c).alias(n) for n, c in counts.items()), F.collect_set("topic").alias("topics"))
+        return by_date.collect()  # dates, not rows
 
     @property
     def index(self) -> StructType:
@@ -124,16 +123,13 @@ def _write_states(spark: SparkSession, base: str, entity: Entity, held: Row | No
     return [*states, run]
 
 
-def _check_staged(spark: SparkSession, base: str, entity: Entity, staged: list[Row], expected: int) -> None:
+def _check_staged(entity: Entity, staged: list[Row], written: DataFrame, expected: int) -> None:
     """Every row is staged once: as many as there must be, and none in Silver and quarantine at once."""
     rows = sum(f.rows for f in staged)
     if rows != expected:
         raise RuntimeError(f"{entity.name}: {expected} rows must be in the touched dates, but {rows} were staged; nothing was published")
     place = ["topic", "partition", "offset", "event_id"]
-    sides = [
-        versions.read_folders(spark, base, entity.name, [f for f in staged if f.target == t], schema).select(*place)
-        for t, schema in (("silver", entity.silver), ("quarantine", entity.quarantine))
-    ]
+    sides = [written.where(F.col("target") == t).select(*place) for t in ("silver", "quarantine")]
     if sides[0].join(sides[1], on=place, how="left_semi").limit(1).count():
         raise RuntimeError(f"{entity.name}: a row was staged for Silver and for quarantine; nothing was published")
 
@@ -148,15 +144,17 @@ def apply_batch(spark: SparkSession, base: str, entity: Entity, bronze: DataFram
     scratch = scratch_dir(spark, f"silver-{entity.name}")
     prepared = entity.prepared(bronze)
     valid = entity.valid(prepared)
-    topics = positions.topics_of(bronze)
-    counts = entity.counts(prepared)
+    survey = entity.survey(prepared)
+    topics = positions.ranked({t for r in survey for t in r.topics})
+    counts = {k: sum(r[k] for r in survey) for k in ("bronze", "invalid", "bots", "valid")}
 
     index = _state(spark, base, entity, held, "ids")
     decided = _written(state.decided_ids(positions.first_positions(valid, topics), index, topics), f"{scratch}decided")
     verdicts = {r.verdict: r.ids for r in decided.groupBy("verdict").agg(F.count(F.lit(1)).alias("ids")).collect()}
     added, replaced_ids = verdicts.get("new", 0) + verdicts.get("earlier", 0), verdicts.get("earlier", 0)
     replaced = decided.where("verdict = 'earlier'")
-    new = _written(state.kept_rows(valid, decided, topics), f"{scratch}kept")
+    tied = bool(state.tied_ids(valid, decided, topics).limit(1).count())
+    new = _written(state.kept_rows(valid, decided, topics, tied), f"{scratch}kept")
 
     # whose conflict begins or ends, and which dates that touches
     changes = changed = None
@@ -168,8 +166,8 @@ def apply_batch(spark: SparkSession, base: str, entity: Entity, bronze: DataFram
         parts = [changes.select(*PARTITION_COLUMNS), moved]
     else:
         parts = [new.select(*PARTITION_COLUMNS), replaced.select(*(F.col(f"stored.{c}").alias(c) for c in PARTITION_COLUMNS))]
-    parts.append(entity.invalid(prepared).select(*PARTITION_COLUMNS))
-    dates = {tuple(r) for r in parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct().collect()}  # dates, not rows
+    dates = {tuple(r) for r in parts[0].unionByName(parts[1]).distinct().collect()}  # dates, not rows
+    dates |= {(r.year, r.month, r.day) for r in survey if r.invalid}
 
     # the touched dates anew; of all others not a file is opened
     folders = list(held.folders) if held else []
@@ -190,10 +188,10 @@ def apply_batch(spark: SparkSession, base: str, entity: Entity, bronze: DataFram
     judged = pool.withColumn("quarantine_reason", F.when(F.col("_was"), QUARANTINE_MULTI_VARIANT)).drop("_was")
     judged = judged.unionByName(stored["quarantine"].where(~conflicted)).unionByName(entity.invalid(prepared).select(*entity.quarantine.fieldNames()))
     tagged = judged.withColumn("target", F.when(reason.isNull(), "silver").otherwise("quarantine"))
-    staged = versions.stage(tagged, base, entity.name, run)
+    staged, written = versions.stage(tagged, base, entity.name, run)
 
     expected = sum(f.rows for f in old) + counts["invalid"] + added - replaced_ids
-    _check_staged(spark, base, entity, staged, expected)
+    _check_staged(entity, staged, written, expected)
     states = _write_states(spark, base, entity, held, run, new.select(*entity.index.fieldNames()), changes)
     now = [f for f in folders if (f.year, f.month, f.day) not in dates] + staged
     report = {

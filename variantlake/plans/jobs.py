@@ -18,10 +18,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from variantlake.functions.domains import PARTITION_COLUMNS
 from variantlake.functions.expressions import behavior_is_valid
 from variantlake.operators import gold, quality, silver
+from variantlake.sources import versions
 from variantlake.sources.kafka import reparse_bronze
 from variantlake.sources.lake import read_table, scratch_dir, table_path, write_table
 from variantlake.sources.schemas import (
@@ -104,6 +106,9 @@ def build_silver(spark: SparkSession, base: str, full_refresh: bool = False, rep
     in its schema. Per entity: bronze = silver + quarantine + duplicates removed
     (+ valid bots); each part is counted by itself and a difference is an error.
     """
+    for entity in ("exposures", "behavior"):
+        if versions.current(spark, base, entity) is not None:
+            raise ValueError(f"{entity} of this lake is published in versions; use update_silver (with rebuild for all of Bronze)")
     dynamic = not full_refresh
     report: dict[str, int] = {}
     bronze_e = read_table(spark, table_path(base, "bronze", "exposures"), BRONZE_EXPOSURES_SCHEMA)
@@ -149,10 +154,15 @@ def build_silver(spark: SparkSession, base: str, full_refresh: bool = False, rep
 
 
 def read_silver(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        read_table(spark, table_path(base, "silver", "exposures"), SILVER_EXPOSURES_SCHEMA),
-        read_table(spark, table_path(base, "silver", "behavior"), SILVER_BEHAVIOR_SCHEMA),
-    )
+    """Silver of both entities: the newest published version where there is one, else the plain tables."""
+
+    def read(entity: str, schema: StructType) -> DataFrame:
+        held = versions.current(spark, base, entity)
+        if held is not None:
+            return versions.read_version(spark, base, entity, "silver", schema, held)
+        return read_table(spark, table_path(base, "silver", entity), schema)
+
+    return read("exposures", SILVER_EXPOSURES_SCHEMA), read("behavior", SILVER_BEHAVIOR_SCHEMA)
 
 
 def run_quality(spark: SparkSession, base: str, as_of: Column | None = None, show: bool = False) -> DataFrame:

@@ -86,14 +86,17 @@ def read_version(spark: SparkSession, base: str, entity: str, target: str, schem
     return read_folders(spark, base, entity, [f for f in held.folders if f.target == target] if held else [], schema)
 
 
-def stage(df: DataFrame, base: str, entity: str, run: str) -> list[Row]:
-    """Write rows tagged with ``target`` to the run's folder; returns the folders with their row counts.
+def stage(df: DataFrame, base: str, entity: str, run: str) -> tuple[list[Row], DataFrame]:
+    """Write rows tagged with ``target`` to the run's folder; returns its folders with row counts, and what was written.
 
-    One scan of ``df`` feeds all targets. The counts read Parquet footers only.
+    One scan of ``df`` feeds all targets. Nobody reads the folder before it is published, so
+    tasks may commit their files straight into it, and no commit moves them one by one
+    on the driver. The counts read Parquet footers only.
     """
     keys = ["target", *DATE]
     path = f"{entity_path(base, entity, 'data')}run={run}/"
-    df.hint("rebalance", *keys).write.partitionBy(*keys).parquet(path)
-    schema = StructType([f for f in df.schema if f.name in keys])
-    counts = df.sparkSession.read.schema(schema).parquet(path).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    return [Row(target=r.target, year=r.year, month=r.month, day=r.day, run=run, rows=r.rows) for r in counts.collect()]
+    writer = df.hint("rebalance", *keys).write.partitionBy(*keys).option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    counts = written.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return [Row(target=r.target, year=r.year, month=r.month, day=r.day, run=run, rows=r.rows) for r in counts.collect()], written
