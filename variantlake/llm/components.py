@@ -38,3 +38,15 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
             "labels",
         )
     return labels.select("node", "component")
+
+
+def folded(stars: DataFrame, node: str, hub: str) -> DataFrame:
+    """Links (node, hub) with the same components as ``stars``, one for each node and few between hubs.
+
+    A node keeps the star of its least hub; the other hubs that it names are linked to that
+    hub once, however many nodes name the same two.
+    """
+    per = stars.groupBy(node).agg(F.min(hub).alias("_least"), F.collect_set(hub).alias("_hubs"))
+    per = written(per.select(F.col(node).alias("node"), F.col("_least").alias("hub"), "_hubs"), "folded")
+    between = per.select(F.explode("_hubs").alias("node"), "hub").distinct()
+    return per.select("node", "hub").unionByName(between)

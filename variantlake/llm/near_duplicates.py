@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from variantlake.llm.common import text_batches, words_of, written
-from variantlake.llm.components import connected_components
+from variantlake.llm.components import connected_components, folded
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -217,8 +217,8 @@ def near_duplicates(
     # below each trie node, a star from its least class: candidates without their pairs
     leaves = classes.select("class_key", F.explode("nodes").alias("node"))
     shared = leaves.groupBy("node").agg(F.min("class_key").alias("first"), F.max("class_key").alias("last")).where("first < last")
-    stars = leaves.join(shared, "node").where("class_key <> first").select("class_key", "first").distinct()
-    candidates = written(connected_components(stars, "class_key", "first"), "candidates")
+    stars = leaves.join(shared, "node").where("class_key <> first").select("class_key", "first")
+    candidates = written(connected_components(folded(stars, "class_key", "first"), "node", "hub"), "candidates")
 
     blocks = candidates.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     members = (
@@ -233,7 +233,8 @@ def near_duplicates(
             F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
         )
     )
-    held = docs.select(_row_key(id, text).alias("row_key"), F.col(text).alias("text")).join(members, "row_key").drop("row_key")
+    held = docs.select(_row_key(id, text).alias("row_key"), F.col(text).alias("text")).join(members, "row_key")
+    held = held.dropDuplicates(["row_key"]).drop("row_key")  # whole rows repeated: one is enough
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(n)
@@ -255,7 +256,7 @@ def near_duplicates(
         "verified",
     )
 
-    groups = connected_components(found, "class_key", "root")
+    groups = connected_components(folded(found, "class_key", "root"), "node", "hub")
     links = found.groupBy("class_key").agg(F.sum("links").alias("links"))
     known = (
         classes.join(groups.withColumnRenamed("node", "class_key"), "class_key", "left")
