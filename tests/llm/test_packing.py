@@ -74,3 +74,18 @@ def test_pieces_and_sequences(spark, edge_docs, no_docs):
     assert ids == sorted(i for _, held in whole for i in held)
     assert P.token_pieces(no_docs, PATH).count() == 0
     assert P.pack(P.token_pieces(no_docs, PATH).drop("ids")).count() == 0
+
+
+def test_very_long_texts_equal_the_library():
+    library = Tokenizer.from_file(PATH)
+    texts = [" " * 1_200_000 + "<|endoftext|>x", "ab" * 100_000, "漢" * 50_000, "x " * 100_000]
+    for text, ids in zip(texts, P.Encoder(PATH)(texts), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_clashing_names_of_pack(spark):
+    pieces = spark.createDataFrame([(1, 5, "a", 7, 8), (2, 2040, "b", 9, 10)], "doc_id long, length long, __block string, offset int, sequence_id int")
+    pieces = pieces.withColumn("Block", F.lit(3)).withColumn("_block", F.lit(4))
+    rows = sorted(P.pack(pieces).collect())
+    assert [(r.doc_id, r["__block"], r["Block"], r["_block"]) for r in rows] == [(1, "a", 3, 4), (2, "b", 3, 4)]
+    assert len({r.sequence_id for r in rows}) == 1 and sorted(r.offset for r in rows)[0] == 0

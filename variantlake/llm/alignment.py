@@ -23,11 +23,9 @@ in a third of all documents is one entry of each run, so no task sees more than
 A dictionary is bounded by the two vocabularies, whatever the corpus; it is copied once
 for every ``FAN`` runs.
 
-The first tokenizer is a byte-level BPE in a ``tokenizers`` file. Its ids equal its
-merge order and every token is what merging its own bytes ends in (tested), so merging
-whatever pair makes the token of least id takes the same steps; the faster library that
-merges so is used. Words of the second (a sentencepiece file) are encoded once and
-remembered, up to ``REMEMBERED`` characters.
+The first tokenizer is a byte-level BPE in a ``tokenizers`` file (``byte_level``). Words of
+the second (a sentencepiece file) are encoded once and remembered, up to ``REMEMBERED``
+characters.
 
 Defined results: texts that are null, empty, or that either tokenizer does not spell
 back as a space and the text have no tokens, hence zeros and an empty digest. Repeated
@@ -39,7 +37,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import json
 import re
 from collections.abc import Iterator
 from itertools import chain, groupby
@@ -52,6 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from variantlake.llm.byte_level import byte_level
 from variantlake.llm.common import slices
 from variantlake.sources.lake import scratch_dir
 
@@ -72,26 +70,8 @@ class ByteLevel:
     """Ids by a byte-level BPE file; strings of special tokens are plain text."""
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import tiktoken
-
-        with open(path, encoding="utf-8") as f:
-            held = json.load(f)
-        special = {t["id"] for t in held["added_tokens"]}
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the format writes other bytes as 256, 257, ...
-        others = [b for b in range(256) if b not in set(plain)]
-        byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-        ranks = {bytes(byte[c] for c in t): i for t, i in held["model"]["vocab"].items() if i not in special}
-        vocab = held["model"]["vocab"]
-        merged = [vocab["".join(m) if not isinstance(m, str) else m.replace(" ", "")] for m in held["model"]["merges"]]
-        if held["normalizer"] or held["pre_tokenizer"]["add_prefix_space"] or merged != sorted(merged):
-            raise ValueError(f"{path} is no plain byte-level BPE in merge order")
-        self.encode = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.size = max(ranks.values()) + 1
-        spelled = [b""] * self.size
-        for token, i in ranks.items():
-            spelled[i] = token
-        self.spelled = pa.array(spelled, pa.binary())
+        self.encode, spelled = byte_level(path, special=False)
+        self.size, self.spelled = len(spelled), pa.array(spelled, pa.binary())
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, number of ids of each) of a space and each text; none for an empty one."""

@@ -107,6 +107,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """A column name like ``name`` that no column has, in any spelling."""
+    held = {c.lower() for c in taken}
+    while name.lower() in held:
+        name = f"_{name}"
+    return name
+
+
 def fold(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string")) % folds

@@ -16,11 +16,8 @@ the order dealt; an empty table gives no rows. Further columns pass through ``pa
 
 from __future__ import annotations
 
-import os
-import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from variantlake.llm.common import text_batches, written
+from variantlake.llm.byte_level import byte_level
+from variantlake.llm.common import free_name, text_batches, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -36,104 +34,16 @@ BLOCK_PIECES = 32_768
 #: lengths above this share of the capacity are grouped; the others are best-fitted
 SMALL_SHARE = 1 / 8
 GROUPS = 4096
-CACHED_CHUNKS = 600_000
-
-#: a cut before white space never splits a token of the byte-level pattern, nor does one between
-#: letters and these marks ...
-CHUNK = re.compile(r"\s*(?:[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[.,;:!?])|\S+)|\s+", re.ASCII)
-#: ... unless white space beyond ASCII stands next to it; such texts are encoded whole
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: a space after other white space is no place to cut
-DOUBLE = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ")
-
-
-class _Numbered(dict):
-    """Numbers keys in the order in which they are first asked for."""
-
-    def __missing__(self, key: str) -> int:
-        self[key] = number = len(self)
-        return number
 
 
 class Encoder:
-    """Ids of whole texts; equal words, and equal chunks of words, are encoded once.
-
-    A task remembers up to ``CACHED_CHUNKS`` of either and then starts anew.
-    """
+    """Ids of whole texts; strings of special tokens get their ids, as the file's library has it."""
 
     def __init__(self, tokenizer_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self._reset()
-
-    def _reset(self) -> None:
-        self.words, self.chunks = _Numbered(), _Numbered()
-        self.of_word, self.of_chunk = _Ragged(np.int64), _Ragged(np.uint32)
-
-    def _encode(self, chunks: list[str]) -> list[list[int]]:
-        """Ids of each chunk; all in one call, which says the chunk of each id."""
-        found = self.tokenizer.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-        if None in (of := found.word_ids):  # an id that the library assigns to no chunk
-            return [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
-        ends = np.searchsorted(np.array(of, np.int64), np.arange(len(chunks)), "right").tolist()
-        ids = found.ids
-        return [ids[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Chunk numbers of new words, and ids of the chunks among them that are new."""
-        known, number = len(self.chunks), self.chunks.__getitem__
-        self.of_word.add([list(map(number, self._chunks(w))) for w in words])
-        if len(self.chunks) > known:
-            self.of_chunk.add(self._encode(list(islice(self.chunks, known, None))))
-
-    @staticmethod
-    def _chunks(word: str) -> list[str]:
-        return [word] if OTHER_SPACE.search(word) else CHUNK.findall(word)
-
-    @staticmethod
-    def _words(text: str) -> list[str]:
-        """Cuts before single spaces; a text with other white space next to one is left whole."""
-        if OTHER_SPACE.search(text) or any(d in text for d in DOUBLE):
-            return [text]
-        return text.replace(" ", "\x00 ").split("\x00") if "\x00" not in text else [text]
+        self.encode, _ = byte_level(tokenizer_path, special=True)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        if max(len(self.words), len(self.chunks)) > CACHED_CHUNKS:
-            self._reset()
-        known, number = len(self.words), self.words.__getitem__
-        codes, ends = [], [0]
-        for text in texts:
-            codes += map(number, self._words(text))
-            ends.append(len(codes))
-        if len(self.words) > known:
-            self._learn(list(islice(self.words, known, None)))
-        chunks, after = self.of_word.take(np.array(codes, np.int64))
-        ids, last = self.of_chunk.take(chunks)
-        bounds = last[after[ends]].tolist()
-        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-
-
-class _Ragged:
-    """Lists of numbers, appended in blocks and gathered by row number."""
-
-    def __init__(self, kind: type):
-        self.flat, self.start, self.size = np.empty(0, kind), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def add(self, rows: list[list[int]]) -> None:
-        size = np.fromiter(map(len, rows), np.int64, len(rows))
-        flat = np.fromiter(chain.from_iterable(rows), self.flat.dtype, int(size.sum()))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, flat])
-
-    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of ``rows`` one after the other, and how many stand before each row and at the end."""
-        size = self.size[rows]
-        ends = np.cumsum(size)
-        at = np.repeat(self.start[rows] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
-        return self.flat[at], np.concatenate(([0], ends))
+        return [np.array(self.encode(t), np.uint32) for t in texts]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -248,19 +158,23 @@ def pack_lengths(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndar
 
 
 def pack(pieces: DataFrame, length: str = "length", capacity: int = CAPACITY, block_pieces: int = BLOCK_PIECES) -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset``; sequences are gapless from offset 0."""
-    pieces = written(pieces, "pieces")
+    """``pieces`` with ``sequence_id`` and ``offset``; sequences are gapless from offset 0.
+
+    Existing columns of these two names are replaced; all others pass through.
+    """
+    pieces = written(pieces.drop("sequence_id", "offset"), "pieces")
     blocks = max(1, -(-pieces.count() // block_pieces))
-    dealt = pieces.withColumn("__block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+    helper = free_name("block", pieces.columns)
+    dealt = pieces.withColumn(helper, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
 
     def of_block(block: pa.Table) -> pa.Table:
         number, offset = pack_lengths(block.column(length).to_numpy().astype(np.int64), capacity)
-        first = block.column("__block")[0].as_py() << 32
-        out = block.drop_columns(["__block"])
+        first = block.column(helper)[0].as_py() << 32
+        out = block.drop_columns([helper])
         return out.append_column("sequence_id", pa.array(number + first, pa.int64())).append_column("offset", pa.array(offset, pa.int64()))
 
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    return dealt.groupBy("__block").applyInArrow(of_block, schema)
+    return dealt.groupBy(helper).applyInArrow(of_block, schema)
 
 
 def packed_sequences(docs: DataFrame, tokenizer_path: str, id: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
