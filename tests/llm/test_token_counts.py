@@ -40,3 +40,12 @@ def test_edges(edge_docs, no_docs, library):
     rows = T.with_token_counts(edge_docs, PATH).collect()
     assert [(r.tokens.n_bytes, r.tokens.n_tokens) for r in rows] == [(len((r.text or "").encode()), len(library.encode(r.text or ""))) for r in rows]
     assert T.with_token_counts(no_docs, PATH).count() == 0
+
+
+def test_very_long_runs_of_any_alphabet(library):
+    rng = random.Random(3)
+    alphabets = ["😀", "漢字", "0123456789", "กขคงจ", "한국어글자", "ш", "𝒳𝒴", "ab", "=-_", "é", "\u200b", "▁", "\x01\x02"]
+    texts = [(a * 100_000)[:100_000] for a in alphabets] + ["".join(rng.choice(a) for _ in range(100_000)) for a in alphabets[:6]]
+    count = T.CountingTransducer(PATH)
+    assert count(texts).tolist() == [len(library.encode(t)) for t in texts]
+    assert max(map(len, count.chunks), default=0) <= T.PART  # no long text is remembered

@@ -64,6 +64,7 @@ class CountingTransducer:
         self.held: list[tuple] = [("", ((0, "", 0),))]
         self.moves: list[dict[str, tuple[int, int]]] = [{}]
         self.allowed: dict[tuple[str, str], bool] = {}
+        self.singles: dict[str, int] = {}
         self.parts: dict[tuple[int, str], tuple[int, int]] = {}
 
     def _tokens(self, text: str) -> list[str]:
@@ -111,14 +112,24 @@ class CountingTransducer:
         return state, total
 
     def of_chunk(self, chunk: str) -> int:
-        """Tokens of a chunk that begins in the start state."""
-        if len(chunk) > 1 and chunk[-2:] not in self.together and chunk[-1] != SPACE:  # often a mark after a word
-            return self._count(chunk[:-1]) + self._count(chunk[-1])
-        if len(chunk) <= PART:
-            return self.run(0, chunk)[1]
-        state = total = 0
-        for at in range(0, len(chunk), PART):  # maps of the parts, composed in order
-            part = state, chunk[at : at + PART]
+        """Tokens of a chunk that begins in the start state.
+
+        Characters at its end that are in no token with the one before them (often a mark
+        after a word, or all of a run that nothing merges) start anew, one by one.
+        """
+        end, total = len(chunk), 0
+        while end > 1 and chunk[end - 1] != SPACE and chunk[end - 2 : end] not in self.together:
+            end -= 1
+            last = chunk[end]
+            if last not in self.singles:
+                self.singles[last] = self.run(0, last)[1]
+            total += self.singles[last]
+        head = chunk[:end]
+        if end <= PART:
+            return total + self._count(head) if total else self.run(0, head)[1]
+        state = 0
+        for at in range(0, end, PART):  # maps of the parts, composed in order
+            part = state, head[at : at + PART]
             if part not in self.parts:
                 self.parts[part] = self.run(*part)
             state, emitted = self.parts[part]
@@ -126,9 +137,12 @@ class CountingTransducer:
         return total
 
     def _count(self, chunk: str) -> int:
-        if chunk not in self.chunks:
-            self.chunks[chunk] = self.of_chunk(chunk)
-        return self.chunks[chunk]
+        found = self.chunks.get(chunk)
+        if found is None:
+            found = self.of_chunk(chunk)
+            if len(chunk) <= PART:  # longer ones rarely come again; their parts are remembered
+                self.chunks[chunk] = found
+        return found
 
     #: words with the spaces before them, spaces at an end, line ends: each begins in the start state
     CHUNK = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
@@ -143,9 +157,12 @@ class CountingTransducer:
         for text in texts:
             if text:
                 found = self.CHUNK.findall(SPACE + text.replace(" ", SPACE))
+                long = {}
                 for chunk in set(found).difference(known):
-                    self._count(chunk)
-                emitted += map(known.__getitem__, found)
+                    n = self._count(chunk)
+                    if chunk not in known:
+                        long[chunk] = n
+                emitted += (long.get(c) or known[c] for c in found) if long else map(known.__getitem__, found)
             ends.append(len(emitted))
         return np.diff(np.concatenate(([0], np.cumsum(np.array(emitted, np.int64))))[ends])
 
