@@ -72,14 +72,32 @@ def script_of(word: str) -> tuple[str, int]:
     return (SCRIPTS[bisect(STARTS, ord(letters[0])) - 1][1] if letters else ""), len(letters)
 
 
-def features_of(word: bytes) -> list[int]:
-    """Hashed three- and four-byte sequences of the marked word, and the word."""
-    marked, crc, mask = b"<" + word + b">", zlib.crc32, FEATURES - 1
-    return [
-        *(crc(marked[i : i + 3]) & mask for i in range(len(marked) - 2)),
-        *(crc(marked[i : i + 4]) & mask for i in range(len(marked) - 3)),
-        crc(marked) & mask,
-    ]
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+CRC = _crc_table()
+
+
+def features_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed three- and four-byte sequences of the marked words, and the words: (features, word number of each)."""
+    marked = [b"<" + w + b">" for w in words]
+    held = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint32)
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    of = np.repeat(np.arange(len(marked)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(held))  # bytes up to the word's end
+    crc, found, number = np.full(len(held), 0xFFFFFFFF, np.uint32), [], []
+    for step in range(4):
+        at = np.flatnonzero(left > step)
+        crc[at] = CRC[(crc[at] ^ held[at + step]) & 0xFF] ^ (crc[at] >> 8)
+        if step >= 2:
+            found.append((crc[at] ^ np.uint32(0xFFFFFFFF)) & np.uint32(FEATURES - 1))
+            number.append(of[at])
+    whole = np.fromiter((zlib.crc32(m) & (FEATURES - 1) for m in marked), np.uint32, len(marked))
+    return np.concatenate([*found, whole]).astype(np.int64), np.concatenate([*number, np.arange(len(marked))])
 
 
 class Model:
@@ -101,18 +119,19 @@ class Model:
 
     def scores(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Scores by language and numbers of letters of distinct words."""
-        features = [features_of(w) for w in words]
-        sizes = np.array([len(f) for f in features], np.int64)
-        rows = self.log[np.array([x for f in features for x in f], np.int64)]
-        scores = np.add.reduceat(rows, np.cumsum(sizes) - sizes, axis=0).astype(np.int64) // 2  # sequences overlap
-        letters = np.zeros(len(words), np.int64)
-        for i, word in enumerate(words):
-            name, letters[i] = script_of(word.decode())
-            fits = self.script.get(name)
+        features, of = features_of(words)
+        scores = np.zeros((len(words), len(self.languages)), np.int64)
+        for i in range(len(self.languages)):
+            scores[:, i] = np.bincount(of, self.log[features, i], len(words)).astype(np.int64) // 2  # sequences overlap; sums are whole numbers
+        found = [script_of(word.decode()) for word in words]
+        letters = np.fromiter((n for _, n in found), np.int64, len(found))
+        names = np.array([name for name, _ in found], object)
+        for name in set(names.tolist()):
+            at, fits = np.flatnonzero(names == name), self.script.get(name)
             if fits is None or not fits.any():
-                scores[i] = 0
+                scores[at] = 0
             elif not fits.all():
-                scores[i, ~fits] = scores[i, fits].min() - OTHER_SCRIPT
+                scores[np.ix_(at, np.flatnonzero(~fits))] = (scores[np.ix_(at, np.flatnonzero(fits))].min(axis=1) - OTHER_SCRIPT)[:, None]
         return scores, letters
 
 
@@ -228,8 +247,11 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
         def fold(lang: str) -> None:
             held = features.setdefault(lang, np.zeros(FEATURES, np.int64))
-            for word, n in words.pop(lang).items():
-                np.add.at(held, features_of(word), n)
+            counted = words.pop(lang)
+            found, of = features_of(list(counted))
+            times = np.fromiter(counted.values(), np.int64, len(counted))
+            held += np.bincount(found, times[of], FEATURES).astype(np.int64)
+            for word, n in counted.items():
                 name, letters = script_of(word.decode())
                 scripts[lang, name] += letters * n
 
