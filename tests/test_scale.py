@@ -264,3 +264,14 @@ def test_rebalanced_write_splits_a_hot_date(spark, skew_conf, tmp_path):
     # the hot date (a third of the rows) is written by several tasks, a cold date by one
     assert len(files(1)) > 1
     assert len(files(3)) == 1
+
+
+def test_a_hot_orphan_user_is_dealt_to_many_tasks(spark, no_skew_split, tmp_path):
+    # the hot user of the behavior rows has no exposure, so a third of all rows are orphans of one key
+    behavior = _stored(spark, tmp_path, _behavior(spark))
+    hot = behavior.groupBy("experiment_id", "user_id").count().orderBy(F.desc("count")).first()
+    exposures = _exposures(spark).filter(F.col("user_id") != hot.user_id)
+    rows = gold.orphan_behavior(behavior, exposures).filter(F.col("user_id") == hot.user_id)
+    assert rows.count() == hot["count"] > behavior.count() / 4
+    held = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(held) > 1 and max(r["count"] for r in held) < 0.7 * hot["count"]
