@@ -2,7 +2,7 @@
 
 ``learn`` counts all words of the training texts and gives every word that occurs ``LEAST``
 times or more, a fixed count, a class by exchange: a word moves to the class that raises
-the class-bigram likelihood most, until none moves. The ``CLUSTERED`` most frequent words
+the class-bigram likelihood most. The ``CLUSTERED`` most frequent words
 are exchanged one by one among themselves for a start; the others then join them, and all words
 are exchanged in rounds. Rarer words and unknown ones form one class, whatever the size of
 the corpus. A word's probability given the word before is
@@ -15,11 +15,14 @@ The bracket depends on classes only, so that words with a class are scored in th
 task, and only counts of rarer words are joined.
 
 Rounds run over a written table of each word's neighbours with their counts, dealt by word
-(and by neighbour for the most frequent ones), so that a round is two scans without a
-shuffle of pairs. In a round each word proposes the class of the best first-order gain, if
-the exact gain of that move alone is above 0. Half of the proposals are carried out together
-(all in the first round, so that neighbours seldom swap) if that raises the likelihood,
-else half of those, and so on; rounds end when no word proposes.
+(and by neighbour for the most frequent ones), so that a round is one scan without a
+shuffle of pairs. In a round each task goes through its words, by falling frequency: those of
+``STEP`` words whose exact gain is above 0 move together to the class of the best first-order
+gain, and the task goes on with labels and class-pair counts that know of its own moves. The
+driver moves the most frequent words in the same way, and all moves are joined. The next scan counts
+the class pairs of the joined labels exactly. If they are less likely than the best ones so
+far, the round is taken back and half as many words may move. Rounds end, as those of the start
+do, when one lowers the training perplexity by less than ``TOLERANCE`` of it.
 
 Defined results: words are maximal runs of anything but the six ASCII white spaces,
 with A-Z in lower case; each text ends with one end token (a null or empty text has it
@@ -51,16 +54,20 @@ LEAST = 5
 FREQUENT = 300_000
 #: most frequent words, exchanged one by one before the others join them
 CLUSTERED = 1000
-#: rounds of that start; the rounds over all words, these among them, go on until none proposes
-START_ROUNDS = 10
+#: rounds end when one lowers the perplexity by less than this share of it
+TOLERANCE = 0.001
+#: words that a task moves at once
+STEP = 128
+#: least share of the words that may move in a round, after rounds that were taken back
+LEAST_SHARE = 0.125
 CLASSES = 48
 WEIGHT = 0.8
 END = ""
 #: tokens whose pairs make up one block of the written neighbours, and pairs a task holds
 BLOCK_TOKENS = 2_000_000
 HELD_PAIRS = 2_000_000
-#: neighbours that the driver scans by itself, without a job a round
-SMALL = 1_000_000
+#: most frequent words whose counts make up one row of a scan's result
+HOT_ROWS = 64
 CACHED_WORDS = 200_000
 
 
@@ -102,12 +109,17 @@ def _least_gain(counts: np.ndarray) -> float:
     return max(1e-9, 1e-13 * float(_entropy(total)))
 
 
-def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int | None = None) -> np.ndarray:
+def _likelihood(table: np.ndarray) -> float:
+    """Log-likelihood of class pairs, up to a constant."""
+    return float(_entropy(table).sum() - _entropy(table.sum(axis=0)).sum() - _entropy(table.sum(axis=1)).sum())
+
+
+def exchange(pairs: np.ndarray, movable: int, classes: int, tolerance: float = 0.0) -> np.ndarray:
     """Class of each symbol: the first ``movable`` (by falling frequency) are clustered, the others keep one each.
 
     ``pairs[a, b]`` counts symbol b after symbol a. Each step takes a symbol out of its
     class and puts it where the class-bigram likelihood is highest; rounds end when no
-    symbol moves, or after ``rounds`` where given.
+    symbol moves, or one raises the log-likelihood of a pair by less than ``tolerance``.
     """
     symbols = len(pairs)
     classes = min(classes, movable)
@@ -122,9 +134,12 @@ def exchange(pairs: np.ndarray, movable: int, classes: int, rounds: int | None =
     counts = np.zeros((total, total))
     np.add.at(counts, label, to_class)
 
-    done = 0
-    while done != rounds and _exchange(pairs, movable, classes, label, to_class, from_class, counts):
-        done += 1
+    before, least = _likelihood(counts), tolerance * counts.sum()
+    while _exchange(pairs, movable, classes, label, to_class, from_class, counts):
+        after = _likelihood(counts)
+        if after - before < least:
+            break
+        before = after
     return label
 
 
@@ -202,7 +217,8 @@ class ClassModel:
     """Codes and counts of words with a class, classes of codes, and log10 of the bracket by class pair.
 
     ``hashes`` are sorted, ``codes`` theirs; after the words, ``counts`` and ``symbol`` hold
-    the rare words (count 0 here, joined instead) and the end.
+    the rare words (count 0 here, joined instead) and the end. ``between`` counts class pairs
+    in the training texts, ``likelihoods`` has their log-likelihood before each round.
     """
 
     hashes: np.ndarray
@@ -216,6 +232,8 @@ class ClassModel:
     distinct: int
     least: int
     frequent: int
+    between: np.ndarray
+    likelihoods: list[float]
 
     @property
     def words(self) -> dict[bytes, int]:
@@ -327,113 +345,167 @@ def _gains(table: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarr
 def _proposed(table: np.ndarray, classes: int, right: np.ndarray, left: np.ndarray, own: np.ndarray, old: np.ndarray, least: float) -> np.ndarray:
     """The class each word would move to, or its own one; words that are not in a class yet take the best one."""
     logs = np.log(np.maximum(table, 0.5))
-    rows, columns = np.log(np.maximum(table.sum(axis=1), 0.5)), np.log(np.maximum(table.sum(axis=0), 0.5))
+    sums = table.sum(axis=1), table.sum(axis=0)
+    rows, columns = (np.log(np.maximum(x, 0.5)) for x in sums)
+    after, before = right.sum(axis=1), left.sum(axis=1)
     score = right @ logs[:classes].T + left @ logs[:, :classes]
-    score -= right.sum(axis=1)[:, None] * rows[:classes] + left.sum(axis=1)[:, None] * columns[:classes]
+    score -= after[:, None] * rows[:classes] + before[:, None] * columns[:classes]
     at = np.arange(len(old))
-    placed = old < classes
-    score[at[placed], old[placed]] = -np.inf  # the best other one
+    placed = np.flatnonzero(old < classes)
+    score[placed, old[placed]] = -np.inf  # the best other one
     best = score.argmax(axis=1)
-    some = np.flatnonzero(placed & (best != old))
+    if classes == 1:
+        best[placed] = old[placed]
+    # its own class without it: only words that some other class suits better are computed exactly
+    r, f, o = right[placed], left[placed], old[placed]
+    stay = (r * np.log(np.maximum(table[o] - r, 0.5))).sum(axis=1) + (f * np.log(np.maximum(table.T[o] - f, 0.5))).sum(axis=1)
+    stay -= after[placed] * np.log(np.maximum(sums[0][o] - after[placed], 0.5)) + before[placed] * np.log(np.maximum(sums[1][o] - before[placed], 0.5))
+    suits = score[at, best][placed] > stay
+    best[placed[~suits]] = old[placed[~suits]]
+    some = placed[suits & (best[placed] != o)]
     gain = _gains(table, right[some], left[some], own[some], old[some], best[some])
     best[some] = np.where(gain > least, best[some], old[some])
     return best
 
 
-def _clustered(neighbours: DataFrame, label: np.ndarray, own: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Labels after exchange in rounds until no word moves, and the class-pair counts."""
+def _exchanged(table: np.ndarray, classes: int, right: np.ndarray, left: np.ndarray, own: np.ndarray, old: np.ndarray, may: np.ndarray, least: float, step: int) -> np.ndarray:
+    """New classes of words, ``step`` at a time; ``table`` is changed as if words of one call were no neighbours.
+
+    Only words in ``may`` move; those that are not in a class yet always do.
+    """
+    new, kinds = old.copy(), len(table)
+    for i in range(0, len(old), step):
+        part = slice(i, i + step)
+        found = _proposed(table, classes, right[part], left[part], own[part], old[part], least)
+        new[part] = np.where(may[part] | (old[part] >= classes), found, old[part])
+        at = i + np.flatnonzero(new[part] != old[part])
+        if not len(at):
+            continue
+        of, row = np.zeros((len(at), kinds)), np.arange(len(at))
+        of[row, new[at]] = 1.0
+        of[row, old[at]] = -1.0
+        r, f = right[at].astype(np.float64), left[at].astype(np.float64)
+        r[row, old[at]] -= own[at]
+        f[row, old[at]] -= own[at]
+        table += of.T @ r + f.T @ of
+        table[np.arange(kinds), np.arange(kinds)] += own[at] @ of
+    return new
+
+
+def _summed_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Numbers of equal keys added up, key by key; rows with a key below 0 (moves) pass as they are."""
+    held: dict[int, np.ndarray] = {}
+    for batch in batches:
+        keys = batch.column("key").to_numpy()
+        yield batch.filter(pa.array(keys < 0))
+        for i in np.flatnonzero(keys >= 0).tolist():
+            numbers = _numbers(batch.column("size")[i].as_py(), batch.column("numbers")[i].as_py())
+            key = int(keys[i])
+            held[key] = held[key] + numbers if key in held else numbers
+    yield _blobs(list(held.items()))
+
+
+def _blobs(rows: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([k for k, _ in rows], pa.int64()),
+            pa.array([x.size for _, x in rows], pa.int64()),
+            pa.array([pa.compress(x.astype(np.int64).tobytes(), codec="zstd", asbytes=True) for _, x in rows], pa.binary()),
+        ],
+        names=["key", "size", "numbers"],
+    )
+
+
+def _numbers(size: int, blob: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, size * 8, codec="zstd", asbytes=True), np.int64)
+
+
+def _clustered(neighbours: DataFrame, label: np.ndarray, table: np.ndarray, own: np.ndarray, classes: int, step: int) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """Labels after exchange in rounds, their class-pair counts, and the log-likelihoods of all rounds.
+
+    ``table`` has the class pairs of ``label``, ``own`` the pairs with themselves of the most frequent words.
+    """
     context = neighbours.sparkSession.sparkContext
     size, kinds, hot = len(label), classes + 2, len(own)
-    rest = size - 2
-    small = (neighbours.agg(F.sum("size")).first()[0] or 0) <= SMALL
-    kept = neighbours.toArrow() if small else None
+    rest, cells = size - 2, kinds * kinds
+    least = _least_gain(table)
 
-    def scan(label: np.ndarray, table: np.ndarray | None, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """Without ``table``, class pairs and counts. With it, those of frequent words and classes, and -1 - code and proposed class of others."""
+    def may_move(words: np.ndarray, turn: int, share: float) -> np.ndarray:
+        return ((words + 1 + turn * 7919) * 0x9E3779B1 % (1 << 32)) < share * (1 << 32)
+
+    def scan(label: np.ndarray, table: np.ndarray, turn: int, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Class pairs of ``label``, changes of them by the moves, counts of the most frequent words; words that move, and where to."""
         held = context.broadcast((label.astype(np.int16), table))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            label, table = held.value
-            label = label.astype(np.int64)
-            total = np.zeros(kinds * kinds, np.int64)
+            begin, table = held.value
+            now, table = begin.copy(), table.copy()
+            first = table.copy()
+            total = np.zeros(cells, np.int64)
             of_hot = np.zeros(hot * 2 * kinds, np.int64)
+            moves = []
             for batch in batches:
                 for length, blob in zip(batch.column("size").to_pylist(), batch.column("pairs").to_pylist(), strict=True):
                     owner, other, n = _unpacked(length, blob)
                     before = owner >= size
                     owner -= before * size
-                    kind = label[other]
-                    if table is None:
-                        at = ~before
-                        total += np.bincount(label[owner[at]] * kinds + kind[at], n[at], kinds * kinds).astype(np.int64)
-                        continue
-                    itself = (owner == other) & ~before
+                    at = ~before
+                    total += np.bincount(begin[owner[at]].astype(np.int64) * kinds + begin[other[at]], n[at], cells).astype(np.int64)
                     at = owner < hot
-                    of_hot += np.bincount((owner[at] * 2 + before[at]) * kinds + kind[at], n[at], len(of_hot)).astype(np.int64)
+                    of_hot += np.bincount((owner[at] * 2 + before[at]) * kinds + begin[other[at]], n[at], len(of_hot)).astype(np.int64)
                     at = (owner >= hot) & (owner < rest)
-                    owner, before, kind, n, itself = owner[at], before[at], kind[at], n[at], itself[at]
+                    owner, other, before, n = owner[at], other[at], before[at], n[at]
                     present = np.zeros(size, bool)
                     present[owner] = True
                     words = np.flatnonzero(present)
                     row = (np.cumsum(present) - 1)[owner]
-                    counted = np.bincount((row * 2 + before) * kinds + kind, n, len(words) * 2 * kinds).reshape(len(words), 2, kinds)
-                    own = np.bincount(row[itself], n[itself], len(words)).astype(np.float64)
-                    new = _proposed(table, classes, counted[:, 0], counted[:, 1], own, label[words], least)
-                    moved = new != label[words]
-                    yield pa.RecordBatch.from_arrays([pa.array(-1 - words[moved], pa.int64()), pa.array(new[moved], pa.int64())], names=["key", "n"])
-            sums = total if table is None else of_hot
-            at = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums[at], pa.int64())], names=["key", "n"])
-
-        if small:
-            got = pa.Table.from_batches(run(kept.to_batches())).group_by("key").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
-        else:
-            got = neighbours.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+                    counted = np.bincount((row * 2 + before) * kinds + now[other], n, len(words) * 2 * kinds).reshape(len(words), 2, kinds)
+                    at = (owner == other) & ~before
+                    itself = np.bincount(row[at], n[at], len(words)).astype(np.float64)
+                    old = now[words].astype(np.int64)
+                    new = _exchanged(table, classes, counted[:, 0], counted[:, 1], itself, old, may_move(words, turn, share), least, step)
+                    at = np.flatnonzero(new != old)
+                    now[words[at]] = new[at]
+                    moves.append(np.stack((words[at], new[at])))
+            rows = [(0, total), (1, np.rint(table - first).ravel())]
+            rows += [(2 + k, part) for k, part in enumerate(np.split(of_hot, range(HOT_ROWS * 2 * kinds, len(of_hot), HOT_ROWS * 2 * kinds)))]
+            if moves:
+                moved = np.concatenate(moves, axis=1)
+                rows.append((-1 - (int(moved[0, 0]) if moved.size else 0), moved.ravel()))
+            yield _blobs(rows)
+
+        scheme = "key bigint, size bigint, numbers binary"
+        rows = neighbours.mapInArrow(run, scheme).repartition("key").mapInArrow(_summed_blobs, scheme).toArrow()
         held.destroy()
-        return got.column("key").to_numpy(), got.column("n").to_numpy()
-
-    def pairs(label: np.ndarray) -> np.ndarray:
-        table = np.zeros(kinds * kinds)
-        keys, n = scan(label, None, 0.0)
-        table[keys] = n
-        return table.reshape(kinds, kinds)
-
-    def likelihood(table: np.ndarray) -> float:
-        return float(_entropy(table).sum() - _entropy(table.sum(axis=0)).sum() - _entropy(table.sum(axis=1)).sum())
-
-    def halved(words: np.ndarray, new: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray]:
-        half = np.sort(np.argsort((words + 1 + turn * 7919) * 0x9E3779B1 % (1 << 32), kind="stable")[: len(words) // 2])
-        return words[half], new[half]
-
-    table, turn = pairs(label), 0
-    least = _least_gain(table)
+        found = [(k, _numbers(n, blob)) for k, n, blob in zip(*(rows.column(c).to_pylist() for c in rows.column_names), strict=True)]
+        by = {k: x.astype(np.float64) for k, x in found if k >= 0}
+        moved = np.concatenate([np.empty((2, 0), np.int64), *(x.reshape(2, -1) for k, x in found if k < 0)], axis=1)
+        of_hot = np.concatenate([by[k] for k in sorted(by) if k > 1] or [np.zeros(hot * 2 * kinds)])
+        pairs, change = by.get(0, np.zeros(cells)), by.get(1, np.zeros(cells))
+        return pairs.reshape(kinds, kinds), change.reshape(kinds, kinds), of_hot.reshape(hot, 2, kinds), moved[0], moved[1]
+
+    best: tuple[float, np.ndarray, np.ndarray] | None = None
+    turn, share, likelihoods, again = 0, 1.0, [], False
     while True:
-        keys, n = scan(label, table, least)
-        of_hot = np.zeros(hot * 2 * kinds)
-        of_hot[keys[keys >= 0]] = n[keys >= 0]
-        of_hot = of_hot.reshape(hot, 2, kinds)
-        order = np.argsort(-keys[keys < 0])
-        words, new = -1 - keys[keys < 0][order], n[keys < 0][order]
-        if not turn and rest > hot:  # all others join the classes
-            label[words] = new
-            table, turn = pairs(label), 1
+        exact, change, of_hot, words, new = scan(label, table, turn, share)
+        found = _likelihood(exact)
+        likelihoods.append(found)
+        if best is not None and found < best[0] and not again:
+            share /= 2
+            if share < LEAST_SHARE:
+                return best[1], best[2], likelihoods
+            label, table, turn, again = best[1], best[2], turn + 1, True
             continue
-        of_frequent = _proposed(table, classes, of_hot[:, 0], of_hot[:, 1], own, label[:hot], least)
-        at = np.flatnonzero(of_frequent != label[:hot])
-        words, new = np.concatenate((at, words)), np.concatenate((of_frequent[at], new))
-        best, turn, moved = likelihood(table), turn + 1, False
-        if turn > 2 and len(words) > 1:
-            words, new = halved(words, new, turn)
-        while len(words):
-            tried = label.copy()
-            tried[words] = new
-            of_tried = pairs(tried)
-            if likelihood(of_tried) > best:
-                label, table, moved = tried, of_tried, True
-                break
-            words, new = halved(words, new, turn)
-        if not moved:
-            return label, table
+        # the first round has only let the other words join, and one that was taken back is no gain
+        ended = best is not None and turn > 1 and not again and found - best[0] <= TOLERANCE * exact.sum()
+        best, again = (found, label, exact), False
+        if ended:
+            return label, exact, likelihoods
+        label, table = label.copy(), exact.copy()
+        label[words] = new
+        label[:hot] = _exchanged(table, classes, of_hot[:, 0], of_hot[:, 1], own, label[:hot], may_move(np.arange(hot), turn, share), least, max(1, step // 8))
+        table = np.maximum(table + change, 0.0)
+        turn += 1
 
 
 def learn(
@@ -444,6 +516,8 @@ def learn(
     classes: int = CLASSES,
     weight: float = WEIGHT,
     least: int = LEAST,
+    step: int = STEP,
+    block_tokens: int = BLOCK_TOKENS,
 ) -> ClassModel:
     """The model of all texts of ``training``; ``frequent`` bounds a task's memory of words, without effect on results."""
     context = training.sparkSession.sparkContext
@@ -461,7 +535,7 @@ def learn(
     classes = max(1, min(classes, hot))
     rest, end = classes, classes + 1
     coded = context.broadcast((hashes, codes))
-    neighbours = _neighbours(training, text, coded, frequent, hot, max(1, tokens // BLOCK_TOKENS))
+    neighbours = _neighbours(training, text, coded, frequent, hot, max(1, tokens // block_tokens))
 
     # the most frequent words among themselves; the others, the rare ones and the end keep one symbol each
     symbols = hot + 3
@@ -483,11 +557,13 @@ def learn(
     label = np.full(words + 2, rest, np.int64)
     label[-1] = end
     pairs = pairs.reshape(symbols, symbols)
-    label[:hot] = exchange(pairs, hot, classes, START_ROUNDS)[:hot]
-    label, between = _clustered(neighbours, label, np.diag(pairs)[:hot].astype(np.float64), classes)
+    of_symbol = exchange(pairs, hot, classes, TOLERANCE)
+    label[:hot] = of_symbol[:hot]
+    kinds = classes + 2
+    of = np.eye(kinds)[np.concatenate((of_symbol[:hot], [rest, rest, end]))]
+    label, between, likelihoods = _clustered(neighbours, label, of.T @ pairs @ of, np.diag(pairs)[:hot].astype(np.float64), classes, step)
 
     counts = np.concatenate((counts, [0, ends]))
-    kinds = classes + 2
     mass = np.bincount(label, counts, kinds)
     variety = np.bincount(label[np.arange(words + 2) != words], minlength=kinds).astype(np.float64)
     mass[rest] += tokens - counts.sum()
@@ -496,7 +572,7 @@ def learn(
     alone /= alone.sum()
     after = (between + kinds * alone) / (between.sum(axis=1, keepdims=True) + kinds)
     bracket = weight * after / np.maximum(mass + ADD * variety, ADD) + (1 - weight) / (tokens + ADD * (distinct + 1))
-    return ClassModel(hashes, codes, counts, label, np.arange(kinds), np.log10(bracket), vocabulary, tokens, distinct, least, frequent)
+    return ClassModel(hashes, codes, counts, label, np.arange(kinds), np.log10(bracket), vocabulary, tokens, distinct, least, frequent, between, likelihoods)
 
 
 def scored(docs: DataFrame, model: ClassModel, id: str = "doc_id", text: str = "text") -> DataFrame:
