@@ -57,7 +57,7 @@ CLUSTERED = 1000
 #: rounds end when one lowers the perplexity by less than this share of it
 TOLERANCE = 0.001
 #: words that a task moves at once
-STEP = 128
+STEP = 512
 #: least share of the words that may move in a round, after rounds that were taken back
 LEAST_SHARE = 0.125
 CLASSES = 48
@@ -249,19 +249,31 @@ def _packed(*arrays: np.ndarray) -> bytes:
 
 
 def _unpacked(size: int, blob: bytes) -> np.ndarray:
-    return np.frombuffer(pa.decompress(blob, size * 12, codec="zstd", asbytes=True), np.int32).reshape(3, size).astype(np.int64)
+    return np.frombuffer(pa.decompress(blob, size * 12, codec="zstd", asbytes=True), np.int32).reshape(3, size)
 
 
 def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and their sums."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, n = keys[order], n[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    first = np.flatnonzero(_new(keys))
     return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
+def _new(values: np.ndarray) -> np.ndarray:
+    """Where neighbouring values differ, the first one included."""
+    return np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1]))
+
+
+def _counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(_new(keys))
+    return keys[first], np.diff(np.concatenate((first, [len(keys)])))
+
+
 def _neighbours(training: DataFrame, text: str, coded, frequent: int, hot: int, blocks: int) -> DataFrame:
-    """(size, pairs): a block's (owner, neighbour, count), packed; after the owner, and with its code raised, before it.
+    """(size, pairs): a block's (owner, neighbour, count) in order, packed; after the owner, and with its code raised, before it.
 
     All pairs of a word are in one block, but those of the ``hot`` most frequent words, of
     rare words and of the end are dealt by neighbour.
@@ -276,7 +288,7 @@ def _neighbours(training: DataFrame, text: str, coded, frequent: int, hot: int,
         spread = (of < hot) | (of >= rest)
         mixed = (np.where(spread, of + other * 7919, of) + 1) * 0x9E3779B1 % (1 << 32)
         block = (mixed * blocks) >> 32
-        order = np.lexsort((other, owner, block))
+        order = np.argsort(block.astype(np.uint16) if blocks < 1 << 16 else block, kind="stable")
         block, owner, other, n = block[order], owner[order], other[order], n[order]
         edges = np.searchsorted(block, np.arange(blocks + 1))
         held = [(k, i, j) for k, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if j > i]
@@ -289,6 +301,10 @@ def _neighbours(training: DataFrame, text: str, coded, frequent: int, hot: int,
             names=["block", "size", "pairs"],
         )
 
+    def joined(keys: np.ndarray, n: np.ndarray, fresh: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        more, of_more = _counts(np.concatenate([keys[:0], *fresh]))
+        return _summed(np.concatenate((keys, more)), np.concatenate((n, of_more)))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(*coded.value, frequent)
         keys, n, fresh = np.empty(0, np.int64), np.empty(0, np.int64), []
@@ -297,20 +313,19 @@ def _neighbours(training: DataFrame, text: str, coded, frequent: int, hot: int,
             if len(codes):
                 fresh.append(np.concatenate(([rest + 1], codes[:-1])) * size + codes)
             if sum(map(len, fresh)) > HELD_PAIRS:
-                new = np.concatenate([keys, *fresh])
-                keys, n = _summed(new, np.concatenate((n, np.ones(len(new) - len(n), np.int64))))
+                keys, n = joined(keys, n, fresh)
                 fresh = []
                 if len(keys) > HELD_PAIRS:
                     yield from dealt(keys, n)
                     keys, n = keys[:0], n[:0]
-        new = np.concatenate([keys, *fresh])
-        if len(new):
-            yield from dealt(*_summed(new, np.concatenate((n, np.ones(len(new) - len(n), np.int64)))))
+        keys, n = joined(keys, n, fresh)
+        if len(keys):
+            yield from dealt(keys, n)
 
     def merge(group: pa.Table) -> pa.Table:
         parts = [_unpacked(s, b) for s, b in zip(group.column("size").to_pylist(), group.column("pairs").to_pylist(), strict=True)]
         owner, other, n = np.concatenate(parts, axis=1)
-        keys, n = _summed(owner * size + other, n)
+        keys, n = _summed(owner.astype(np.int64) * size + other, n.astype(np.int64))
         return pa.table({"size": pa.array([len(keys)], pa.int64()), "pairs": pa.array([_packed(keys // size, keys % size, n)], pa.binary())})
 
     rows = training.select(F.col(text).alias("text")).mapInArrow(count, "block bigint, size bigint, pairs binary")
@@ -447,23 +462,28 @@ def _clustered(neighbours: DataFrame, label: np.ndarray, table: np.ndarray, own:
             for batch in batches:
                 for length, blob in zip(batch.column("size").to_pylist(), batch.column("pairs").to_pylist(), strict=True):
                     owner, other, n = _unpacked(length, blob)
-                    before = owner >= size
-                    owner -= before * size
-                    at = ~before
-                    total += np.bincount(begin[owner[at]].astype(np.int64) * kinds + begin[other[at]], n[at], cells).astype(np.int64)
-                    at = owner < hot
-                    of_hot += np.bincount((owner[at] * 2 + before[at]) * kinds + begin[other[at]], n[at], len(of_hot)).astype(np.int64)
-                    at = (owner >= hot) & (owner < rest)
-                    owner, other, before, n = owner[at], other[at], before[at], n[at]
-                    present = np.zeros(size, bool)
-                    present[owner] = True
-                    words = np.flatnonzero(present)
-                    row = (np.cumsum(present) - 1)[owner]
-                    counted = np.bincount((row * 2 + before) * kinds + now[other], n, len(words) * 2 * kinds).reshape(len(words), 2, kinds)
-                    at = (owner == other) & ~before
-                    itself = np.bincount(row[at], n[at], len(words)).astype(np.float64)
+                    # owners are in order: the most frequent words, others, rare ones and the end; again for what is before them
+                    heads, others, middle, heads_again = np.searchsorted(owner, [hot, rest, size, size + hot]).tolist()
+                    kind = begin[other]
+                    total += np.bincount(begin[owner[:middle]].astype(np.int64) * kinds + kind[:middle], n[:middle], cells).astype(np.int64)
+                    for i, j, back in ((0, heads, 0), (middle, heads_again, 1)):
+                        of_hot += np.bincount(((owner[i:j].astype(np.int64) - back * size) * 2 + back) * kinds + kind[i:j], n[i:j], len(of_hot)).astype(np.int64)
+                    parts = [(owner[heads:others], slice(heads, others)), (owner[heads_again:] - size, slice(heads_again, None))]
+                    distinct = [(of, _new(of)) for of, _ in parts]
+                    words = np.union1d(*(of[at] for of, at in distinct)).astype(np.int64)
+                    if not len(words):
+                        continue
+                    if moves:
+                        kind = now[other]
+                    counted = []
+                    for (of, at), (_, part) in zip(distinct, parts, strict=True):
+                        row = np.searchsorted(words, of[at])[np.cumsum(at) - 1]
+                        counted.append(np.bincount(row * kinds + kind[part], n[part], len(words) * kinds).reshape(len(words), kinds))
+                    of, part = parts[0]
+                    at = of == other[part]
+                    itself = np.bincount(np.searchsorted(words, of[at]), n[part][at], len(words)).astype(np.float64)
                     old = now[words].astype(np.int64)
-                    new = _exchanged(table, classes, counted[:, 0], counted[:, 1], itself, old, may_move(words, turn, share), least, step)
+                    new = _exchanged(table, classes, *counted, itself, old, may_move(words, turn, share), least, step)
                     at = np.flatnonzero(new != old)
                     now[words[at]] = new[at]
                     moves.append(np.stack((words[at], new[at])))
@@ -503,7 +523,7 @@ def _clustered(neighbours: DataFrame, label: np.ndarray, table: np.ndarray, own:
             return label, exact, likelihoods
         label, table = label.copy(), exact.copy()
         label[words] = new
-        label[:hot] = _exchanged(table, classes, of_hot[:, 0], of_hot[:, 1], own, label[:hot], may_move(np.arange(hot), turn, share), least, max(1, step // 8))
+        label[:hot] = _exchanged(table, classes, of_hot[:, 0], of_hot[:, 1], own, label[:hot], may_move(np.arange(hot), turn, share), least, max(1, step // 32))
         table = np.maximum(table + change, 0.0)
         turn += 1
 
