@@ -121,3 +121,29 @@ def test_gain_of_a_move_is_the_change_of_the_likelihood():
             other[w] = new
             gain = C._gains(table, pairs[[w]] @ of, pairs.T[[w]] @ of, np.diag(pairs)[[w]], label[[w]], np.array([new]))
             assert gain[0] == pytest.approx(likelihood(other)[1] - begin)
+
+
+@pytest.mark.parametrize("more", [{}, {"block_tokens": 400}, {"block_tokens": 100, "step": 4}], ids=["one block", "blocks", "many blocks"])
+def test_rounds_over_blocks_come_near_the_exchange_of_single_words(spark, more):
+    """Zipf words with four hidden kinds; counts of class pairs are exact however the words are dealt."""
+    rng = np.random.default_rng(11)
+    weight = 1 / np.arange(1, 31)
+    words = [f"w{(i % 30) * 4 + i // 30}" for i in range(120)]
+    texts = []
+    for i in range(200):
+        kinds = (np.cumsum(rng.choice(3, 30, p=[0.8, 0.1, 0.1]) + 1) + i) % 4
+        texts.append(" ".join(words[30 * k + j] for k, j in zip(kinds, rng.choice(30, 30, p=weight / weight.sum()), strict=True)))
+    model = C.learn(spark.createDataFrame([row(i, t) for i, t in enumerate(texts)], SCHEMA), clustered=10, classes=4, **more)
+    code, rest = {w.decode(): i for w, i in model.words.items()}, len(model.symbol) - 2
+    pairs = np.zeros((rest + 2, rest + 2))
+    for t in texts:
+        of = [code.get(w, rest) for w in ["", *tokens(t)]]
+        np.add.at(pairs, (of[:-1], of[1:]), 1)
+    of = np.eye(6)[model.symbol]
+    assert (of.T @ pairs @ of == model.between).all()
+    assert C._likelihood(model.between) == pytest.approx(max(model.likelihoods))
+    single, joined = C._likelihood(pairs), C._likelihood(np.full((1, 1), pairs.sum()))
+    best = C.exchange(pairs, rest, 4)
+    at_best = C._likelihood(np.eye(6)[best].T @ pairs @ np.eye(6)[best])
+    assert joined < C._likelihood(model.between) < single
+    assert C._likelihood(model.between) - joined > 0.9 * (at_best - joined)

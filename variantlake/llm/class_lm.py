@@ -16,7 +16,8 @@ task, and only counts of rarer words are joined.
 
 Rounds run over a written table of each word's neighbours with their counts, dealt by word
 (and by neighbour for the most frequent ones), so that a round is one scan without a
-shuffle of pairs. In a round each task goes through its words, by falling frequency: those of
+shuffle of pairs. In a round each task goes through its words, by falling frequency (half of
+all, others in each round): those of
 ``STEP`` words whose exact gain is above 0 move together to the class of the best first-order
 gain, and the task goes on with labels and class-pair counts that know of its own moves. The
 driver moves the most frequent words in the same way, and all moves are joined. The next scan counts
@@ -58,7 +59,9 @@ CLUSTERED = 1000
 TOLERANCE = 0.001
 #: words that a task moves at once
 STEP = 512
-#: least share of the words that may move in a round, after rounds that were taken back
+#: share of the words that may move in a round, after that in which all others join; and the
+#: least one, after rounds that were taken back
+FIRST_SHARE = 0.5
 LEAST_SHARE = 0.125
 CLASSES = 48
 WEIGHT = 0.8
@@ -189,10 +192,14 @@ class Coder:
         self.end = {b"": len(hashes) + 1}
         self.known = dict(self.end)
 
-    def __call__(self, texts: list) -> tuple[np.ndarray, list[list[bytes]]]:
-        """The codes of all tokens (the end after each text), and the words of each text."""
-        held = [lowered(text) for text in texts]
-        flat = [w for words in held for w in (*words, b"")]
+    def __call__(self, texts: list) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """The codes of all tokens (the end after each text), these tokens, and how many each text has."""
+        flat: list[bytes] = []
+        ends = []
+        for text in texts:
+            flat += lowered(text)
+            flat.append(b"")
+            ends.append(len(flat))
         if len(self.known) > self.limit:
             self.known = dict(self.end)
         try:
@@ -201,7 +208,7 @@ class Coder:
             new = list(set(flat) - self.known.keys())
             self.known.update(zip(new, self._looked_up(new).tolist(), strict=True))
             codes = list(map(self.known.__getitem__, flat))
-        return np.array(codes, np.int64), held
+        return np.array(codes, np.int64), flat, np.diff(np.array([0, *ends], np.int64))
 
     def _looked_up(self, words: list[bytes]) -> np.ndarray:
         rest = len(self.hashes)
@@ -309,7 +316,7 @@ def _neighbours(training: DataFrame, text: str, coded, frequent: int, hot: int,
         coder = Coder(*coded.value, frequent)
         keys, n, fresh = np.empty(0, np.int64), np.empty(0, np.int64), []
         for batch in text_batches(batches, "text"):
-            codes, _ = coder(batch.column("text").to_pylist())
+            codes, _, _ = coder(batch.column("text").to_pylist())
             if len(codes):
                 fresh.append(np.concatenate(([rest + 1], codes[:-1])) * size + codes)
             if sum(map(len, fresh)) > HELD_PAIRS:
@@ -383,16 +390,12 @@ def _proposed(table: np.ndarray, classes: int, right: np.ndarray, left: np.ndarr
     return best
 
 
-def _exchanged(table: np.ndarray, classes: int, right: np.ndarray, left: np.ndarray, own: np.ndarray, old: np.ndarray, may: np.ndarray, least: float, step: int) -> np.ndarray:
-    """New classes of words, ``step`` at a time; ``table`` is changed as if words of one call were no neighbours.
-
-    Only words in ``may`` move; those that are not in a class yet always do.
-    """
+def _exchanged(table: np.ndarray, classes: int, right: np.ndarray, left: np.ndarray, own: np.ndarray, old: np.ndarray, least: float, step: int) -> np.ndarray:
+    """New classes of words, ``step`` at a time; ``table`` is changed as if words of one call were no neighbours."""
     new, kinds = old.copy(), len(table)
     for i in range(0, len(old), step):
         part = slice(i, i + step)
-        found = _proposed(table, classes, right[part], left[part], own[part], old[part], least)
-        new[part] = np.where(may[part] | (old[part] >= classes), found, old[part])
+        new[part] = _proposed(table, classes, right[part], left[part], own[part], old[part], least)
         at = i + np.flatnonzero(new[part] != old[part])
         if not len(at):
             continue
@@ -482,8 +485,10 @@ def _clustered(neighbours: DataFrame, label: np.ndarray, table: np.ndarray, own:
                     of, part = parts[0]
                     at = of == other[part]
                     itself = np.bincount(np.searchsorted(words, of[at]), n[part][at], len(words)).astype(np.float64)
+                    at = np.flatnonzero(may_move(words, turn, share) | (now[words] >= classes))
+                    words = words[at]
                     old = now[words].astype(np.int64)
-                    new = _exchanged(table, classes, *counted, itself, old, may_move(words, turn, share), least, step)
+                    new = _exchanged(table, classes, counted[0][at], counted[1][at], itself[at], old, least, step)
                     at = np.flatnonzero(new != old)
                     now[words[at]] = new[at]
                     moves.append(np.stack((words[at], new[at])))
@@ -523,8 +528,10 @@ def _clustered(neighbours: DataFrame, label: np.ndarray, table: np.ndarray, own:
             return label, exact, likelihoods
         label, table = label.copy(), exact.copy()
         label[words] = new
-        label[:hot] = _exchanged(table, classes, of_hot[:, 0], of_hot[:, 1], own, label[:hot], may_move(np.arange(hot), turn, share), least, max(1, step // 32))
+        at = np.flatnonzero(may_move(np.arange(hot), turn, share))
+        label[at] = _exchanged(table, classes, of_hot[at, 0], of_hot[at, 1], own[at], label[at], least, max(1, step // 32))
         table = np.maximum(table + change, 0.0)
+        share = min(share, FIRST_SHARE)  # of all words, neighbours of different tasks often swap
         turn += 1
 
 
@@ -607,17 +614,18 @@ def scored(docs: DataFrame, model: ClassModel, id: str = "doc_id", text: str = "
         log_count = np.log10(counts + ADD)
         coder, rest = Coder(hashes, of_hash, frequent), len(hashes)
         for batch in text_batches(batches, "text"):
-            codes, found = coder(batch.column("text").to_pylist())
-            sizes = np.array([len(w) + 1 for w in found], np.int64)
+            codes, found, sizes = coder(batch.column("text").to_pylist())
             first = np.cumsum(sizes) - sizes
             known = codes != rest
             own = np.where(known, log_count[codes], 0.0)
             kinds = label[symbol[codes]]
             before = np.concatenate(([label[-1]], kinds[:-1]))
-            rare = []
-            for start, of_text in zip(first.tolist(), found, strict=True):
-                at = np.flatnonzero(codes[start : start + len(of_text)] == rest).tolist()
-                rare.append([{"word": w.decode(), "n": n} for w, n in Counter(of_text[i] for i in at).items()])
+            at = np.flatnonzero(~known)
+            words = pa.array([found[i] for i in at.tolist()], pa.binary()).cast(pa.string())
+            of_text = pa.array(np.searchsorted(first, at, "right") - 1)
+            rare = pa.table({"of": of_text, "word": words}).group_by(["of", "word"]).aggregate([([], "count_all")]).sort_by("of").combine_chunks()
+            bounds = np.searchsorted(rare.column("of").to_numpy(), np.arange(len(sizes) + 1)).astype(np.int32)
+            parts = [rare.column(c).combine_chunks() for c in ("word", "count_all")]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
@@ -625,7 +633,7 @@ def scored(docs: DataFrame, model: ClassModel, id: str = "doc_id", text: str = "
                     pa.array(np.add.reduceat((known & (counts[codes] > 0)).astype(np.int64), first)),
                     pa.array(np.add.reduceat(own, first)),
                     pa.array(np.add.reduceat(log_bracket[before, kinds], first)),
-                    pa.array(rare, pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.StructArray.from_arrays([x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in parts], names=["word", "n"])),
                 ],
                 names=["id", "n_tokens", "n_known", "log_counts", "log_brackets", "rare"],
             )
