@@ -68,7 +68,7 @@ WEIGHT = 0.8
 END = ""
 #: tokens whose pairs make up one block of the written neighbours, and pairs a task holds
 BLOCK_TOKENS = 2_000_000
-HELD_PAIRS = 2_000_000
+HELD_PAIRS = 1_000_000
 #: most frequent words whose counts make up one row of a scan's result
 HOT_ROWS = 64
 CACHED_WORDS = 200_000
@@ -289,14 +289,20 @@ def _neighbours(training: DataFrame, text: str, coded, frequent: int, hot: int,
     size, rest = words + 2, words
 
     def dealt(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        a, b = keys // size, keys % size
-        owner, other = np.concatenate((a, b[b < rest] + size)), np.concatenate((b, a[b < rest]))
-        n, of = np.concatenate((n, n[b < rest])), owner % size
-        spread = (of < hot) | (of >= rest)
-        mixed = (np.where(spread, of + other * 7919, of) + 1) * 0x9E3779B1 % (1 << 32)
-        block = (mixed * blocks) >> 32
-        order = np.argsort(block.astype(np.uint16) if blocks < 1 << 16 else block, kind="stable")
+        a, b = (keys // size).astype(np.int32), (keys % size).astype(np.int32)
+        back = b < rest
+        owner, other = np.concatenate((a, b[back] + np.int32(size))), np.concatenate((b, a[back]))
+        n = np.concatenate((n, n[back])).astype(np.int32)
+        mixed = np.concatenate((a, b[back])).astype(np.uint32)
+        spread = (mixed < hot) | (mixed >= rest)
+        mixed[spread] += other[spread].astype(np.uint32) * np.uint32(7919)
+        mixed += np.uint32(1)
+        mixed *= np.uint32(0x9E3779B1)
+        block = ((mixed.astype(np.uint64) * np.uint64(blocks)) >> np.uint64(32)).astype(np.uint16 if blocks < 1 << 16 else np.int64)
+        del a, b, back, mixed, spread
+        order = np.argsort(block, kind="stable")
         block, owner, other, n = block[order], owner[order], other[order], n[order]
+        del order
         edges = np.searchsorted(block, np.arange(blocks + 1))
         held = [(k, i, j) for k, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if j > i]
         yield pa.RecordBatch.from_arrays(
