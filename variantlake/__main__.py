@@ -1,8 +1,9 @@
 """Command line: ``python -m variantlake <job> --base <lake URI> [options]``.
 
 Jobs: ``ingest-exposures`` / ``ingest-behavior`` (Kafka -> Bronze stream, runs
-until stopped), ``silver``, ``quality``, ``gold``, and ``batch`` (the three batch
-jobs in order: Silver, quality, Gold). The lake base and the Kafka
+until stopped), ``silver``, ``quality``, ``gold``, ``batch`` (the three batch
+jobs in order: Silver, quality, Gold), and ``update`` / ``update-gold`` (Silver and Gold
+kept up to date from new files only). The lake base and the Kafka
 brokers fall back to ``$S3_LAKE_PATH`` and ``$KAFKA_BROKER``. The session comes from
 ``SparkSession.builder.getOrCreate()``, so master, resources and cluster settings
 are whatever ``spark-submit`` / ``spark-defaults`` provide.
@@ -20,7 +21,7 @@ from pyspark.sql import SparkSession
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="variantlake")
-    p.add_argument("job", choices=["ingest-exposures", "ingest-behavior", "silver", "update", "quality", "gold", "batch"])
+    p.add_argument("job", choices=["ingest-exposures", "ingest-behavior", "silver", "update", "update-gold", "quality", "gold", "batch"])
     p.add_argument(
         "--base",
         default=os.environ.get("S3_LAKE_PATH"),
@@ -40,7 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--trigger", default="10 seconds", help='processing-time interval or "availableNow"')
     p.add_argument("--reparse", action="store_true", help="rebuild Bronze behavior from its stored JSON text (silver)")
     p.add_argument("--full-refresh", action="store_true", help="static overwrite (silver)")
-    p.add_argument("--rebuild", action="store_true", help="handle all of Bronze again (update)")
+    p.add_argument("--rebuild", action="store_true", help="handle all of the input again (update, update-gold)")
     p.add_argument("--show", action="store_true", help="print the written tables (quality, gold)")
     a = p.parse_args(argv)
     if not a.base:
@@ -75,6 +76,10 @@ def main(argv: list[str] | None = None) -> int:
         from variantlake.plans.incremental import update_silver
 
         print(json.dumps(update_silver(spark, a.base, a.rebuild)))
+    elif a.job == "update-gold":  # new Silver folders only, from the published versions
+        from variantlake.plans.incremental_gold import update_gold
+
+        print(json.dumps(update_gold(spark, a.base, a.rebuild)))
     elif a.job == "quality":
         jobs.run_quality(spark, a.base, show=a.show)
     elif a.job == "gold":

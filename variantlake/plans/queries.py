@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from variantlake.functions.domains import PARTITION_COLUMNS, QUALITY_CHECKS, QUALITY_LAYER, VALID_BEHAVIOR_EVENTS
 from variantlake.functions.expressions import funnel_order as _funnel_order
 from variantlake.operators import gold, quality, silver
-from variantlake.plans import incremental, jobs
+from variantlake.plans import incremental, incremental_gold, jobs
 from variantlake.plans import oracle as O
 from variantlake.plans.compare import comparable
 from variantlake.sources import fixtures
@@ -763,7 +763,7 @@ ARRIVALS = 2
 
 def updated_lake(spark: SparkSession, sf: str) -> str:
     """Base of a lake whose Bronze rows arrived in parts, dealt by their position, with an incremental
-    Silver run after each: retries come before their originals, and conflicts arise over runs."""
+    Silver and Gold run after each: retries come before their originals, and conflicts arise over runs."""
     key = (spark.conf.get("spark.app.id", "") or str(id(spark)), sf.rstrip("/"))
     if key in _UPDATED:
         return _UPDATED[key]
@@ -773,6 +773,7 @@ def updated_lake(spark: SparkSession, sf: str) -> str:
         for entity, bronze in (("exposures", bronze_e(spark, sf)), ("behavior", bronze_b(spark, sf))):
             write_table(bronze.where(part == i), table_path(lake, "bronze", entity), PARTITION_COLUMNS, mode="append")
         incremental.update_silver(spark, lake)
+        incremental_gold.update_gold(spark, lake)
     _UPDATED[key] = lake
     return lake
 
@@ -797,6 +798,19 @@ def incremental_gold_experiment(spark, sf):
     return comparable(gold.experiment_metrics(*jobs.read_silver(spark, updated_lake(spark, sf))))
 
 
+def _updated_gold(name: str, same_as: str) -> None:
+    """Register a Gold table kept up to date from changed users, held against the oracle of one build."""
+
+    def run(spark, sf):
+        return comparable(incremental_gold.read_gold(spark, updated_lake(spark, sf), name))
+
+    register(f"incremental_state_{name}", ORACLE[same_as])(run)
+
+
+for _name in ("experiment_metrics", "funnel_metrics", "segment_metrics"):
+    _updated_gold(_name, f"gold_{_name}")
+
+
 # --- malformed input and ingestion ties ------------------------------------------------------
 
 # one envelope value per order: well-formed, bad or zoned times, broken JSON, a wrong-typed
