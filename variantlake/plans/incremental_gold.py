@@ -88,9 +88,9 @@ def read_gold(spark: SparkSession, base: str, name: str, version: int | None = N
     return gold_state.METRICS[name](read_cells(spark, base, versions.current(spark, base, GOLD, version)))
 
 
-def _advance(spark: SparkSession, base: str, newest: Row | None, rebuild: bool) -> Row:
-    """Publish the Gold version of the newest Silver; the held one where Silver is the same."""
-    now = {name: versions.current(spark, base, name) for name in ENTITIES}
+def _advance(spark: SparkSession, base: str, newest: Row | None, rebuild: bool, silver: int | None = None) -> Row:
+    """Publish the Gold version of a Silver version (the newest); the held one where Silver is the same."""
+    now = {name: versions.current(spark, base, name, silver) for name in ENTITIES}
     if missing := [name for name, row in now.items() if row is None]:
         raise ValueError(f"no published Silver of {', '.join(missing)}; run update_silver first")
     held = None if rebuild else newest
@@ -139,9 +139,9 @@ def _advance(spark: SparkSession, base: str, newest: Row | None, rebuild: bool)
     return versions.publish(spark, base, GOLD, newest, epoch="", batch=0, folders=[], states=states, report=report)
 
 
-def update_gold(spark: SparkSession, base: str, rebuild: bool = False) -> dict[str, str]:
-    """Bring Gold up to date with the published Silver; returns the paths of the three metric tables."""
-    _advance(spark, base, versions.current(spark, base, GOLD), rebuild)
+def update_gold(spark: SparkSession, base: str, rebuild: bool = False, silver: int | None = None) -> dict[str, str]:
+    """Bring Gold up to date with the published Silver (the newest, or version ``silver``); returns the paths of the three metric tables."""
+    _advance(spark, base, versions.current(spark, base, GOLD), rebuild, silver)
     paths = {name: table_path(base, "gold", name) for name in gold_state.METRICS}
     for name, path in paths.items():
         write_table(read_gold(spark, base, name), path)

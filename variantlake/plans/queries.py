@@ -20,7 +20,7 @@ from variantlake.operators import gold, quality, silver
 from variantlake.plans import incremental, incremental_gold, jobs
 from variantlake.plans import oracle as O
 from variantlake.plans.compare import comparable
-from variantlake.sources import fixtures
+from variantlake.sources import fixtures, versions
 from variantlake.sources import kafka as K
 from variantlake.sources.lake import read_table, scratch_dir, table_path, write_table
 from variantlake.sources.schemas import (
@@ -763,7 +763,7 @@ ARRIVALS = 2
 
 def updated_lake(spark: SparkSession, sf: str) -> str:
     """Base of a lake whose Bronze rows arrived in parts, dealt by their position, with an incremental
-    Silver and Gold run after each: retries come before their originals, and conflicts arise over runs."""
+    Silver run after each: retries come before their originals, and conflicts arise over runs."""
     key = (spark.conf.get("spark.app.id", "") or str(id(spark)), sf.rstrip("/"))
     if key in _UPDATED:
         return _UPDATED[key]
@@ -773,7 +773,6 @@ def updated_lake(spark: SparkSession, sf: str) -> str:
         for entity, bronze in (("exposures", bronze_e(spark, sf)), ("behavior", bronze_b(spark, sf))):
             write_table(bronze.where(part == i), table_path(lake, "bronze", entity), PARTITION_COLUMNS, mode="append")
         incremental.update_silver(spark, lake)
-        incremental_gold.update_gold(spark, lake)
     _UPDATED[key] = lake
     return lake
 
@@ -802,7 +801,11 @@ def _updated_gold(name: str, same_as: str) -> None:
     """Register a Gold table kept up to date from changed users, held against the oracle of one build."""
 
     def run(spark, sf):
-        return comparable(incremental_gold.read_gold(spark, updated_lake(spark, sf), name))
+        lake = updated_lake(spark, sf)
+        if versions.current(spark, lake, incremental_gold.GOLD) is None:
+            for version in range(1, ARRIVALS + 1):  # as it would have been run after each arrival
+                incremental_gold.update_gold(spark, lake, silver=version)
+        return comparable(incremental_gold.read_gold(spark, lake, name))
 
     register(f"incremental_state_{name}", ORACLE[same_as])(run)
 
