@@ -275,3 +275,42 @@ def test_a_hot_orphan_user_is_dealt_to_many_tasks(spark, no_skew_split, tmp_path
     assert rows.count() == hot["count"] > behavior.count() / 4
     held = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(held) > 1 and max(r["count"] for r in held) < 0.7 * hot["count"]
+
+
+@pytest.mark.parametrize("held", [20_000, 3])
+def test_count_of_a_written_lookup_decides_on_its_broadcast(spark, tmp_path, held):
+    # 20,000 rows are some 100 KB of Parquet, far below the threshold; their copies are not
+    lookup = spark.range(held).select(F.concat(F.lit("b"), "id").alias("event_id"), F.col("id").alias("first"))
+    lookup.write.parquet(str(tmp_path / "lookup"))
+    lookup = spark.read.parquet(str(tmp_path / "lookup"))
+    rows = spark.range(2 * held).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("b"), "id")).alias("event_id"), F.col("id").alias("offset"))
+    joined = silver.salted_left_join(rows, lookup, ["event_id"], F.col("offset"), held)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        found = {(r.event_id, r.offset, r.first) for r in joined.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ("BroadcastHashJoin" in plan) == (held == 3) and ("SortMergeJoin" in plan) == (held > 3)
+    ids = range(2 * held)
+    assert found == {(f"b{i}" if i % 7 else None, i, i if i % 7 and i < held else None) for i in ids} and joined.count() == 2 * held
+
+
+def test_silver_job_broadcasts_no_large_written_lookup(spark, monkeypatch, tmp_path):
+    seen = []
+    join = silver.salted_left_join
+
+    def noted(rows, lookup, on, spread, held=None):
+        seen.append((held, lookup.count()))
+        return join(rows, lookup, on, spread, held)
+
+    monkeypatch.setattr(silver, "salted_left_join", noted)
+    from variantlake.plans import jobs
+    from variantlake.sources import fixtures
+    from variantlake.sources.lake import table_path
+
+    lake = str(tmp_path / "lake")
+    fixtures.bronze_exposures(spark, "/root/testdata/sf0.001").write.parquet(table_path(lake, "bronze", "exposures"))
+    fixtures.bronze_behavior(spark, "/root/testdata/sf0.001").write.parquet(table_path(lake, "bronze", "behavior"))
+    jobs.build_silver(spark, lake)
+    assert len(seen) == 3 and all(held == rows for held, rows in seen)

@@ -69,8 +69,9 @@ def _decided(df: DataFrame, name: str) -> DataFrame:
 def _first_rows(valid: DataFrame, name: str) -> tuple[DataFrame, int]:
     """De-duplicated rows of ``valid`` and the number of rows removed, counted by itself."""
     repeated = _decided(silver.repeated_ids(valid), f"repeated-{name}")
-    counts = repeated.agg(F.sum(F.col("rows") - 1).alias("removed"), F.max("copies").alias("copies")).first()
-    return silver.keep_first(valid, repeated, tied=(counts["copies"] or 0) > 1), int(counts["removed"] or 0)
+    counts = repeated.agg(F.sum(F.col("rows") - 1).alias("removed"), F.max("copies").alias("copies"), F.count(F.lit(1)).alias("ids")).first()
+    first = silver.keep_first(valid, repeated, tied=(counts["copies"] or 0) > 1, held=counts["ids"])
+    return first, int(counts["removed"] or 0)
 
 
 def _check_conserved(entity: str, report: dict[str, int]) -> None:
@@ -128,7 +129,7 @@ def build_silver(spark: SparkSession, base: str, full_refresh: bool = False, rep
         lambda: _first_rows(silver.valid_behavior(flat), "behavior"),
     )
     conflicts = _decided(silver.multi_variant_users(first_e), "conflicts")
-    flagged = silver.flag_conflicts(first_e, conflicts)
+    flagged = silver.flag_conflicts(first_e, conflicts, held=conflicts.count())
     quarantined = silver.quarantine_union(silver.invalid_exposures(enriched), silver.conflicted_exposures(flagged))
     (
         report["silver_exposures"],
