@@ -314,3 +314,24 @@ def test_silver_job_broadcasts_no_large_written_lookup(spark, monkeypatch, tmp_p
     fixtures.bronze_behavior(spark, "/root/testdata/sf0.001").write.parquet(table_path(lake, "bronze", "behavior"))
     jobs.build_silver(spark, lake)
     assert len(seen) == 3 and all(held == rows for held, rows in seen)
+
+
+def test_incremental_silver_broadcasts_no_large_written_lookup(spark, monkeypatch, tmp_path):
+    from variantlake.operators import state
+    from variantlake.plans import incremental
+    from variantlake.sources import fixtures
+
+    seen = []
+    join = silver.salted_left_join
+
+    def noted(rows, lookup, on, spread, held=None):
+        seen.append((held, lookup.count()))
+        return join(rows, lookup, on, spread, held)
+
+    monkeypatch.setattr(silver, "salted_left_join", noted)
+    monkeypatch.setattr(state, "salted_left_join", noted)
+    bronze = fixtures.bronze_exposures(spark, "/root/testdata/sf0.001")
+    late = F.col("offset") % 2 == 0  # first rows come second
+    for number, part in enumerate((bronze.where(~late), bronze.where(late))):
+        incremental.apply_batch(spark, str(tmp_path / "lake"), incremental.EXPOSURES, part, "e", number)
+    assert len(seen) >= 6 and all(held == rows for held, rows in seen)

@@ -45,23 +45,27 @@ def decided_ids(firsts: DataFrame, index: DataFrame, topics: list[str]) -> DataF
     )
 
 
-def tied_ids(valid: DataFrame, decided: DataFrame, topics: list[str]) -> DataFrame:
-    """Ids whose first position in the batch is stored more than once; a scan of narrow columns."""
+def tied_ids(valid: DataFrame, decided: DataFrame, topics: list[str], held: int | None = None) -> DataFrame:
+    """Ids whose first position in the batch is stored more than once; a scan of narrow columns.
+
+    ``held`` is the counted number of ids with more than one row (``salted_left_join``).
+    """
     lookup = decided.where("rows > 1").select("event_id", "at")
     coded = valid.select("event_id", "topic", "partition", "offset", position_code(topics).alias("_code"))
-    found = salted_left_join(coded, lookup, ["event_id"], F.struct("topic", "partition", "offset"))
+    found = salted_left_join(coded, lookup, ["event_id"], F.struct("topic", "partition", "offset"), held)
     return found.where("_code = at").groupBy("event_id").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
-def kept_rows(valid: DataFrame, decided: DataFrame, topics: list[str], tied: bool) -> DataFrame:
+def kept_rows(valid: DataFrame, decided: DataFrame, topics: list[str], tied: bool, held: int | None = None) -> DataFrame:
     """The rows of a batch that Silver keeps; only ids that repeat or were seen before are looked up.
 
     ``tied`` says that some id's first position is stored more than once (``tied_ids``): the
-    rows of repeated ids are then cut to one each by the window.
+    rows of repeated ids are then cut to one each by the window. ``held`` is the counted
+    number of ids to look up.
     """
     lookup = decided.where("rows > 1 OR verdict <> 'new'").select("event_id", "at", "verdict", F.col("rows").alias("_rows"))
     coded = valid.withColumn("_code", position_code(topics))
-    found = salted_left_join(coded, lookup, ["event_id"], F.struct("topic", "partition", "offset"))
+    found = salted_left_join(coded, lookup, ["event_id"], F.struct("topic", "partition", "offset"), held)
     first = found.where("verdict IS NULL OR (verdict <> 'later' AND _code = at)")
     if not tied:
         return first.select(*valid.columns)
@@ -70,10 +74,10 @@ def kept_rows(valid: DataFrame, decided: DataFrame, topics: list[str], tied: boo
     return single.unionByName(dedup_keep_first(again))
 
 
-def without_replaced(rows: DataFrame, replaced: DataFrame) -> DataFrame:
-    """``rows`` kept by earlier runs, without those whose id has an earlier row now."""
+def without_replaced(rows: DataFrame, replaced: DataFrame, held: int | None = None) -> DataFrame:
+    """``rows`` kept by earlier runs, without those whose id has an earlier row now: ``held`` ids, where counted."""
     gone = replaced.select("event_id", F.struct(*(F.col(f"stored.{c}").alias(c) for c in POSITION)).alias("_gone"))
-    found = salted_left_join(rows, gone, ["event_id"], F.struct("topic", "partition", "offset"))
+    found = salted_left_join(rows, gone, ["event_id"], F.struct("topic", "partition", "offset"), held)
     return found.where(F.col("_gone").isNull() | ~F.col("_gone").eqNullSafe(position())).drop("_gone")
 
 
