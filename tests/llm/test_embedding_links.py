@@ -65,6 +65,14 @@ def test_a_large_group_is_compared_in_blocks(spark):
     assert got(L.embedding_links(made(spark, rows), block=16)) == brute(rows)
 
 
+def test_bucket_keys_of_many_bits(spark, monkeypatch):
+    """As many bits as a label of 8,193 classes or more has; the first byte of a key was read as its sign."""
+    monkeypatch.setattr(L, "BY_CHANCE", 1)
+    rows = near_copies(3, 48, 6, 100, 0.1)
+    assert L.sizes(200)[0] == 8
+    assert got(L.embedding_links(made(spark, rows))) == brute(rows)
+
+
 def test_nulls_zeros_copies_lengths_and_ties(spark, tmp_path):
     a, b = [1.0, 2.0, 3.0, 4.0], [4.0, -3.0, 2.0, -1.0]
     rows = [

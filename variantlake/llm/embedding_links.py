@@ -165,7 +165,8 @@ def coded_classes(classes: DataFrame, bits: int, tables: int) -> DataFrame:
                     makers[dim] = Codes(dim, bits, tables)
                 code, factor, coded, step, keys = makers[dim](vector)
                 take = batch.take(pa.array(at))
-                binary = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (vector, keys, code, coded)]
+                # keys with the high byte first: Spark reads them as one number, which no int cast may overflow
+                binary = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (vector, keys.astype(">i4"), code, coded)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(take.column(c) for c in ("node", "label")),
