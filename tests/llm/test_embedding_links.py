@@ -73,6 +73,27 @@ def test_bucket_keys_of_many_bits(spark, monkeypatch):
     assert got(L.embedding_links(made(spark, rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("wanted", [0, L.WANTED])  # the vectors read again are filtered first, or not
+def test_buckets_over_many_batches(spark, monkeypatch, wanted):
+    monkeypatch.setattr(L, "WANTED", wanted)
+    rows = [*near_copies(4, 32, 40, 8, 0.05), *((1000 + i, e, label) for i, e, label in near_copies(5, 32, 3, 60, 0.1)), (2000, [1.0, 3.0], 1)]
+    rows += [(2001, [1.0, None, 3.0], 1), (2002, [None, 1.0, 3.0], 1), (2003, [1.0, 3.0], 1)]  # no digest of theirs is another's
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert got(L.embedding_links(made(spark, rows), block=16)) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_signs_within_the_cut():
+    """A pair at the threshold differs in more signs in less than one case in a million, others nearly always do."""
+    unlike = math.acos(L.THRESHOLD) / math.pi
+    beyond = lambda k, p: sum(math.comb(128, i) * p**i * (1 - p) ** (128 - i) for i in range(k + 1, 129))
+    most = L.cut(L.THRESHOLD)
+    assert beyond(most, unlike) < 3e-7 < beyond(most - 1, unlike)
+    assert 1 - beyond(most, 0.5) < 1e-11
+
+
 def test_nulls_zeros_copies_lengths_and_ties(spark, tmp_path):
     a, b = [1.0, 2.0, 3.0, 4.0], [4.0, -3.0, 2.0, -1.0]
     rows = [

@@ -3,23 +3,27 @@
 Vectors with the same label and a cosine of at least ``THRESHOLD`` (in double precision)
 are linked; the result has each vector's number of links and its component.
 
-A unit vector is turned by a fixed random rotation and coded by its signs, one bit a
+A unit vector is turned by fixed random rotations and coded by its signs, one bit a
 dimension; the correction factor kept with a code is its inner product with the vector
 that it codes. With it, the inner product of a code and another (rotated, 8-bit,
 dithered) vector is an unbiased estimate of the cosine, whose error at a given cosine
 is bounded with high confidence. Only pairs whose bound reaches the threshold are
 computed again, exactly.
 
-1. Exact copies are one class (label, vector); everything below compares classes.
+1. Rows are coded where they are read; exact copies become one class (a 128-bit digest of
+   label and vector, which stands for it in every join). No vector moves.
 2. Candidate search: bits of the codes form ``tables`` bucket keys, so that a pair at
    the threshold shares one with probability ``RECALL`` or more. Bits grow with the
    logarithm of the largest label, tables follow from them; no bucket is dropped. A
    bucket of more than ``BLOCK`` classes is dealt to blocks and compared block by block.
-3. Codes (some 100 bytes a row, no vectors) are compared within buckets; rows that have
-   a partner within the bound stay.
-4. Only those are joined to their vectors and recomputed. A pair counts in the first
-   bucket that it shares, so each is computed and counted once, and no pair leaves
-   its task: a task returns, for each class, its number of links and one star link.
+3. What moves to a bucket is a class's number and its bare signs (some 30 bytes). Signs of
+   a pair at the threshold that differ in more places than ``cut`` allows are as rare as
+   estimates beyond their bound. A row stays in the first bucket that it shares with
+   such a partner.
+4. Only rows that stay meet their vectors: they are estimated within the bound, then
+   computed exactly. A pair counts in the first bucket that it shares, so each is computed
+   and counted once, and no pair leaves its task: a task returns, for each class, its
+   number of links and one star link.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing, nor does a null label; vectors of different lengths are
@@ -47,14 +51,19 @@ THRESHOLD = 0.98
 RECALL = 0.9999
 #: the confidence bound in standard deviations; beyond it lies less than one pair in a million
 SIGMAS = 5.0
+#: signs of a code that are compared in a bucket
+SIGNS = 128
 #: classes that are compared at once
-BLOCK = 2048
-#: classes of one label that share a bucket by chance
-BY_CHANCE = 64
+BLOCK = 8192
+#: classes of one label that share a bucket by chance: each further one is compared in
+#: nanoseconds, while each further table moves every class once more
+BY_CHANCE = 1024
+#: rows and columns of the pairs that are held at once
+TILE = 256, 4096
+#: classes whose digests (4 bytes each) a task may hold, to read the vectors of these only
+WANTED = 4_000_000
 SEED = 20_260_101
 
-CODED = "node string, label string, dim int, copies long, vector binary, bands binary, code binary, factor double, coded binary, step double"
-
 
 def sizes(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
     """(bits of a bucket key, number of tables) for a label of ``n`` classes."""
@@ -63,26 +72,48 @@ def sizes(n: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple
     return bits, math.ceil(math.log(1 - recall) / math.log(1 - alike**bits))
 
 
+def cut(threshold: float, signs: int = SIGNS) -> int:
+    """In how many of its signs a pair at the threshold differs at most, but for what lies beyond ``SIGMAS``."""
+    unlike, beyond, k = math.acos(threshold) / math.pi, 0.0, signs
+    while k and (beyond := beyond + math.comb(signs, k) * unlike**k * (1 - unlike) ** (signs - k)) <= math.erfc(SIGMAS / math.sqrt(2)) / 2:
+        k -= 1
+    return k
+
+
 class Codes:
     """Rotations of one dimension: sign codes, factors, rotated vectors, bucket keys."""
 
     def __init__(self, dim: int, bits: int, tables: int):
-        self.bits, self.tables = bits, tables
+        self.dim, self.bits, self.tables = dim, bits, tables
+        #: bits of the stored signs, in whole words
+        self.width = -(-max(SIGNS, bits * tables) // 64) * 64
         rng = np.random.default_rng([SEED, dim])
-        turns = -(-bits * tables // dim)
-        self.rotations = [np.linalg.qr(rng.standard_normal((dim, dim)))[0] for _ in range(turns)]
-        self.dither = rng.random(dim)
+        self.rotations = [np.linalg.qr(rng.standard_normal((dim, dim)))[0] for _ in range(-(-self.width // dim))]
+        self.dither = np.random.default_rng([SEED, dim, 1]).random(dim)
 
-    def __call__(self, unit: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(packed code, factor, rotated vector in steps, step, bucket keys) of each row."""
-        turned = [unit @ r.T for r in self.rotations]
-        first = turned[0]
+    def signs(self, unit: np.ndarray) -> np.ndarray:
+        """The signs of each row in all rotations, packed; bucket keys are made of them."""
+        turned = np.concatenate([unit @ r.T for r in self.rotations], axis=1)
+        return np.packbits(turned[:, : self.width] >= 0, axis=1)
+
+    def estimators(self, unit: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(packed code, factor, rotated vector in steps, step) of each row, of the first rotation."""
+        first = unit @ self.rotations[0].T
         factor = np.abs(first).sum(1) / math.sqrt(unit.shape[1])
         step = np.abs(first).max(1) / 126
         coded = np.floor(first / step[:, None] + self.dither).astype(np.int8)
-        signs = np.concatenate(turned, axis=1)[:, : self.bits * self.tables] >= 0
-        keys = signs.reshape(len(unit), self.tables, self.bits) @ (1 << np.arange(self.bits))
-        return np.packbits(first >= 0, axis=1), factor, coded, step, keys.astype(np.int32)
+        return np.packbits(first >= 0, axis=1), factor, coded, step
+
+    def __call__(self, unit: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(packed code, factor, rotated vector in steps, step, bucket keys) of each row."""
+        return *self.estimators(unit), bucket_keys(self.signs(unit), self.bits, self.tables).T
+
+
+def bucket_keys(signs: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    """The key of each row (along the second axis) in each table, from its packed signs."""
+    held = np.unpackbits(signs, axis=1)[:, : bits * tables]
+    keys = held.reshape(len(held), -1, bits).astype(np.float32) @ np.exp2(np.arange(bits, dtype=np.float32))
+    return np.ascontiguousarray(keys.T.astype(np.int32))
 
 
 def bound(dim: int, factor: np.ndarray, step: np.ndarray | float, threshold: float) -> np.ndarray:
@@ -92,37 +123,91 @@ def bound(dim: int, factor: np.ndarray, step: np.ndarray | float, threshold: flo
 
 
 class Coded:
-    """The codes of one group's rows, unpacked."""
+    """The codes of one group's unit vectors, unpacked."""
 
-    def __init__(self, rows: pa.RecordBatch):
-        self.dim = rows.column("dim")[0].as_py()
-        self.factor = rows.column("factor").to_numpy()
-        self.step = rows.column("step").to_numpy()
-        self.signs = np.unpackbits(_flat(rows, "code", np.uint8), axis=1)[:, : self.dim].astype(np.float32) * 2 - 1
-        self.coded = _flat(rows, "coded", np.int8).astype(np.float32)
+    def __init__(self, unit: np.ndarray, codes: Codes):
+        code, self.factor, coded, self.step = codes.estimators(unit)
+        self.dim = unit.shape[1]
+        self.signs = np.unpackbits(code, axis=1)[:, : self.dim].astype(np.float32) * 2 - 1
+        self.coded = coded.astype(np.float32)
 
     def near(self, mine: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
         """Whether the pairs mine x other are within the bound, judged by either one's code."""
 
         def one_way(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             whole = self.signs[a] @ self.coded[b].T  # sums of small whole numbers, exact in any order
-            estimate = whole * (self.step[b][None, :] / math.sqrt(self.dim)) / self.factor[a][:, None]
-            return estimate >= threshold - bound(self.dim, self.factor[a][:, None], self.step[b][None, :], threshold)
+            # estimate >= threshold - bound, in which only the step is the other's
+            spread = bound(self.dim, self.factor[a], 0.0, threshold)
+            least = ((threshold - spread) * self.factor[a])[:, None] - SIGMAS / 2 * self.step[b][None, :]
+            return whole >= least * (math.sqrt(self.dim) / self.step[b])[None, :]
 
         return one_way(mine, other) & one_way(other, mine).T
 
 
-def _flat(rows: pa.RecordBatch, name: str, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind).reshape(rows.num_rows, -1)
+def _fixed(column: pa.Array) -> np.ndarray:
+    """Bytes of a binary column whose values are of one length, a row each."""
+    n, wide = len(column), np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], wide)[column.offset :]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[n]].reshape(n, -1)
 
 
-def _sides(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row numbers to compare, in strips: all against all of one block, or one block against the other."""
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Rows of bytes as a binary column."""
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _units(lists: pa.Array, dim: int) -> np.ndarray:
+    """Vectors of one length, brought to length one in double precision."""
+    vector = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(lists), dim)
+    vector = vector / np.abs(vector).max(1, keepdims=True)
+    return vector / np.linalg.norm(vector, axis=1, keepdims=True)
+
+
+def _tiles(mine: np.ndarray, other: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers to compare: all pairs of one block once (among others not asked for), or one block against the other."""
+    for s in range(0, len(mine), TILE[0]):
+        for t in range(s if same else 0, len(other), TILE[1]):
+            yield mine[s : s + TILE[0]], other[t : t + TILE[1]]
+
+
+def _sides(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, bool]:
     block = rows.column("block").to_numpy()
     low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
-    mine, other = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    for at in range(0, len(mine), 256):
-        yield mine[at : at + 256], other
+    return np.flatnonzero(block == low), np.flatnonzero(block == high), low == high
+
+
+def _first_here(pairs: np.ndarray, keys: np.ndarray, band: int, mine: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Of the pairs mine x other that are marked, those whose first shared bucket is one of ``band``."""
+    if np.count_nonzero(pairs) * 16 > pairs.size:
+        pairs = pairs & (keys[band][mine][:, None] == keys[band][other])
+        for b in range(band):
+            pairs &= keys[b][mine][:, None] != keys[b][other]
+        return pairs
+    a, b = np.nonzero(pairs)
+    shared = keys[: band + 1, mine[a]] == keys[: band + 1, other[b]]
+    first = shared[band] & ~shared[:band].any(0)
+    kept = np.zeros_like(pairs)
+    kept[a[first], b[first]] = True
+    return kept
+
+
+def partners(signs: np.ndarray, band: int, bits: int, tables: int, most: int, sides: tuple[np.ndarray, np.ndarray, bool]) -> np.ndarray:
+    """Whether each row differs from another in ``most`` signs at most, and both meet first in this bucket."""
+    words, found, keys = np.ascontiguousarray(signs[:, : SIGNS // 8]).view(np.uint64).T.copy(), np.zeros(len(signs), bool), None
+    for mine, other in _tiles(*sides):
+        far = np.bitwise_count(words[0][mine][:, None] ^ words[0][other])
+        for w in words[1:]:
+            far += np.bitwise_count(w[mine][:, None] ^ w[other])
+        near = far <= most
+        if sides[2]:
+            near &= mine[:, None] < other
+        if near.any():
+            keys = bucket_keys(signs, bits, tables) if keys is None else keys
+            near = _first_here(near, keys, band, mine, other)
+            found[mine] |= near.any(1)
+            found[other] |= near.any(0)
+    return found
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -146,153 +231,239 @@ def valid(label: Column, vector: Column) -> Column:
     return F.coalesce(label.isNotNull() & finite & F.exists(wide, lambda x: x != 0), F.lit(False))
 
 
-def coded_classes(classes: DataFrame, bits: int, tables: int) -> DataFrame:
-    """(node, label, dim, copies, vector) with the codes of each class; no shuffle."""
+def with_signs(rows: DataFrame, bits: int, tables: int) -> DataFrame:
+    """(vec_id, label, h0, h1, dim, signs) of valid rows (vec_id, label, h0, h1, embedding); no shuffle."""
+    kept = ["vec_id", "label", "h0", "h1"]
+    schema = T.StructType([*(rows.schema[c] for c in kept), T.StructField("dim", T.IntegerType()), T.StructField("signs", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         makers: dict[int, Codes] = {}
         for batch in batches:
-            lists = batch.column("embedding")
-            length = lists.value_lengths().to_numpy(zero_copy_only=False)
-            values = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.float64)
-            start = np.cumsum(length) - length
+            length = batch.column("embedding").value_lengths().to_numpy(zero_copy_only=False)
             for dim in np.unique(length).tolist():
-                at = np.flatnonzero(length == dim)
-                vector = values[start[at][:, None] + np.arange(dim)]
-                vector = vector / np.abs(vector).max(1, keepdims=True)
-                vector = vector / np.linalg.norm(vector, axis=1, keepdims=True)
                 if dim not in makers:
                     makers[dim] = Codes(dim, bits, tables)
-                code, factor, coded, step, keys = makers[dim](vector)
-                take = batch.take(pa.array(at))
-                # keys with the high byte first: Spark reads them as one number, which no int cast may overflow
-                binary = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (vector, keys.astype(">i4"), code, coded)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(take.column(c) for c in ("node", "label")),
-                        pa.array(np.full(len(at), dim, np.int32)),
-                        take.column("copies"),
-                        *binary[:3],
-                        pa.array(factor),
-                        binary[3],
-                        pa.array(step),
-                    ],
-                    [f.split()[0] for f in CODED.split(", ")],
-                )
-
-    return classes.mapInArrow(run, CODED)
-
-
-BUCKET = ["label", "dim", "band", "key"]
+                at = np.flatnonzero(length == dim)
+                for part in np.array_split(at, -(-len(at) * dim // 1_000_000)):  # some 8 MB of vectors at once
+                    rows = batch if len(part) == batch.num_rows else batch.take(pa.array(part))
+                    signs = makers[dim].signs(_units(rows.column("embedding"), dim))
+                    dims = pa.array(np.full(len(part), dim, np.int32))
+                    yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), dims, _binary(signs)], [*kept, "dim", "signs"])
+
+    return rows.select(*kept, "embedding").mapInArrow(run, schema)
+
+
+def in_buckets(classes: DataFrame, bits: int, tables: int) -> DataFrame:
+    """(place, band, id, signs) of each class (id, label, dim, signs) in each table, sorted by place; a place is a digest of label, dim, band and key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                part = batch.column("part").to_numpy().astype(np.uint64)
+                for band, key in enumerate(bucket_keys(_fixed(batch.column("signs")), bits, tables)):
+                    place = part + (np.uint64((band << 32) + 1) + key.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                        place = (place ^ (place >> np.uint64(shift))) * np.uint64(factor)
+                    place = pa.array((place ^ (place >> np.uint64(31))).view(np.int64))
+                    bands = pa.array(np.full(batch.num_rows, band, np.int32))
+                    yield pa.RecordBatch.from_arrays([place, bands, batch.column("id"), batch.column("signs")], ["place", "band", "id", "signs"])
+
+    dealt = classes.select("id", F.xxhash64("label", "dim").alias("part"), "signs").mapInArrow(run, "place long, band int, id long, signs binary")
+    return dealt.repartition("place").sortWithinPartitions("place")
+
+
+def with_candidates(buckets: DataFrame, bits: int, tables: int, most: int, block: int) -> DataFrame:
+    """(place, band, id, signs) of rows with a partner in a bucket, without signs; with them, all rows of a bucket beyond ``block``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None  # of the last bucket, which may go on
+        beyond: tuple[int, int] | None = None  # the bucket that is given back as it comes
+
+        def rows_of(parts: list[list[np.ndarray]], whole: bool) -> Iterator[pa.RecordBatch]:
+            if parts:
+                place, band, number, signs = (np.concatenate(x) for x in zip(*parts, strict=True))
+                code = _binary(signs) if whole else pa.nulls(len(place), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(band), pa.array(number), code], ["place", "band", "id", "signs"])
+
+        def judged(groups: Iterator[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            found, back = [], []
+            for group in groups:
+                n = len(group[0])
+                if n > block:
+                    back.append(group)
+                elif n > 1:
+                    at = np.arange(n)
+                    kept = partners(group[3], int(group[1][0]), bits, tables, most, (at, at, True))
+                    if kept.any():
+                        found.append([x[kept] for x in group])
+            yield from rows_of(found, False)
+            yield from rows_of(back, True)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [*(batch.column(c).to_numpy() for c in ("place", "band", "id")), _fixed(batch.column("signs"))]
+            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)] if held is not None else rows
+            place, band = rows[:2]
+            ends = [*(np.flatnonzero((place[1:] != place[:-1]) | (band[1:] != band[:-1])) + 1).tolist(), len(place)]
+            groups = [[x[a:b] for x in rows] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            if beyond == (place[0], band[0]):
+                yield from rows_of(groups[:1], True)
+                if len(groups) == 1:
+                    continue
+                groups = groups[1:]
+            beyond, held = None, groups.pop()
+            if len(held[0]) > block:
+                beyond = int(held[0][0]), int(held[1][0])
+                groups, held = [*groups, held], None
+            yield from judged(groups)
+        if held is not None:
+            yield from judged([held])
+
+    return buckets.mapInArrow(run, "place long, band int, id long, signs binary")
+
+
+BUCKET = ["place", "band"]
 PLACE = [*BUCKET, "low", "high"]
 
 
 def in_blocks(rows: DataFrame, block: int) -> DataFrame:
-    """Rows of buckets with two members or more, once for each pair of blocks they belong to."""
-    counts = rows.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    held = salted_left_join(rows, counts, BUCKET, F.col("node")).where("members > 1")
+    """Rows of large buckets, once for each pair of blocks they belong to."""
+    counts = rows.groupBy(*BUCKET).agg(F.count(F.lit(1)).alias("members"))
+    held = salted_left_join(rows, counts, BUCKET, F.col("id"))
     blocks = F.ceil(F.col("members") / block).cast("int")
-    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
     dealt = held.withColumn("block", mine).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return dealt.withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with")).drop("members", "with")
 
 
-def _by_place(rows: DataFrame, function, schema: str) -> DataFrame:
+def _by_place(rows: DataFrame, keys: list[str], function, schema: str) -> DataFrame:
     """``function`` of each group of one place; groups stream through a task one after another."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in grouped(batches, PLACE):
+        for group in grouped(batches, keys):
             if group.num_rows > 1:
                 yield from function(group)
 
-    return rows.repartition(*PLACE).sortWithinPartitions(*PLACE).mapInArrow(run, schema)
+    return rows.repartition(*PLACE).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
-def with_candidates(rows: DataFrame, threshold: float) -> DataFrame:
-    """(place, block, node) of rows with a partner within the bound, from codes alone."""
+def with_candidates_of_blocks(rows: DataFrame, bits: int, tables: int, most: int) -> DataFrame:
+    """(place, band, low, high, block, id) of rows with a partner in a pair of blocks."""
 
     def run(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        codes, found = Coded(group), np.zeros(group.num_rows, bool)
-        for mine, other in _sides(group):
-            near = codes.near(mine, other, threshold) & (mine[:, None] != other[None, :])
-            found[mine] |= near.any(1)
-            found[other] |= near.any(0)
-        if found.any():
-            yield group.select([*PLACE, "block", "node"]).filter(pa.array(found))
+        band = group.column("band")[0].as_py()
+        kept = partners(_fixed(group.column("signs")), band, bits, tables, most, _sides(group))
+        if kept.any():
+            yield group.select([*PLACE, "block", "id"]).filter(pa.array(kept))
 
-    return _by_place(rows, run, "label string, dim int, band int, key int, low int, high int, block int, node string")
+    return _by_place(rows, PLACE, run, "place long, band int, low int, high int, block int, id long")
 
 
-def recomputed(rows: DataFrame, threshold: float) -> DataFrame:
-    """(node, links, root): links found in each place, and the least linked row there; nothing for rows without."""
+def recomputed(rows: DataFrame, threshold: float, bits: int, tables: int) -> DataFrame:
+    """(id, links, root): links found in each place, and the least linked row there; nothing for rows without."""
+    makers: dict[int, Codes] = {}
 
     def run(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        codes, band = Coded(group), group.column("band")[0].as_py()
-        vector, bands = _flat(group, "vector", np.float64), _flat(group, "bands", np.int32)
-        copies, same = group.column("copies").to_numpy(), group.column("low")[0] == group.column("high")[0]
-        links, ends = np.zeros(group.num_rows, np.int64), []
-        for mine, other in _sides(group):
-            near = codes.near(mine, other, threshold)
-            if same:
-                near &= mine[:, None] < other[None, :]
-            a, b = np.nonzero(near)
-            a, b = mine[a], other[b]
-            for at in range(0, len(a), 65_536):
-                x, y = a[at : at + 65_536], b[at : at + 65_536]
-                first = (bands[x] == bands[y]).argmax(1) == band
-                x, y = x[first], y[first]
-                linked = np.einsum("ij,ij->i", vector[x], vector[y]) >= threshold
-                ends.append((x[linked], y[linked]))
-        if not ends:
-            return
-        x, y = (np.concatenate(e) for e in zip(*ends, strict=True))
-        np.add.at(links, x, copies[y])
-        np.add.at(links, y, copies[x])
-        node, at = group.column("node"), np.flatnonzero(links)
+        dim, band = group.column("dim")[0].as_py(), group.column("band")[0].as_py()
+        if dim not in makers:
+            makers[dim] = Codes(dim, bits, tables)
+        vector, keys = _units(group.column("embedding"), dim), bucket_keys(_fixed(group.column("signs")), bits, tables)
+        codes, copies = Coded(vector, makers[dim]), group.column("copies").to_numpy()
+        links, root = np.zeros(group.num_rows, np.int64), np.arange(group.num_rows)
+        sides = _sides(group)
+        for mine, other in _tiles(*sides):
+            pairs = mine[:, None] < other if sides[2] else np.ones((len(mine), len(other)), bool)
+            pairs = _first_here(pairs, keys, band, mine, other)
+            if not pairs.any():
+                continue
+            pairs &= codes.near(mine, other, threshold)
+            if np.count_nonzero(pairs) * 16 > pairs.size:
+                pairs &= vector[mine] @ vector[other].T >= threshold
+            else:
+                a, b = np.nonzero(pairs)
+                pairs[a, b] = np.einsum("ij,ij->i", vector[mine[a]], vector[other[b]]) >= threshold
+            a, b = np.nonzero(pairs)
+            if not len(a):
+                continue
+            links += np.bincount(mine[a], copies[other[b]], len(links)).astype(np.int64)
+            links += np.bincount(other[b], copies[mine[a]], len(links)).astype(np.int64)
+            a, b = root[mine[a]], root[other[b]]
+            apart = a != b
+            if apart.any():
+                root = _roots(len(root), a[apart], b[apart])[root]
+        number, at = group.column("id"), np.flatnonzero(links)
         if len(at):
-            root = node.take(pa.array(_roots(group.num_rows, x, y)[at]))
-            yield pa.RecordBatch.from_arrays([node.take(pa.array(at)), pa.array(links[at]), root], ["node", "links", "root"])
-
-    return _by_place(rows, run, "node string, links long, root string")
-
-
-def linked_classes(classes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """(node, links, component) of the classes (node, label, embedding, copies) with a link; component is a node."""
-    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    bits, tables = sizes(largest, threshold, recall)
-    coded = written(coded_classes(classes, bits, tables), "codes")
-    key = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(tables - 1)), lambda i: F.substring("bands", i * 4 + 1, F.lit(4))))
-    narrow = coded.select("node", "label", "dim", "code", "factor", "coded", "step", key.alias("band", "bytes"))
-    rows = narrow.withColumn("key", F.conv(F.hex("bytes"), 16, 10).cast("long").cast("int")).drop("bytes")
-    asked = written(with_candidates(in_blocks(rows, block), threshold), "candidates")
-    found = written(recomputed(asked.join(coded.drop("label", "dim"), "node"), threshold), "stars")
+            yield pa.RecordBatch.from_arrays([number.take(pa.array(x)) if x is not None else pa.array(links[at]) for x in (at, None, root[at])], ["id", "links", "root"])
+
+    return _by_place(rows, [*PLACE, "label", "dim"], run, "id long, links long, root long")
+
+
+def vectors_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` classes (h0, h1, ...; written) with their embedding, from rows (h0, h1, embedding) in which copies repeat."""
+    if wanted.count() <= WANTED:
+        held = np.unique(wanted.select((F.col("h0").bitwiseAND(0x7FFFFFFF)).cast("int").alias("h")).toArrow().column("h").to_numpy())
+
+        def some(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for h in batches:
+                x = (h.to_numpy() & 0x7FFFFFFF).astype(np.int32)
+                at = np.searchsorted(held, x)
+                yield pa.array(held[np.minimum(at, len(held) - 1)] == x if len(held) else np.zeros(len(x), bool))
+
+        rows = rows.where(F.arrow_udf(some, T.BooleanType())("h0"))
+    one = rows.groupBy("h0", "h1").agg(F.first("embedding").alias("embedding"))
+    return wanted.join(one, ["h0", "h1"]).drop("h0", "h1")
+
+
+def linked_classes(classes: DataFrame, rows: DataFrame, bits: int, tables: int, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """(id, links, component) of the classes (id, h0, h1, label, dim, copies, signs; written) with a link; component is an id.
+
+    ``rows`` (h0, h1, embedding) has the vectors.
+    """
+    most = cut(threshold)
+    asked = written(with_candidates(in_buckets(classes, bits, tables), bits, tables, most, block), "candidates")
+    large = asked.where("signs IS NOT NULL")
+    zero = F.lit(0)
+    asked = asked.where("signs IS NULL").select(*BUCKET, zero.alias("low"), zero.alias("high"), zero.alias("block"), "id")
+    if large.limit(1).count():
+        asked = asked.unionByName(written(with_candidates_of_blocks(in_blocks(large, block), bits, tables, most), "candidates"))
+    wanted = written(classes.select("id", "h0", "h1", "label", "dim", "copies", "signs").join(asked.select("id").distinct(), "id"), "wanted")
+    vectors = written(vectors_of(rows, wanted), "vectors")
+    found = written(recomputed(asked.join(vectors, "id"), threshold, bits, tables), "stars")
     # one star link a class, and the hubs that its places name: the same components with far fewer links
-    per = written(found.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("hub"), F.collect_set("root").alias("roots")), "classes")
-    hubs = per.select(F.explode("roots").alias("node"), "hub").distinct()
-    whole = connected_components(per.select("node", "hub").unionByName(hubs), "node", "hub")
-    return per.select("node", "links").join(whole, "node")
+    per = written(found.groupBy("id").agg(F.sum("links").alias("links"), F.min("root").alias("hub"), F.collect_set("root").alias("roots")), "linked")
+    hubs = per.select(F.explode("roots").alias("id"), "hub").distinct()
+    whole = connected_components(per.select("id", "hub").unionByName(hubs), "id", "hub")
+    return per.select("id", "links").join(whole.withColumnRenamed("node", "id"), "id")
 
 
 def embedding_links(vectors: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of ``vectors`` (vec_id, embedding, label)."""
-    row = vectors.select(
-        F.col("vec_id"), F.col("embedding"), F.col("label").cast("string").alias("label"), valid(F.col("label"), F.col("embedding")).alias("valid")
-    )
-    node = F.concat(*(F.lpad(F.hex(F.xxhash64(F.lit(i), "label", "embedding")), 16, "0") for i in range(2)))
-    classes = row.where("valid").groupBy("label", "embedding").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
-    classes = written(classes.withColumn("node", node), "classes")
-    linked = linked_classes(classes.select("node", "label", "embedding", "copies"), threshold, recall, block)
-    known = written(
-        classes.select("node", "copies", "least").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node")), "known"
+    label = F.col("label").cast("string")
+    row = vectors.select("vec_id", "embedding", label.alias("label"))
+    # the number of components tells vectors with nulls, which a digest passes over, from shorter ones
+    known = F.col("label").isNotNull() & F.col("embedding").isNotNull()
+    digests = [F.when(known, F.xxhash64(F.lit(i), "label", F.size("embedding"), "embedding")).alias(f"h{i}") for i in range(2)]
+    row = row.select("vec_id", "label", "embedding", *digests)
+    # rows of the largest label, of which there are no fewer than classes
+    largest = vectors.select(label.alias("label")).where("label IS NOT NULL").groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    bits, tables = sizes(largest, threshold, recall)
+    coded = with_signs(row.where(valid(F.col("label"), F.col("embedding"))), bits, tables)
+    per = coded.groupBy("h0", "h1").agg(
+        F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"), *(F.first(c).alias(c) for c in ("label", "dim", "signs"))
     )
-    least = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = salted_left_join(known, least, ["component"], F.col("node")).select(
-        "node", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
+    classes = written(per.withColumn("id", F.monotonically_increasing_id()), "classes")
+    linked = linked_classes(classes, row.select("h0", "h1", "embedding").where("h0 IS NOT NULL"), bits, tables, threshold, block)
+    # all others have no links and their own id for a component
+    found = classes.select("id", "h0", "h1", "copies", "least").join(linked, "id", "left").where("copies > 1 OR links IS NOT NULL")
+    found = written(found.withColumn("component", F.coalesce("component", "id")), "known")
+    least = found.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_class = salted_left_join(found, least, ["component"], F.col("id")).select(
+        "h0", "h1", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"
     )
-    rows = row.select("vec_id", F.when(F.col("valid"), node).alias("node"))
-    found = salted_left_join(rows, of_class, ["node"], F.monotonically_increasing_id())
+    rows = salted_left_join(row.select("vec_id", "h0", "h1"), of_class, ["h0", "h1"], F.monotonically_increasing_id())
     component = F.coalesce("component_id", "vec_id")
-    return found.select(
+    return rows.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
