@@ -123,19 +123,19 @@ def bound(dim: int, factor: np.ndarray, step: np.ndarray | float, threshold: flo
 
 
 class Coded:
-    """The codes of one group's unit vectors, unpacked."""
+    """The codes of one group's vectors, a byte and a bit a component; tiles are unpacked where they are compared."""
 
-    def __init__(self, unit: np.ndarray, codes: Codes):
-        code, self.factor, coded, self.step = codes.estimators(unit)
-        self.dim = unit.shape[1]
-        self.signs = np.unpackbits(code, axis=1)[:, : self.dim].astype(np.float32) * 2 - 1
-        self.coded = coded.astype(np.float32)
+    def __init__(self, vectors: np.ndarray, codes: Codes):
+        self.dim = vectors.shape[1]
+        parts = [codes.estimators(_units(x)) for x in np.array_split(vectors, -(-vectors.size // 1_000_000))]
+        self.code, self.factor, self.coded, self.step = (np.concatenate(x) for x in zip(*parts, strict=True))
 
     def near(self, mine: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
         """Whether the pairs mine x other are within the bound, judged by either one's code."""
 
         def one_way(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            whole = self.signs[a] @ self.coded[b].T  # sums of small whole numbers, exact in any order
+            signs = np.unpackbits(self.code[a], axis=1)[:, : self.dim].astype(np.float32) * 2 - 1
+            whole = signs @ self.coded[b].astype(np.float32).T  # sums of small whole numbers, exact in any order
             # estimate >= threshold - bound, in which only the step is the other's
             spread = bound(self.dim, self.factor[a], 0.0, threshold)
             least = ((threshold - spread) * self.factor[a])[:, None] - SIGMAS / 2 * self.step[b][None, :]
@@ -157,10 +157,15 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-def _units(lists: pa.Array, dim: int) -> np.ndarray:
-    """Vectors of one length, brought to length one in double precision."""
-    vector = np.asarray(lists.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(lists), dim)
-    vector = vector / np.abs(vector).max(1, keepdims=True)
+def _rows(lists: pa.Array, dim: int) -> np.ndarray:
+    """Lists of one length as they are, a row each."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), dim)
+
+
+def _units(vector: np.ndarray) -> np.ndarray:
+    """Vectors brought to length one, in double precision."""
+    vector = vector.astype(np.float64)
+    vector /= np.abs(vector).max(1, keepdims=True)
     return vector / np.linalg.norm(vector, axis=1, keepdims=True)
 
 
@@ -246,7 +251,7 @@ def with_signs(rows: DataFrame, bits: int, tables: int) -> DataFrame:
                 at = np.flatnonzero(length == dim)
                 for part in np.array_split(at, -(-len(at) * dim // 1_000_000)):  # some 8 MB of vectors at once
                     rows = batch if len(part) == batch.num_rows else batch.take(pa.array(part))
-                    signs = makers[dim].signs(_units(rows.column("embedding"), dim))
+                    signs = makers[dim].signs(_units(_rows(rows.column("embedding"), dim)))
                     dims = pa.array(np.full(len(part), dim, np.int32))
                     yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), dims, _binary(signs)], [*kept, "dim", "signs"])
 
@@ -368,8 +373,8 @@ def recomputed(rows: DataFrame, threshold: float, bits: int, tables: int) -> Dat
         dim, band = group.column("dim")[0].as_py(), group.column("band")[0].as_py()
         if dim not in makers:
             makers[dim] = Codes(dim, bits, tables)
-        vector, keys = _units(group.column("embedding"), dim), bucket_keys(_fixed(group.column("signs")), bits, tables)
-        codes, copies = Coded(vector, makers[dim]), group.column("copies").to_numpy()
+        vectors, keys = _rows(group.column("embedding"), dim), bucket_keys(_fixed(group.column("signs")), bits, tables)
+        codes, copies = Coded(vectors, makers[dim]), group.column("copies").to_numpy()
         links, root = np.zeros(group.num_rows, np.int64), np.arange(group.num_rows)
         sides = _sides(group)
         for mine, other in _tiles(*sides):
@@ -379,19 +384,20 @@ def recomputed(rows: DataFrame, threshold: float, bits: int, tables: int) -> Dat
                 continue
             pairs &= codes.near(mine, other, threshold)
             if np.count_nonzero(pairs) * 16 > pairs.size:
-                pairs &= vector[mine] @ vector[other].T >= threshold
-            else:
+                pairs &= _units(vectors[mine]) @ _units(vectors[other]).T >= threshold
+            elif pairs.any():
                 a, b = np.nonzero(pairs)
-                pairs[a, b] = np.einsum("ij,ij->i", vector[mine[a]], vector[other[b]]) >= threshold
-            a, b = np.nonzero(pairs)
-            if not len(a):
-                continue
-            links += np.bincount(mine[a], copies[other[b]], len(links)).astype(np.int64)
-            links += np.bincount(other[b], copies[mine[a]], len(links)).astype(np.int64)
-            a, b = root[mine[a]], root[other[b]]
-            apart = a != b
-            if apart.any():
-                root = _roots(len(root), a[apart], b[apart])[root]
+                (x, a_at), (y, b_at) = np.unique(a, return_inverse=True), np.unique(b, return_inverse=True)
+                x, y = _units(vectors[mine[x]]), _units(vectors[other[y]])
+                for at in range(0, len(a), TILE[1]):
+                    some = slice(at, at + TILE[1])
+                    pairs[a[some], b[some]] = np.einsum("ij,ij->i", x[a_at[some]], y[b_at[some]]) >= threshold
+            counted = pairs.astype(np.float64)  # sums of whole numbers, exact up to 2**53
+            links[mine] += (counted @ copies[other]).astype(np.int64)
+            links[other] += (copies[mine] @ counted).astype(np.int64)
+            a, b = np.nonzero(pairs & (root[mine][:, None] != root[other]))
+            if len(a):
+                root = _roots(len(root), root[mine[a]], root[other[b]])[root]
         number, at = group.column("id"), np.flatnonzero(links)
         if len(at):
             yield pa.RecordBatch.from_arrays([number.take(pa.array(x)) if x is not None else pa.array(links[at]) for x in (at, None, root[at])], ["id", "links", "root"])
