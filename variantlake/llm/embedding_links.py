@@ -170,7 +170,7 @@ def _units(vector: np.ndarray) -> np.ndarray:
 
 
 def _tiles(mine: np.ndarray, other: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row numbers to compare: all pairs of one block once (among others not asked for), or one block against the other."""
+    """Row numbers to compare, tile by tile: one block against the other, or (same) against itself, less the tiles below the diagonal."""
     for s in range(0, len(mine), TILE[0]):
         for t in range(s if same else 0, len(other), TILE[1]):
             yield mine[s : s + TILE[0]], other[t : t + TILE[1]]
